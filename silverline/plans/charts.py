@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from silverline.functions.scalars import (DIAGNOSED, DIASTOLIC, LOINC_BLOOD_PRESSURE,
                                           NOT_DIAGNOSED, PTM_DIABETES, PTM_HYPERTENSION,
                                           SYSTOLIC, bp_category, to_date_of)
-from silverline.operators.cdc import final, RESOURCE_KEYS
+from silverline.operators.cdc import RESOURCE_KEYS, TOKEN_KEYS, final
 from silverline.operators.links import (CAREPLAN_ENCOUNTER, ENCOUNTER_SERVICE_PROVIDER,
                                         edges, membership_flag)
 
@@ -129,7 +129,7 @@ def diagnosed_hypertensive(conditions: DataFrame) -> DataFrame:
 def deteksi_dini_hipertensi(observations: DataFrame, conditions: DataFrame) -> DataFrame:
     """Patients per BP class x whether a hypertension diagnosis exists.
 
-    A patient is counted once per class he was measured in (per day
+    A patient is counted once per class they were measured in (per day
     classification, then distinct patients).  The (patient, class) pairs are
     made distinct before the membership join, so a patient with thousands of
     readings (or the ``''`` patient of readings without a subject) reaches
@@ -178,6 +178,5 @@ def resource_type_summary(resource: DataFrame) -> DataFrame:
 
 def clinical_status_summary(hfj_spidx_token: DataFrame) -> DataFrame:
     """Status tokens by resource type, straight from the bronze search index."""
-    from silverline.operators.cdc import TOKEN_KEYS
     tokens = final(hfj_spidx_token, TOKEN_KEYS).where(F.col("sp_name") == "status")
     return tokens.groupBy("res_type", F.col("sp_value").alias("status")).agg(_count_star("total"))

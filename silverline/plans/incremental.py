@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, deleted_keys,
-                                      touched_since)
+from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, current_resources,
+                                      deleted_keys, touched_since)
 from silverline.plans import silver
 from silverline.session import scratch_dir
 from silverline.sinks.tables import append_table, read_table, table_exists, write_table
@@ -59,20 +59,30 @@ def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
     return df.where(F.col(col) > mark_literal(mark))
 
 
-def build_full(b: Bronze, name: str) -> DataFrame:
+def build_full(b: Bronze, name: str, current: DataFrame | None = None) -> DataFrame:
+    if name in silver.RESOURCE_MODELS:
+        return silver.SILVER_BUILDERS[name](b, current)
     return silver.SILVER_BUILDERS[name](b)
 
 
-def build_delta(b: Bronze, name: str, mark) -> DataFrame:
-    """Rows of model ``name`` whose version is newer than ``mark``; only touched keys are deduplicated."""
+def touched_bronze(b: Bronze, name: str, mark) -> Bronze:
+    """Bronze restricted to the keys with a version newer than ``mark`` (exact for the delta)."""
     if name == "res_link":
-        touched = Bronze(b.hfj_resource, b.hfj_res_ver,
-                         touched_since(b.hfj_res_link, LINK_KEYS, "sp_updated", mark_literal(mark)),
-                         b.hfj_spidx_token)
-    else:
-        touched = Bronze(touched_since(b.hfj_resource, RESOURCE_KEYS, "res_updated", mark_literal(mark)),
-                         b.hfj_res_ver, b.hfj_res_link, b.hfj_spidx_token)
-    return newer_than(build_full(touched, name), version_column(name), mark)
+        return Bronze(b.hfj_resource, b.hfj_res_ver,
+                      touched_since(b.hfj_res_link, LINK_KEYS, "sp_updated", mark_literal(mark)),
+                      b.hfj_spidx_token)
+    return Bronze(touched_since(b.hfj_resource, RESOURCE_KEYS, "res_updated", mark_literal(mark)),
+                  b.hfj_res_ver, b.hfj_res_link, b.hfj_spidx_token)
+
+
+def build_delta(b: Bronze, name: str, mark, current: DataFrame | None = None) -> DataFrame:
+    """Rows of model ``name`` whose version is newer than ``mark``.
+
+    Only keys touched since the mark are deduplicated.  ``current`` may be a
+    shared C8 result computed from a mark no later than this one.
+    """
+    source = b if current is not None else touched_bronze(b, name, mark)
+    return newer_than(build_full(source, name, current), version_column(name), mark)
 
 
 def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
@@ -95,21 +105,29 @@ def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int) -> Data
     return _stamp(gone.select(*cols), batch_id, deleted=True)
 
 
+def stored_mark(spark: SparkSession, name: str, target_path: str, full_refresh: bool = False):
+    """The target's high-water mark, or None when this run is a full build (K3/K4)."""
+    if full_refresh or not table_exists(spark, target_path):
+        return None
+    return high_water_mark(read_table(spark, target_path), version_column(name))
+
+
 def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
-                 full_refresh: bool = False, propagate_deletes: bool = False) -> DataFrame:
+                 full_refresh: bool = False, propagate_deletes: bool = False,
+                 current: DataFrame | None = None, mark=...) -> DataFrame:
     """K2/K3/K4 (+C9): refresh one incremental model stored at ``target_path``.
 
     Returns the rows written in this run (read back from storage).
     """
     spark = b.hfj_resource.sparkSession
     sort_cols = key_columns(name)
-    if full_refresh or not table_exists(spark, target_path):
-        rows = _stamp(build_full(b, name), batch_id)
+    if mark is ...:
+        mark = stored_mark(spark, name, target_path, full_refresh)
+    if mark is None:
+        rows = _stamp(build_full(b, name, current), batch_id)
         version = write_table(rows, target_path, sort_cols)
         return spark.read.parquet(version).where(F.col(BATCH_ID) == batch_id)
-    target = read_table(spark, target_path)
-    mark = high_water_mark(target, version_column(name))
-    rows = _stamp(build_delta(b, name, mark), batch_id)
+    rows = _stamp(build_delta(b, name, mark, current), batch_id)
     if propagate_deletes and name in silver.RESOURCE_MODELS:
         rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id))
     version = append_table(rows, target_path, sort_cols)
@@ -169,28 +187,55 @@ def two_batch_query(spark: SparkSession, bronze: Bronze, what: str) -> DataFrame
 
 # ---- one refresh of every model --------------------------------------------
 
+def shared_current(spark: SparkSession, bronze: Bronze, marks: dict, root: str) -> DataFrame:
+    """C8 once for all five resource models, stored partitioned by ``res_type``.
+
+    With marks, only keys touched since the earliest of them are included
+    (each model then applies its own, later or equal, mark).  Storing it
+    cuts the lineage and lets each model read just its type's partition.
+    """
+    res_marks = [marks[n] for n in silver.RESOURCE_MODELS]
+    meta = bronze.hfj_resource
+    if all(m is not None for m in res_marks):
+        meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark_literal(min(res_marks)))
+    current = current_resources(meta, bronze.hfj_res_ver)
+    version = write_table(current, root, partition_by=["res_type"])
+    return spark.read.parquet(version)
+
+
 def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id: int,
                 full_refresh: bool = False, propagate_deletes: bool = False) -> dict[str, str]:
     """One scheduled run: incremental silver models, then full rebuild of the rest.
 
     Returns model name -> stored table path.  Charts read silver through
-    ``read_model(final=True)``.
+    ``read_model(final=True)``; each silver table is deduplicated once per
+    run (persisted for the charts that share it, released afterwards).
     """
+    from pyspark import StorageLevel
+
     from silverline.plans.models import CHART_MODELS, Models
 
-    paths = {}
+    paths = {name: f"{silver_root}/{name}" for name in
+             (*INCREMENTAL_MODELS, "patients", *CHART_MODELS)}
+    marks = {name: stored_mark(spark, name, paths[name], full_refresh) for name in INCREMENTAL_MODELS}
+    current = shared_current(spark, bronze, marks, f"{silver_root}/_current")
     for name in INCREMENTAL_MODELS:
-        path = f"{silver_root}/{name}"
-        append_delta(bronze, name, path, batch_id, full_refresh, propagate_deletes)
-        paths[name] = path
-    paths["patients"] = f"{silver_root}/patients"
+        append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
+                     current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name])
     write_table(silver.patients(bronze), paths["patients"], key_columns("patients"))
 
+    cached: dict[str, DataFrame] = {}
+
     def stored(name: str) -> DataFrame:
-        return read_model(spark, paths[name], name)
+        if name not in cached:
+            cached[name] = read_model(spark, paths[name], name).persist(StorageLevel.MEMORY_AND_DISK)
+        return cached[name]
 
     models = Models(bronze, silver_source=stored)
-    for name in CHART_MODELS:
-        paths[name] = f"{silver_root}/{name}"
-        write_table(models[name], paths[name])
+    try:
+        for name in CHART_MODELS:
+            write_table(models[name], paths[name])
+    finally:
+        for df in cached.values():
+            df.unpersist()
     return paths

@@ -1,0 +1,174 @@
+"""C1-C9 and the incremental rules on small inline tables."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from silverline.operators import cdc
+from silverline.plans import incremental as inc
+from silverline.sinks.tables import read_table, table_exists, write_table
+from silverline.session import scratch_dir
+from silverline.sources.bronze import SCHEMAS, Bronze
+
+T0 = dt.datetime(2024, 1, 1)
+EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _resource(spark, rows):
+    return spark.createDataFrame(rows, SCHEMAS["hfj_resource"])
+
+
+def _res_ver(spark, rows):
+    return spark.createDataFrame(rows, SCHEMAS["hfj_res_ver"])
+
+
+def _empty(spark, name):
+    return spark.createDataFrame([], SCHEMAS[name])
+
+
+def _bronze(spark, res, ver):
+    return Bronze(_resource(spark, res), _res_ver(spark, ver), _empty(spark, "hfj_res_link"),
+                  _empty(spark, "hfj_spidx_token"))
+
+
+def _enc(rid, ver, updated, deleted_at=EPOCH, tomb=0, pv=None):
+    return (rid, f"f{rid}", "Encounter", ver, T0, updated, deleted_at, pv or ver, tomb)
+
+
+def _body(rid, ver, text='{"status":"finished","class":{"code":"AMB"}}', pv=2, tomb=0):
+    return (rid, ver, text, pv, tomb)
+
+
+def test_latest_then_tombstone_removes_key(spark):
+    df = _resource(spark, [_enc(1, 1, T0), _enc(1, 2, T0, tomb=1), _enc(2, 1, T0)])
+    out = cdc.final(df, cdc.RESOURCE_KEYS)
+    assert sorted(r.res_id for r in out.collect()) == [2]
+    # filtering first would wrongly bring version 1 of key 1 back
+    wrong = cdc.latest(df.where("_peerdb_is_deleted = 0"), cdc.RESOURCE_KEYS, cdc.BRONZE_ORDER)
+    assert sorted(r.res_id for r in wrong.collect()) == [1, 2]
+
+
+def test_equal_versions_tie_break_is_fixed(spark):
+    rows = [_enc(1, 1, T0, pv=3), _enc(1, 1, T0, tomb=1, pv=3)]
+    for ordered in (rows, rows[::-1]):
+        out = cdc.latest(_resource(spark, ordered), cdc.RESOURCE_KEYS, cdc.BRONZE_ORDER).collect()
+        assert len(out) == 1 and out[0]._peerdb_is_deleted == 1
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(1, 4), st.integers(0, 1)),
+                min_size=1, max_size=30))
+def test_latest_one_row_per_key_with_max_version(spark, rows):
+    df = spark.createDataFrame(rows, "k int, v int, d int")
+    out = cdc.latest(df, ["k"], ["v", "d"]).collect()
+    best = {}
+    for k, v, d in rows:
+        best[k] = max(best.get(k, (v, d)), (v, d))
+    assert sorted((r.k, r.v, r.d) for r in out) == sorted((k, v, d) for k, (v, d) in best.items())
+
+
+def test_soft_delete_flag_and_live(spark):
+    df = _resource(spark, [_enc(1, 1, T0), _enc(2, 1, T0, deleted_at=T0)])
+    flags = {r.res_id: r.is_deleted for r in cdc.with_is_deleted(df).collect()}
+    assert flags == {1: False, 2: True}
+    assert [r.res_id for r in cdc.live(df).collect()] == [1]
+
+
+def test_current_resources_stale_body_loses_and_body_tombstone_drops(spark):
+    res = [_enc(1, 1, T0), _enc(2, 1, T0), _enc(3, 1, T0)]
+    ver = [_body(1, 1), _body(1, 1, '{"stale":true}', pv=1),
+           _body(2, 1, tomb=1), _body(2, 1, '{"stale":true}', pv=1)]  # 3 has no body
+    out = cdc.current_resources(_resource(spark, res), _res_ver(spark, ver)).collect()
+    assert [(r.res_id, r.res_text_vc) for r in out] == [(1, '{"status":"finished","class":{"code":"AMB"}}')]
+
+
+def test_newer_than_is_pushed_to_parquet(spark):
+    path = scratch_dir(spark, "pushdown")
+    _resource(spark, [_enc(1, 1, T0)]).write.parquet(path)
+    df = inc.newer_than(spark.read.schema(SCHEMAS["hfj_resource"]).parquet(path), "res_updated", T0)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(res_updated), GreaterThan(res_updated" in plan
+
+
+def test_empty_target_mark_is_epoch(spark):
+    empty = spark.createDataFrame([], "res_updated timestamp_ntz")
+    assert inc.high_water_mark(empty, "res_updated") == EPOCH
+
+
+def test_incremental_reference_gaps_and_fixes(spark):
+    """Six keys: delete after load, tombstone after load, late rows equal to / older than the mark."""
+    t1, t2 = T0 + dt.timedelta(days=1), T0 + dt.timedelta(days=2)
+    batch1 = [_enc(1, 1, t1), _enc(2, 1, t1), _enc(3, 1, t2), _enc(6, 1, t1)]
+    batch2 = batch1 + [_enc(1, 2, t2 + dt.timedelta(days=1), deleted_at=t2),  # soft delete
+                       _enc(2, 2, t2 + dt.timedelta(days=1), tomb=1),         # tombstone
+                       _enc(4, 1, t2),                                        # equal to the mark
+                       _enc(5, 1, T0),                                        # older than the mark
+                       _enc(6, 2, t2 + dt.timedelta(days=1))]                 # normal update
+    bodies = [_body(k, v) for k in range(1, 7) for v in (1, 2)]
+    b1, b2 = _bronze(spark, batch1, bodies), _bronze(spark, batch2, bodies)
+
+    root = scratch_dir(spark, "gaps")
+    inc.append_delta(b1, "encounters", f"{root}/ref", 1)
+    inc.append_delta(b2, "encounters", f"{root}/ref", 2)
+    ref = {r.encounter_id for r in inc.read_model(spark, f"{root}/ref", "encounters").collect()}
+    assert ref == {1, 2, 3, 6}
+
+    inc.append_delta(b1, "encounters", f"{root}/c9", 1)
+    inc.append_delta(b2, "encounters", f"{root}/c9", 2, propagate_deletes=True)
+    c9 = {r.encounter_id for r in inc.read_model(spark, f"{root}/c9", "encounters").collect()}
+    assert c9 == {3, 6}
+
+    inc.append_delta(b2, "encounters", f"{root}/ref", 3, full_refresh=True)
+    full = {r.encounter_id for r in inc.read_model(spark, f"{root}/ref", "encounters").collect()}
+    assert full == {3, 4, 5, 6}
+
+
+def test_replayed_batch_gives_one_row(spark):
+    b = _bronze(spark, [_enc(1, 1, T0)], [_body(1, 1)])
+    root = scratch_dir(spark, "replay")
+    inc.append_delta(b, "encounters", root, 1)
+    rows = inc.build_full(b, "encounters").withColumn(cdc.BATCH_ID, F.lit(1).cast("bigint")) \
+        .withColumn(inc.DELETED, F.lit(False))
+    rows.write.mode("append").parquet(read_table(spark, root).inputFiles()[0].rsplit("/", 1)[0])
+    assert read_table(spark, root).count() == 2
+    assert inc.read_model(spark, root, "encounters").count() == 1
+
+
+def test_body_arriving_late_is_missed_incrementally_but_not_in_full(spark):
+    res1 = [_enc(1, 1, T0 + dt.timedelta(days=1)), _enc(2, 1, T0)]
+    b1 = _bronze(spark, res1, [_body(1, 1)])            # body of 2 not there yet
+    b2 = _bronze(spark, res1, [_body(1, 1), _body(2, 1)])
+    root = scratch_dir(spark, "late-body")
+    inc.append_delta(b1, "encounters", root, 1)
+    inc.append_delta(b2, "encounters", root, 2)
+    assert {r.encounter_id for r in inc.read_model(spark, root, "encounters").collect()} == {1}
+    assert {r.encounter_id for r in inc.build_full(b2, "encounters").collect()} == {1, 2}
+
+
+def test_compaction_equals_merge_on_read(spark):
+    b1 = _bronze(spark, [_enc(1, 1, T0), _enc(2, 1, T0)], [_body(1, 1), _body(2, 1), _body(2, 2)])
+    b2 = _bronze(spark, [_enc(1, 1, T0), _enc(2, 1, T0), _enc(2, 2, T0 + dt.timedelta(days=3))],
+                 [_body(1, 1), _body(2, 1), _body(2, 2)])
+    root = scratch_dir(spark, "compact")
+    inc.append_delta(b1, "encounters", root, 1)
+    inc.append_delta(b2, "encounters", root, 2)
+    merged = sorted(tuple(r) for r in inc.read_model(spark, root, "encounters").collect())
+    version = inc.compact(spark, root, "encounters")
+    compacted = sorted(tuple(r) for r in spark.read.parquet(version)
+                       .drop(cdc.BATCH_ID, inc.DELETED).collect())
+    assert merged == compacted and len(merged) == 2
+
+
+def test_versioned_table_ignores_uncommitted_version(spark):
+    root = scratch_dir(spark, "atomic")
+    assert not table_exists(spark, root)
+    write_table(spark.range(3), root)
+    # a version folder without _SUCCESS (a crashed writer) is never read
+    spark.range(10).write.parquet(f"{root}/v=999999999999999-crashed")
+    import os
+    os.remove(f"{root}/v=999999999999999-crashed/_SUCCESS".replace("file:", ""))
+    assert read_table(spark, root).count() == 3
+    write_table(spark.range(5), root)
+    assert read_table(spark, root).count() == 5
