@@ -14,7 +14,10 @@ bronze CDC copy to keys with a version newer than the mark before ``final``.
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,11 +26,17 @@ from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, curren
                                       deleted_keys, touched_since)
 from silverline.plans import silver
 from silverline.session import scratch_dir
-from silverline.sinks.tables import append_table, read_table, table_exists, write_table
+from silverline.sinks.tables import (append_table, current_version, partition_values, read_table,
+                                     table_exists, write_table)
 from silverline.sources.bronze import Bronze
 from silverline.sources.fixtures import batch_view
 
 DELETED = "_deleted"
+# Every write job lands in its own ``_write_id=<uuid>`` folder of the table
+# version, so a version with a single folder was written by one job (a full
+# build or a compaction) and is unique per key: it is read without dedup.
+WRITE_ID = "_write_id"
+INTERNAL = (BATCH_ID, DELETED, WRITE_ID)
 EPOCH = dt.datetime(1970, 1, 1)
 INCREMENTAL_MODELS = ("resource", "organizations", "encounters", "conditions", "observations",
                       "careplans", "res_link")
@@ -90,6 +99,20 @@ def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
              .withColumn(DELETED, F.lit(deleted))
 
 
+def store(df: DataFrame, target_path: str, name: str, append: bool) -> str:
+    """Write one job's rows (already stamped) into its own write folder."""
+    df = df.withColumn(WRITE_ID, F.lit("w" + uuid.uuid4().hex))
+    # sorted by the write folder first, so the writer keeps the key order (K5)
+    order = [WRITE_ID, *key_columns(name)]
+    if append:
+        return append_table(df, target_path, order, [WRITE_ID])
+    return write_table(df, target_path, order, [WRITE_ID])
+
+
+def write_jobs(spark: SparkSession, version: str) -> int:
+    return len(partition_values(spark, version, WRITE_ID))
+
+
 def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int) -> DataFrame:
     """One delete marker per key of ``name`` that left the model after ``mark``."""
     res_type, id_col = silver.RESOURCE_MODELS[name]
@@ -120,17 +143,15 @@ def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
     Returns the rows written in this run (read back from storage).
     """
     spark = b.hfj_resource.sparkSession
-    sort_cols = key_columns(name)
     if mark is ...:
         mark = stored_mark(spark, name, target_path, full_refresh)
     if mark is None:
-        rows = _stamp(build_full(b, name, current), batch_id)
-        version = write_table(rows, target_path, sort_cols)
-        return spark.read.parquet(version).where(F.col(BATCH_ID) == batch_id)
-    rows = _stamp(build_delta(b, name, mark, current), batch_id)
-    if propagate_deletes and name in silver.RESOURCE_MODELS:
-        rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id))
-    version = append_table(rows, target_path, sort_cols)
+        version = store(_stamp(build_full(b, name, current), batch_id), target_path, name, False)
+    else:
+        rows = _stamp(build_delta(b, name, mark, current), batch_id)
+        if propagate_deletes and name in silver.RESOURCE_MODELS:
+            rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id))
+        version = store(rows, target_path, name, True)
     return spark.read.parquet(version).where(F.col(BATCH_ID) == batch_id)
 
 
@@ -141,26 +162,38 @@ def final_rows(stored: DataFrame, keys: Sequence[str], version: str,
         [F.col(version).desc(), F.col(BATCH_ID).desc()]
     w = Window.partitionBy(*keys).orderBy(*order)
     picked = stored.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return live_rows(picked)
+
+
+def live_rows(stored: DataFrame) -> DataFrame:
+    """Drop delete markers and the bookkeeping columns."""
     if DELETED in stored.columns:
-        picked = picked.where(~F.col(DELETED))
-    return picked.drop(BATCH_ID, DELETED)
+        stored = stored.where(~F.col(DELETED))
+    return stored.drop(*INTERNAL)
 
 
-def read_model(spark: SparkSession, target_path: str, name: str, final: bool = True) -> DataFrame:
-    """Read a stored model; ``final=True`` deduplicates (what ``FINAL`` does)."""
-    stored = read_table(spark, target_path)
-    if not final:
-        return stored
-    if BATCH_ID not in stored.columns:
+def read_model(spark: SparkSession, target_path: str, name: str, final: bool = True,
+               batch_first: bool = False) -> DataFrame:
+    """Read a stored model; ``final=True`` gives the last row per key (``FINAL``).
+
+    A version written by a single job is unique per key already and is read
+    as is; otherwise C6 merge-on-read picks the last row per key.
+    """
+    version = current_version(spark, target_path)
+    if version is None:
+        raise FileNotFoundError(f"no committed version under {target_path}")
+    stored = spark.read.parquet(version)
+    if not final or BATCH_ID not in stored.columns:
         return stored
-    return final_rows(stored, key_columns(name), version_column(name))
+    if write_jobs(spark, version) <= 1:
+        return live_rows(stored)
+    return final_rows(stored, key_columns(name), version_column(name), batch_first)
 
 
-def compact(spark: SparkSession, target_path: str, name: str) -> str:
+def compact(spark: SparkSession, target_path: str, name: str, batch_first: bool = False) -> str:
     """Rewrite a stored model as its final rows (a new version; equals ``read_model``)."""
-    stored = read_table(spark, target_path)
-    compacted = final_rows(stored, key_columns(name), version_column(name))
-    return write_table(_stamp(compacted, 0), target_path, key_columns(name))
+    compacted = read_model(spark, target_path, name, batch_first=batch_first)
+    return store(_stamp(compacted, 0), target_path, name, append=False)
 
 
 # ---- the two-batch fixture (FIXTURES.md section 4) --------------------------
@@ -178,15 +211,29 @@ def two_batch_query(spark: SparkSession, bronze: Bronze, what: str) -> DataFrame
     delta = append_delta(b2, name, target, batch_id=2,
                          propagate_deletes=(what == "propagated_deletes"))
     if what == "high_water_delta":
-        return delta.drop(BATCH_ID, DELETED)
+        return delta.drop(*INTERNAL)
     if what == "compacted":
         version = compact(spark, target, name)
-        return spark.read.parquet(version).drop(BATCH_ID, DELETED)
+        return spark.read.parquet(version).drop(*INTERNAL)
     return read_model(spark, target, name)
 
 
 # ---- one refresh of every model --------------------------------------------
 
+class _Clock:
+    """Optional wall-clock seconds per refresh step (for the bench)."""
+
+    def __init__(self, sink: dict[str, float] | None):
+        self.sink = sink
+
+    @contextmanager
+    def __call__(self, step: str):
+        start = time.perf_counter()
+        yield
+        if self.sink is not None:
+            self.sink[step] = round(time.perf_counter() - start, 3)
+
+
 def shared_current(spark: SparkSession, bronze: Bronze, marks: dict, root: str) -> DataFrame:
     """C8 once for all five resource models, stored partitioned by ``res_type``.
 
@@ -204,25 +251,41 @@ def shared_current(spark: SparkSession, bronze: Bronze, marks: dict, root: str)
 
 
 def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id: int,
-                full_refresh: bool = False, propagate_deletes: bool = False) -> dict[str, str]:
+                full_refresh: bool = False, propagate_deletes: bool = False,
+                compact_after: int | None = 8, names: dict[str, str] | None = None,
+                timings: dict[str, float] | None = None) -> dict[str, str]:
     """One scheduled run: incremental silver models, then full rebuild of the rest.
 
-    Returns model name -> stored table path.  Charts read silver through
-    ``read_model(final=True)``; each silver table is deduplicated once per
-    run (persisted for the charts that share it, released afterwards).
+    Returns model name -> stored table path.  ``names`` overrides the stored
+    name of a model (K6).  An incremental table that has collected
+    ``compact_after`` write jobs is compacted (C7) after its append, so chart
+    reads stay single-pass.  Charts read silver through
+    ``read_model(final=True)``; each silver table is read once per run
+    (persisted for the charts that share it, released afterwards).
     """
     from pyspark import StorageLevel
 
     from silverline.plans.models import CHART_MODELS, Models
 
-    paths = {name: f"{silver_root}/{name}" for name in
+    clock = _Clock(timings)
+    names = names or {}
+    paths = {name: f"{silver_root}/{names.get(name, name)}" for name in
              (*INCREMENTAL_MODELS, "patients", *CHART_MODELS)}
-    marks = {name: stored_mark(spark, name, paths[name], full_refresh) for name in INCREMENTAL_MODELS}
-    current = shared_current(spark, bronze, marks, f"{silver_root}/_current")
+    with clock("marks"):
+        marks = {name: stored_mark(spark, name, paths[name], full_refresh)
+                 for name in INCREMENTAL_MODELS}
+    with clock("current_resources"):
+        current = shared_current(spark, bronze, marks, f"{silver_root}/_current")
     for name in INCREMENTAL_MODELS:
-        append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
-                     current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name])
-    write_table(silver.patients(bronze), paths["patients"], key_columns("patients"))
+        with clock(name):
+            append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
+                         current=current if name in silver.RESOURCE_MODELS else None,
+                         mark=marks[name])
+            version = current_version(spark, paths[name])
+            if compact_after and write_jobs(spark, version) >= compact_after:
+                compact(spark, paths[name], name)
+    with clock("patients"):
+        write_table(silver.patients(bronze), paths["patients"], key_columns("patients"))
 
     cached: dict[str, DataFrame] = {}
 
@@ -234,7 +297,8 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     models = Models(bronze, silver_source=stored)
     try:
         for name in CHART_MODELS:
-            write_table(models[name], paths[name])
+            with clock(name):
+                write_table(models[name], paths[name])
     finally:
         for df in cached.values():
             df.unpersist()

@@ -87,16 +87,28 @@ def write_table(df: DataFrame, table_path: str, sort_cols: Sequence[str] | None
     return version
 
 
-def append_table(df: DataFrame, table_path: str, sort_cols: Sequence[str] | None = None) -> str:
+def append_table(df: DataFrame, table_path: str, sort_cols: Sequence[str] | None = None,
+                 partition_by: Sequence[str] | None = None) -> str:
     """K2: add rows to the current version (one committed job)."""
     spark = df.sparkSession
     version = current_version(spark, table_path)
     if version is None:
-        return write_table(df, table_path, sort_cols)
-    _clustered(df, sort_cols, False).write.mode("append").parquet(version)
+        return write_table(df, table_path, sort_cols, partition_by)
+    writer = _clustered(df, sort_cols, False).write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(version)
     return version
 
 
+def partition_values(spark: SparkSession, folder: str, column: str) -> list[str]:
+    """Values of a ``column=value`` partition level directly under ``folder``."""
+    fs, root = _fs(spark, folder)
+    prefix = f"{column}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(root)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
 def _prune(spark: SparkSession, table_path: str, keep: int) -> None:
     versions = committed_versions(spark, table_path)
     for old in versions[:-keep] if keep > 0 else []:

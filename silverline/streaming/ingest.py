@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.plans import silver
-from silverline.plans.incremental import BATCH_ID, DELETED, final_rows, key_columns, version_column
+from silverline.plans.incremental import BATCH_ID, DELETED, read_model, store
 from silverline.session import scratch_dir
-from silverline.sinks.tables import append_table, read_table
 from silverline.sources.bronze import SCHEMAS, Bronze, read_bronze
 from silverline.sources.fixtures import two_batch_resource
 
@@ -61,10 +60,13 @@ def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: s
     changes = ids_of("hfj_resource").unionByName(ids_of("hfj_res_ver"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ids = batch.distinct()
-        out = _rederive(spark, bronze_root, static, name, ids)
-        append_table(out.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint")), target_path,
-                     key_columns(name))
+        ids = batch.distinct().persist()
+        try:
+            out = _rederive(spark, bronze_root, static, name, ids)
+            store(out.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint")), target_path, name,
+                  append=True)
+        finally:
+            ids.unpersist()
 
     return (changes.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
@@ -74,8 +76,7 @@ def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: s
 
 def read_stream_model(spark: SparkSession, target_path: str, name: str) -> DataFrame:
     """R2: the model as of the last batch: newest batch per key wins."""
-    return final_rows(read_table(spark, target_path), key_columns(name), version_column(name),
-                      batch_first=True)
+    return read_model(spark, target_path, name, batch_first=True)
 
 
 def two_batch_stream(spark: SparkSession, bronze: Bronze, name: str = "encounters") -> DataFrame:
