@@ -21,6 +21,11 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what AQE has measured: no broadcast chosen from
+    # compile-time estimates (compressed file sizes understate a side), and a
+    # runtime threshold on the actual shuffle output of the small side.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
