@@ -16,7 +16,8 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -250,9 +251,22 @@ def shared_current(spark: SparkSession, bronze: Bronze, marks: dict, root: str)
     return spark.read.parquet(version)
 
 
+def _run_all(tasks: dict[str, Callable[[], object]], parallel: int, clock: "_Clock") -> dict:
+    """Run independent Spark jobs from a thread pool (each job is still distributed)."""
+    def timed(name):
+        with clock(name):
+            return tasks[name]()
+    if parallel <= 1:
+        return {name: timed(name) for name in tasks}
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = {name: pool.submit(timed, name) for name in tasks}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id: int,
                 full_refresh: bool = False, propagate_deletes: bool = False,
                 compact_after: int | None = 8, names: dict[str, str] | None = None,
+                parallel_jobs: int = 4,
                 timings: dict[str, float] | None = None) -> dict[str, str]:
     """One scheduled run: incremental silver models, then full rebuild of the rest.
 
@@ -262,6 +276,7 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     reads stay single-pass.  Charts read silver through
     ``read_model(final=True)``; each silver table is read once per run
     (persisted for the charts that share it, released afterwards).
+    Independent writes are submitted ``parallel_jobs`` at a time.
     """
     from pyspark import StorageLevel
 
@@ -271,34 +286,33 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     names = names or {}
     paths = {name: f"{silver_root}/{names.get(name, name)}" for name in
              (*INCREMENTAL_MODELS, "patients", *CHART_MODELS)}
-    with clock("marks"):
-        marks = {name: stored_mark(spark, name, paths[name], full_refresh)
-                 for name in INCREMENTAL_MODELS}
+    marks = _run_all({f"mark:{name}": (lambda n=name: stored_mark(spark, n, paths[n], full_refresh))
+                      for name in INCREMENTAL_MODELS}, parallel_jobs, _Clock(None))
+    marks = {name: marks[f"mark:{name}"] for name in INCREMENTAL_MODELS}
     with clock("current_resources"):
         current = shared_current(spark, bronze, marks, f"{silver_root}/_current")
-    for name in INCREMENTAL_MODELS:
-        with clock(name):
-            append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
-                         current=current if name in silver.RESOURCE_MODELS else None,
-                         mark=marks[name])
-            version = current_version(spark, paths[name])
-            if compact_after and write_jobs(spark, version) >= compact_after:
-                compact(spark, paths[name], name)
-    with clock("patients"):
-        write_table(silver.patients(bronze), paths["patients"], key_columns("patients"))
-
-    cached: dict[str, DataFrame] = {}
-
-    def stored(name: str) -> DataFrame:
-        if name not in cached:
-            cached[name] = read_model(spark, paths[name], name).persist(StorageLevel.MEMORY_AND_DISK)
-        return cached[name]
-
-    models = Models(bronze, silver_source=stored)
+
+    def refresh_one(name: str) -> None:
+        append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
+                     current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name])
+        version = current_version(spark, paths[name])
+        if compact_after and write_jobs(spark, version) >= compact_after:
+            compact(spark, paths[name], name)
+
+    silver_tasks: dict[str, Callable[[], object]] = {
+        name: (lambda n=name: refresh_one(n)) for name in INCREMENTAL_MODELS}
+    silver_tasks["patients"] = lambda: write_table(silver.patients(bronze), paths["patients"],
+                                                   key_columns("patients"))
+    _run_all(silver_tasks, parallel_jobs, clock)
+
+    needed = sorted({i for _, inputs in CHART_MODELS.values() for i in inputs
+                     if not i.startswith("@")})
+    cached = {name: read_model(spark, paths[name], name).persist(StorageLevel.MEMORY_AND_DISK)
+              for name in needed}
+    models = Models(bronze, silver_source=cached.__getitem__)
     try:
-        for name in CHART_MODELS:
-            with clock(name):
-                write_table(models[name], paths[name])
+        _run_all({name: (lambda n=name: write_table(models[n], paths[n])) for name in CHART_MODELS},
+                 parallel_jobs, clock)
     finally:
         for df in cached.values():
             df.unpersist()
