@@ -139,7 +139,10 @@ def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
     meta = latest(meta, RESOURCE_KEYS, BRONZE_ORDER).where(F.col("res_type") == res_type)
     if mark is not None:
         meta = newer_than(meta, "res_updated", mark)
-    body = latest(res_ver.select("res_id", "res_ver", CDC_VERSION, TOMBSTONE),
+    # only the bodies of these versions (their own dedup key, so exact), then FINAL
+    keys = meta.select("res_id", "res_ver")
+    body = latest(res_ver.select("res_id", "res_ver", CDC_VERSION, TOMBSTONE)
+                  .join(keys, list(RES_VER_KEYS), "left_semi"),
                   RES_VER_KEYS, BRONZE_ORDER).withColumnRenamed(TOMBSTONE, "_body_deleted")
     joined = meta.join(body.select("res_id", "res_ver", "_body_deleted"),
                        list(RES_VER_KEYS), "left")

@@ -37,7 +37,7 @@ def _sum_by_name(counted: DataFrame, organizations: DataFrame, target: str,
 
 def kpi_totals(resource: DataFrame, conditions: DataFrame, res_link: DataFrame,
                organizations: DataFrame, hfj_resource: DataFrame) -> DataFrame:
-    """One row of headline numbers; one scan per source (A10), joined as one-row frames."""
+    """One row of headline numbers; one scan per source (A10)."""
     live_r = ~F.col("is_deleted")
     rs = resource.agg(
         F.count_if((F.col("res_type") == "Patient") & live_r).alias("total_pasien"),
@@ -56,10 +56,21 @@ def kpi_totals(resource: DataFrame, conditions: DataFrame, res_link: DataFrame,
         .agg(F.countDistinct("nama_puskesmas").alias("puskesmas_aktif"))
     fr = final(hfj_resource.select("res_id", "res_updated", "_peerdb_version", "_peerdb_is_deleted"),
                RESOURCE_KEYS).agg(F.max("res_updated").alias("data_terakhir_diperbarui"))
-    # All four sides are single-row aggregates, so the cross join is 1x1x1x1.
-    return rs.crossJoin(cs).crossJoin(fk).crossJoin(fr).select(
-        "total_pasien", "total_kunjungan", "total_diagnosis_tercatat", "puskesmas_aktif",
-        "kasus_hipertensi", "kasus_diabetes", "data_terakhir_diperbarui")
+    # J6 without a join: every part is a single-row aggregate, so the parts are
+    # stacked (four rows, each filling its own columns) and folded into one row.
+    return _one_row([rs, cs, fk, fr], KPI_COLUMNS)
+
+
+KPI_COLUMNS = ("total_pasien", "total_kunjungan", "total_diagnosis_tercatat", "puskesmas_aktif",
+               "kasus_hipertensi", "kasus_diabetes", "data_terakhir_diperbarui")
+
+
+def _one_row(parts: list[DataFrame], columns: tuple[str, ...]) -> DataFrame:
+    """Combine single-row aggregates into one row (what a 1x1 cross join gives)."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in columns])
 
 
 def encounter_class(encounters: DataFrame) -> DataFrame:
