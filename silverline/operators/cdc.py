@@ -101,12 +101,16 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
                       res_type: str | Sequence[str] | None = None) -> DataFrame:
     """Live resources joined to the JSON body of their current version.
 
-    resource FINAL (narrow columns) -> not tombstoned -> not soft-deleted ->
-    type filter, then the bodies of exactly those ``(res_id, res_ver)`` pairs,
-    FINAL, not tombstoned.  Joining before the body dedup is exact because
-    ``(res_id, res_ver)`` is the body's dedup key and the metadata side is
-    unique on it; it lets the join prune the wide JSON table first, and the
-    dedup window reuses the join's partitioning instead of a new exchange.
+    Metadata: FINAL on narrow columns -> not tombstoned -> not soft-deleted
+    (-> type filter).  Bodies: FINAL per ``(res_id, res_ver)``, not
+    tombstoned.  Then an inner join on ``(res_id, res_ver)``.
+
+    The body dedup runs before its exchange (partial ``WindowGroupLimit``), so
+    many CDC copies of one body are cut to one per map partition before the
+    shuffle; the join then reuses that hash partitioning, so the wide JSON
+    is shuffled once.  With a type filter the bodies are first semi-joined to
+    the current keys of that type (exact: it is the body's own dedup key),
+    which AQE turns into a map-side filter when the type is small.
     """
     meta = live(final(
         resource.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
@@ -118,8 +122,9 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
         meta = meta.where(F.col("res_type").isin(*types))
     meta = meta.select("res_id", "res_ver", "res_type", "res_published", "res_updated")
     bodies = res_ver.select("res_id", "res_ver", "res_text_vc", CDC_VERSION, TOMBSTONE)
-    joined = bodies.join(meta, list(RES_VER_KEYS), "inner")
-    current = final(joined, RES_VER_KEYS)
+    if res_type is not None:
+        bodies = bodies.join(meta.select(*RES_VER_KEYS), list(RES_VER_KEYS), "left_semi")
+    current = final(bodies, RES_VER_KEYS).join(meta, list(RES_VER_KEYS), "inner")
     return current.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
                           "res_text_vc")
 
