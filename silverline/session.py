@@ -7,7 +7,6 @@ finds a folder every executor can reach.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,12 +77,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
