@@ -97,32 +97,47 @@ def touched_since(df: DataFrame, keys: Sequence[str], col: str, mark) -> DataFra
     return df.join(changed, list(keys), "left_semi")
 
 
+META_COLUMNS = ("res_id", "fhir_id", "res_type", "res_ver", "res_published", "res_updated",
+                "res_deleted_at", CDC_VERSION, TOMBSTONE)
+
+
+def final_metadata(resource: DataFrame) -> DataFrame:
+    """C1 on the resource metadata: the winning version of every id, tombstones kept.
+
+    Everything that reads resource metadata (``resource``, C8, ``patients``,
+    freshness, C9) starts from this; a scheduled refresh computes it once.
+    """
+    return latest(resource.select(*META_COLUMNS), RESOURCE_KEYS, BRONZE_ORDER)
+
+
 def current_resources(resource: DataFrame, res_ver: DataFrame,
-                      res_type: str | Sequence[str] | None = None) -> DataFrame:
+                      res_type: str | Sequence[str] | None = None,
+                      winners: DataFrame | None = None,
+                      prefilter: bool | None = None) -> DataFrame:
     """Live resources joined to the JSON body of their current version.
 
-    Metadata: FINAL on narrow columns -> not tombstoned -> not soft-deleted
-    (-> type filter).  Bodies: FINAL per ``(res_id, res_ver)``, not
-    tombstoned.  Then an inner join on ``(res_id, res_ver)``.
+    Metadata: FINAL (or the given ``winners`` of ``final_metadata``) -> not
+    tombstoned -> not soft-deleted (-> type filter).  Bodies: FINAL per
+    ``(res_id, res_ver)``, not tombstoned.  Then an inner join on
+    ``(res_id, res_ver)``.
 
     The body dedup runs before its exchange (partial ``WindowGroupLimit``), so
     many CDC copies of one body are cut to one per map partition before the
     shuffle; the join then reuses that hash partitioning, so the wide JSON
-    is shuffled once.  With a type filter the bodies are first semi-joined to
-    the current keys of that type (exact: it is the body's own dedup key),
-    which AQE turns into a map-side filter when the type is small.
+    is shuffled once.  When the metadata side is selective (a type filter,
+    or the delta of an incremental run: ``prefilter``), the bodies are first
+    semi-joined to its keys (exact: it is the body's own dedup key), which
+    AQE turns into a map-side filter when that side is small.
     """
-    meta = live(final(
-        resource.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
-                        "res_deleted_at", CDC_VERSION, TOMBSTONE),
-        RESOURCE_KEYS,
-    ))
+    if winners is None:
+        winners = final_metadata(resource)
+    meta = live(drop_tombstones(winners))
     if res_type is not None:
         types = [res_type] if isinstance(res_type, str) else list(res_type)
         meta = meta.where(F.col("res_type").isin(*types))
     meta = meta.select("res_id", "res_ver", "res_type", "res_published", "res_updated")
     bodies = res_ver.select("res_id", "res_ver", "res_text_vc", CDC_VERSION, TOMBSTONE)
-    if res_type is not None:
+    if prefilter if prefilter is not None else res_type is not None:
         bodies = bodies.join(meta.select(*RES_VER_KEYS), list(RES_VER_KEYS), "left_semi")
     current = final(bodies, RES_VER_KEYS).join(meta, list(RES_VER_KEYS), "inner")
     return current.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
@@ -130,18 +145,21 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
 
 
 def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
-                 mark=None) -> DataFrame:
+                 mark=None, winners: DataFrame | None = None) -> DataFrame:
     """C9 helper: ids of ``res_type`` changed after ``mark`` that are no longer live.
 
     A key is gone when its last metadata version is a tombstone or
     soft-deleted, or when the body of that version is tombstoned.  Returns
-    ``res_id`` and the ``res_updated`` of the deleting version.
+    ``res_id`` and the ``res_updated`` of the deleting version.  ``winners``
+    (from ``final_metadata``) saves the metadata dedup; without it only the
+    ids touched since ``mark`` are deduplicated.
     """
-    meta = resource.select("res_id", "res_type", "res_ver", "res_updated", "res_deleted_at",
-                           CDC_VERSION, TOMBSTONE)
-    if mark is not None:
-        meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark)
-    meta = latest(meta, RESOURCE_KEYS, BRONZE_ORDER).where(F.col("res_type") == res_type)
+    if winners is None:
+        meta = resource.select(*META_COLUMNS)
+        if mark is not None:
+            meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark)
+        winners = latest(meta, RESOURCE_KEYS, BRONZE_ORDER)
+    meta = winners.where(F.col("res_type") == res_type)
     if mark is not None:
         meta = newer_than(meta, "res_updated", mark)
     # only the bodies of these versions (their own dedup key, so exact), then FINAL

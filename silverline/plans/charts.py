@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from silverline.functions.scalars import (DIAGNOSED, DIASTOLIC, LOINC_BLOOD_PRESSURE,
                                           NOT_DIAGNOSED, PTM_DIABETES, PTM_HYPERTENSION,
                                           SYSTOLIC, bp_category, to_date_of)
-from silverline.operators.cdc import RESOURCE_KEYS, TOKEN_KEYS, final
+from silverline.operators.cdc import TOKEN_KEYS, final
 from silverline.operators.links import (CAREPLAN_ENCOUNTER, ENCOUNTER_SERVICE_PROVIDER,
                                         edges, membership_flag)
 
@@ -36,8 +36,12 @@ def _sum_by_name(counted: DataFrame, organizations: DataFrame, target: str,
 
 
 def kpi_totals(resource: DataFrame, conditions: DataFrame, res_link: DataFrame,
-               organizations: DataFrame, hfj_resource: DataFrame) -> DataFrame:
-    """One row of headline numbers; one scan per source (A10)."""
+               organizations: DataFrame, bronze_live: DataFrame) -> DataFrame:
+    """One row of headline numbers; one scan per source (A10).
+
+    ``bronze_live`` is bronze metadata FINAL without tombstones (soft-deleted
+    rows included), the source of the freshness time.
+    """
     live_r = ~F.col("is_deleted")
     rs = resource.agg(
         F.count_if((F.col("res_type") == "Patient") & live_r).alias("total_pasien"),
@@ -54,8 +58,7 @@ def kpi_totals(resource: DataFrame, conditions: DataFrame, res_link: DataFrame,
     fk = organizations.join(targets, organizations["organization_id"] == targets["_org_id"],
                             "left_semi") \
         .agg(F.countDistinct("nama_puskesmas").alias("puskesmas_aktif"))
-    fr = final(hfj_resource.select("res_id", "res_updated", "_peerdb_version", "_peerdb_is_deleted"),
-               RESOURCE_KEYS).agg(F.max("res_updated").alias("data_terakhir_diperbarui"))
+    fr = bronze_live.agg(F.max("res_updated").alias("data_terakhir_diperbarui"))
     # J6 without a join: every part is a single-row aggregate, so the parts are
     # stacked (four rows, each filling its own columns) and folded into one row.
     return _one_row([rs, cs, fk, fr], KPI_COLUMNS)

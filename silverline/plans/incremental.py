@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, current_resources,
-                                      deleted_keys, touched_since)
+                                      deleted_keys, final_metadata, touched_since)
 from silverline.plans import silver
 from silverline.session import scratch_dir
 from silverline.sinks.tables import (append_table, current_version, partition_values, read_table,
@@ -69,9 +69,12 @@ def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
     return df.where(F.col(col) > mark_literal(mark))
 
 
-def build_full(b: Bronze, name: str, current: DataFrame | None = None) -> DataFrame:
+def build_full(b: Bronze, name: str, current: DataFrame | None = None,
+               winners: DataFrame | None = None) -> DataFrame:
     if name in silver.RESOURCE_MODELS:
         return silver.SILVER_BUILDERS[name](b, current)
+    if name in ("resource", "patients"):
+        return silver.SILVER_BUILDERS[name](b, winners)
     return silver.SILVER_BUILDERS[name](b)
 
 
@@ -85,14 +88,17 @@ def touched_bronze(b: Bronze, name: str, mark) -> Bronze:
                   b.hfj_res_ver, b.hfj_res_link, b.hfj_spidx_token)
 
 
-def build_delta(b: Bronze, name: str, mark, current: DataFrame | None = None) -> DataFrame:
+def build_delta(b: Bronze, name: str, mark, current: DataFrame | None = None,
+                winners: DataFrame | None = None) -> DataFrame:
     """Rows of model ``name`` whose version is newer than ``mark``.
 
-    Only keys touched since the mark are deduplicated.  ``current`` may be a
-    shared C8 result computed from a mark no later than this one.
+    With the run's shared ``winners`` / ``current`` the delta is a filter on
+    them; without, only keys touched since the mark are deduplicated.
+    Either way the result equals the full build filtered by the mark.
     """
-    source = b if current is not None else touched_bronze(b, name, mark)
-    return newer_than(build_full(source, name, current), version_column(name), mark)
+    shared = current if name in silver.RESOURCE_MODELS else winners if name == "resource" else None
+    source = b if shared is not None else touched_bronze(b, name, mark)
+    return newer_than(build_full(source, name, current, winners), version_column(name), mark)
 
 
 def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
@@ -114,10 +120,11 @@ def write_jobs(spark: SparkSession, version: str) -> int:
     return len(partition_values(spark, version, WRITE_ID))
 
 
-def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int) -> DataFrame:
+def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int,
+             winners: DataFrame | None = None) -> DataFrame:
     """One delete marker per key of ``name`` that left the model after ``mark``."""
     res_type, id_col = silver.RESOURCE_MODELS[name]
-    gone = deleted_keys(b.hfj_resource, b.hfj_res_ver, res_type, mark_literal(mark))
+    gone = deleted_keys(b.hfj_resource, b.hfj_res_ver, res_type, mark_literal(mark), winners)
     cols = []
     for field in like.schema.fields:
         if field.name == id_col:
@@ -138,7 +145,8 @@ def stored_mark(spark: SparkSession, name: str, target_path: str, full_refresh:
 
 def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
                  full_refresh: bool = False, propagate_deletes: bool = False,
-                 current: DataFrame | None = None, mark=...) -> DataFrame:
+                 current: DataFrame | None = None, mark=...,
+                 winners: DataFrame | None = None) -> DataFrame:
     """K2/K3/K4 (+C9): refresh one incremental model stored at ``target_path``.
 
     Returns the rows written in this run (read back from storage).
@@ -147,11 +155,13 @@ def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
     if mark is ...:
         mark = stored_mark(spark, name, target_path, full_refresh)
     if mark is None:
-        version = store(_stamp(build_full(b, name, current), batch_id), target_path, name, False)
+        version = store(_stamp(build_full(b, name, current, winners), batch_id), target_path,
+                        name, False)
     else:
-        rows = _stamp(build_delta(b, name, mark, current), batch_id)
+        rows = _stamp(build_delta(b, name, mark, current, winners), batch_id)
         if propagate_deletes and name in silver.RESOURCE_MODELS:
-            rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id))
+            rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id,
+                                             winners))
         version = store(rows, target_path, name, True)
     return spark.read.parquet(version).where(F.col(BATCH_ID) == batch_id)
 
@@ -235,18 +245,21 @@ class _Clock:
             self.sink[step] = round(time.perf_counter() - start, 3)
 
 
-def shared_current(spark: SparkSession, bronze: Bronze, marks: dict, root: str) -> DataFrame:
+def shared_current(spark: SparkSession, bronze: Bronze, winners: DataFrame, marks: dict,
+                   root: str) -> DataFrame:
     """C8 once for all five resource models, stored partitioned by ``res_type``.
 
-    With marks, only keys touched since the earliest of them are included
-    (each model then applies its own, later or equal, mark).  Storing it
+    With marks (an incremental run) only winners newer than the earliest of
+    them are joined to their bodies, and the bodies are pre-filtered to those
+    keys; each model then applies its own, later or equal, mark.  Storing it
     cuts the lineage and lets each model read just its type's partition.
     """
     res_marks = [marks[n] for n in silver.RESOURCE_MODELS]
-    meta = bronze.hfj_resource
-    if all(m is not None for m in res_marks):
-        meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark_literal(min(res_marks)))
-    current = current_resources(meta, bronze.hfj_res_ver)
+    incremental = all(m is not None for m in res_marks)
+    if incremental:
+        winners = newer_than(winners, "res_updated", min(res_marks))
+    current = current_resources(bronze.hfj_resource, bronze.hfj_res_ver, winners=winners,
+                                prefilter=incremental)
     version = write_table(current, root, partition_by=["res_type"])
     return spark.read.parquet(version)
 
@@ -289,27 +302,32 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     marks = _run_all({f"mark:{name}": (lambda n=name: stored_mark(spark, n, paths[n], full_refresh))
                       for name in INCREMENTAL_MODELS}, parallel_jobs, _Clock(None))
     marks = {name: marks[f"mark:{name}"] for name in INCREMENTAL_MODELS}
+    # one dedup of the bronze metadata per run, shared by every consumer
+    with clock("final_metadata"):
+        winners = spark.read.parquet(write_table(final_metadata(bronze.hfj_resource),
+                                                 f"{silver_root}/_final_metadata"))
     with clock("current_resources"):
-        current = shared_current(spark, bronze, marks, f"{silver_root}/_current")
+        current = shared_current(spark, bronze, winners, marks, f"{silver_root}/_current")
 
     def refresh_one(name: str) -> None:
         append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
-                     current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name])
+                     current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name],
+                     winners=winners)
         version = current_version(spark, paths[name])
         if compact_after and write_jobs(spark, version) >= compact_after:
             compact(spark, paths[name], name)
 
     silver_tasks: dict[str, Callable[[], object]] = {
         name: (lambda n=name: refresh_one(n)) for name in INCREMENTAL_MODELS}
-    silver_tasks["patients"] = lambda: write_table(silver.patients(bronze), paths["patients"],
-                                                   key_columns("patients"))
+    silver_tasks["patients"] = lambda: write_table(silver.patients(bronze, winners),
+                                                   paths["patients"], key_columns("patients"))
     _run_all(silver_tasks, parallel_jobs, clock)
 
     needed = sorted({i for _, inputs in CHART_MODELS.values() for i in inputs
                      if not i.startswith("@")})
     cached = {name: read_model(spark, paths[name], name).persist(StorageLevel.MEMORY_AND_DISK)
               for name in needed}
-    models = Models(bronze, silver_source=cached.__getitem__)
+    models = Models(bronze, silver_source=cached.__getitem__, winners=winners)
     try:
         _run_all({name: (lambda n=name: write_table(models[n], paths[n])) for name in CHART_MODELS},
                  parallel_jobs, clock)

@@ -12,17 +12,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from silverline.operators.cdc import current_resources
+from silverline.operators.cdc import current_resources, drop_tombstones
 from silverline.plans import charts, silver
 from silverline.sources.bronze import Bronze
 
 SILVER_MODELS = ("resource", "organizations", "encounters", "conditions", "observations",
                  "careplans", "res_link", "patients")
 
-# chart -> (builder, inputs); an input starting with "@" is a bronze table.
+# chart -> (builder, inputs); an input starting with "@" comes from bronze:
+# a bronze table, or "@bronze_live" (metadata FINAL without tombstones).
 CHART_MODELS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "kpi_totals": (charts.kpi_totals,
-                   ("resource", "conditions", "res_link", "organizations", "@hfj_resource")),
+                   ("resource", "conditions", "res_link", "organizations", "@bronze_live")),
     "encounter_class": (charts.encounter_class, ("encounters",)),
     "resource_daily_growth": (charts.resource_daily_growth, ("resource",)),
     "top_diagnosis": (charts.top_diagnosis, ("conditions",)),
@@ -49,19 +50,28 @@ class Models:
     """
 
     def __init__(self, bronze: Bronze, current: DataFrame | None = None,
-                 silver_source: Callable[[str], DataFrame] | None = None):
+                 silver_source: Callable[[str], DataFrame] | None = None,
+                 winners: DataFrame | None = None):
         self.bronze = bronze
         self._current = current
         self._silver_source = silver_source
+        self._winners = winners
         self._memo: dict[str, DataFrame] = {}
 
     @property
     def current(self) -> DataFrame:
         """C8 over every type (a refresh materialises this once)."""
         if self._current is None:
-            self._current = current_resources(self.bronze.hfj_resource, self.bronze.hfj_res_ver)
+            self._current = current_resources(self.bronze.hfj_resource, self.bronze.hfj_res_ver,
+                                              winners=self._winners)
         return self._current
 
+    def bronze_live(self) -> DataFrame:
+        """Bronze metadata FINAL without tombstones (what the ``resource`` model holds)."""
+        if self._winners is not None:
+            return drop_tombstones(self._winners)
+        return silver.resource(self.bronze)
+
     def _build_silver(self, name: str) -> DataFrame:
         if self._silver_source is not None:
             return self._silver_source(name)
@@ -70,9 +80,13 @@ class Models:
             # Without a shared, stored ``current`` the type filter goes on the
             # metadata side before the body join (fewer bodies joined).
             return builder(self.bronze, self._current)
+        if name in ("resource", "patients"):
+            return builder(self.bronze, self._winners)
         return builder(self.bronze)
 
     def get(self, name: str) -> DataFrame:
+        if name == "@bronze_live":
+            return self.bronze_live()
         if name.startswith("@"):
             return getattr(self.bronze, name[1:])
         if name not in self._memo:

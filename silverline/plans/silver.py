@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from silverline.functions.scalars import (fhir_date, json_fields, ptm_category,
                                           to_date_of, to_double_or_null)
-from silverline.operators.cdc import (LINK_KEYS, RESOURCE_KEYS, current_resources,
-                                      final, is_deleted, live)
+from silverline.operators.cdc import (LINK_KEYS, current_resources, drop_tombstones, final,
+                                      final_metadata, is_deleted, live)
 from silverline.operators.links import ENCOUNTER_SUBJECT
 from silverline.sources.bronze import Bronze
 
@@ -48,11 +48,13 @@ def _current(b: Bronze, res_type: str, current: DataFrame | None) -> DataFrame:
     return current.where(F.col("res_type") == res_type)
 
 
-def resource(b: Bronze) -> DataFrame:
+def _winners(b: Bronze, winners: DataFrame | None) -> DataFrame:
+    return final_metadata(b.hfj_resource) if winners is None else winners
+
+
+def resource(b: Bronze, winners: DataFrame | None = None) -> DataFrame:
     """Latest, non-tombstoned metadata of every resource, soft deletes flagged."""
-    r = final(b.hfj_resource.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
-                                    "res_deleted_at", "_peerdb_version", "_peerdb_is_deleted"),
-              RESOURCE_KEYS)
+    r = drop_tombstones(_winners(b, winners))
     return r.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
                     is_deleted().alias("is_deleted"))
 
@@ -130,7 +132,7 @@ def res_link(b: Bronze) -> DataFrame:
         "target_resource_type", "target_resource_id", "sp_updated")
 
 
-def patients(b: Bronze) -> DataFrame:
+def patients(b: Bronze, winners: DataFrame | None = None) -> DataFrame:
     """Live patients x their linked live encounters; unlinked patients kept once.
 
     ``p LEFT JOIN links LEFT JOIN encounters`` is evaluated as
@@ -140,8 +142,7 @@ def patients(b: Bronze) -> DataFrame:
     can split, and the unlinked patients never enter the second join with a
     NULL key (which would hash them all into one task).
     """
-    r = live(final(b.hfj_resource.select("res_id", "fhir_id", "res_type", "res_deleted_at",
-                                         "_peerdb_version", "_peerdb_is_deleted"), RESOURCE_KEYS))
+    r = live(drop_tombstones(_winners(b, winners)))
     pts = r.where(F.col("res_type") == "Patient").select(
         F.col("res_id").alias("patient_res_id"), F.col("fhir_id").alias("patient_id"))
     encs = r.where(F.col("res_type") == "Encounter").select(

@@ -218,9 +218,11 @@ def write_bronze(bronze: Bronze, root: str) -> None:
 
 # Two-batch fixture for incremental loads (FIXTURES.md section 4) -----------
 
-def two_batch_resource(bronze: Bronze) -> DataFrame:
-    """Encounter metadata rows with an ``arrival`` batch and shifted ``res_updated``."""
-    r = bronze.hfj_resource.where(F.col("res_type") == "Encounter")
+def two_batch_resource(bronze: Bronze, res_type: str | None = "Encounter") -> DataFrame:
+    """Metadata rows (of one type, or all) with an ``arrival`` batch and shifted ``res_updated``."""
+    r = bronze.hfj_resource
+    if res_type is not None:
+        r = r.where(F.col("res_type") == res_type)
     rid, ver = F.col("res_id"), F.col("res_ver")
     arrival = F.when((ver == 2) | (rid % 23 == 0) | (rid % 29 == 0), 2).otherwise(1)
     shifted = F.when((ver == 2) | (rid % 29 == 0),
