@@ -287,9 +287,8 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     name of a model (K6).  An incremental table that has collected
     ``compact_after`` write jobs is compacted (C7) after its append, so chart
     reads stay single-pass.  Charts read silver through
-    ``read_model(final=True)``; each silver table is read once per run
-    (persisted for the charts that share it, released afterwards).
-    Independent writes are submitted ``parallel_jobs`` at a time.
+    ``read_model(final=True)``.  Independent writes are submitted
+    ``parallel_jobs`` at a time.
     """
     from pyspark import StorageLevel
 
@@ -323,15 +322,24 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
                                                    paths["patients"], key_columns("patients"))
     _run_all(silver_tasks, parallel_jobs, clock)
 
+    # Charts read silver straight from Parquet (column pruning per chart).  A
+    # table holding several write jobs needs merge-on-read; that one is
+    # deduplicated once and persisted for the charts sharing it.
     needed = sorted({i for _, inputs in CHART_MODELS.values() for i in inputs
                      if not i.startswith("@")})
-    cached = {name: read_model(spark, paths[name], name).persist(StorageLevel.MEMORY_AND_DISK)
-              for name in needed}
-    models = Models(bronze, silver_source=cached.__getitem__, winners=winners)
+    inputs: dict[str, DataFrame] = {}
+    persisted: list[DataFrame] = []
+    for name in needed:
+        df = read_model(spark, paths[name], name)
+        if name in INCREMENTAL_MODELS and write_jobs(spark, current_version(spark, paths[name])) > 1:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            persisted.append(df)
+        inputs[name] = df
+    models = Models(bronze, silver_source=inputs.__getitem__, winners=winners)
     try:
         _run_all({name: (lambda n=name: write_table(models[n], paths[n])) for name in CHART_MODELS},
                  parallel_jobs, clock)
     finally:
-        for df in cached.values():
+        for df in persisted:
             df.unpersist()
     return paths
