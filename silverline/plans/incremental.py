@@ -27,8 +27,8 @@ from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, curren
                                       deleted_keys, final_metadata, touched_since)
 from silverline.plans import silver
 from silverline.session import scratch_dir
-from silverline.sinks.tables import (append_table, current_version, partition_values, read_table,
-                                     table_exists, write_table)
+from silverline.sinks.tables import (append_table, current_version, list_names,
+                                     partition_values, touch, write_table)
 from silverline.sources.bronze import Bronze
 from silverline.sources.fixtures import batch_view
 
@@ -37,6 +37,7 @@ DELETED = "_deleted"
 # version, so a version with a single folder was written by one job (a full
 # build or a compaction) and is unique per key: it is read without dedup.
 WRITE_ID = "_write_id"
+MARKS = "_marks"
 INTERNAL = (BATCH_ID, DELETED, WRITE_ID)
 EPOCH = dt.datetime(1970, 1, 1)
 INCREMENTAL_MODELS = ("resource", "organizations", "encounters", "conditions", "observations",
@@ -107,13 +108,51 @@ def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
 
 
 def store(df: DataFrame, target_path: str, name: str, append: bool) -> str:
-    """Write one job's rows (already stamped) into its own write folder."""
-    df = df.withColumn(WRITE_ID, F.lit("w" + uuid.uuid4().hex))
+    """Write one job's rows (already stamped) into its own write folder.
+
+    After the data commit, the folder's highest version is recorded in the
+    name of an empty marker file (``_marks/<write id>-<epoch micros>``), read
+    from the folder just written (delta-sized), so the next run's high-water
+    mark is a listing instead of a scan of the whole table.
+    """
+    spark = df.sparkSession
+    write_id = "w" + uuid.uuid4().hex
+    df = df.withColumn(WRITE_ID, F.lit(write_id))
     # sorted by the write folder first, so the writer keeps the key order (K5)
     order = [WRITE_ID, *key_columns(name)]
     if append:
-        return append_table(df, target_path, order, [WRITE_ID])
-    return write_table(df, target_path, order, [WRITE_ID])
+        version = append_table(df, target_path, order, [WRITE_ID])
+    else:
+        version = write_table(df, target_path, order, [WRITE_ID])
+    # an empty write creates no folder, and needs no marker
+    if write_id in partition_values(spark, version, WRITE_ID):
+        folder = f"{version}/{WRITE_ID}={write_id}"
+        top = spark.read.parquet(folder).agg(F.max(version_column(name))).first()[0]
+        micros = "none" if top is None else str(_epoch_micros(top))
+        touch(spark, f"{version}/{MARKS}/{write_id}-{micros}")
+    return version
+
+
+def _epoch_micros(ts: dt.datetime) -> int:
+    delta = ts - EPOCH
+    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+
+
+def _from_micros(micros: int) -> dt.datetime:
+    return EPOCH + dt.timedelta(microseconds=micros)
+
+
+def recorded_mark(spark: SparkSession, version: str):
+    """The mark from the marker files, or ``...`` when a write folder has none."""
+    writes = partition_values(spark, version, WRITE_ID)
+    marks: dict[str, str] = {}
+    for entry in list_names(spark, f"{version}/{MARKS}"):
+        write_id, _, value = entry.rpartition("-")
+        marks[write_id] = value
+    if not writes or any(w not in marks for w in writes):
+        return ...
+    values = [_from_micros(int(v)) for v in marks.values() if v != "none"]
+    return max(values) if values else EPOCH
 
 
 def write_jobs(spark: SparkSession, version: str) -> int:
@@ -137,10 +176,18 @@ def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int,
 
 
 def stored_mark(spark: SparkSession, name: str, target_path: str, full_refresh: bool = False):
-    """The target's high-water mark, or None when this run is a full build (K3/K4)."""
-    if full_refresh or not table_exists(spark, target_path):
+    """The target's high-water mark, or None when this run is a full build (K3/K4).
+
+    Taken from the write folders' marker files when every folder has one,
+    else by scanning the version column (S6).
+    """
+    version = None if full_refresh else current_version(spark, target_path)
+    if version is None:
         return None
-    return high_water_mark(read_table(spark, target_path), version_column(name))
+    mark = recorded_mark(spark, version)
+    if mark is ...:
+        mark = high_water_mark(spark.read.parquet(version), version_column(name))
+    return mark
 
 
 def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,

@@ -109,6 +109,19 @@ def partition_values(spark: SparkSession, folder: str, column: str) -> list[str]
                   if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file (its name carries the information)."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, root = _fs(spark, folder)
+    if not fs.exists(root):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(root)]
+
+
 def _prune(spark: SparkSession, table_path: str, keep: int) -> None:
     versions = committed_versions(spark, table_path)
     for old in versions[:-keep] if keep > 0 else []:

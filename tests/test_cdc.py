@@ -183,3 +183,22 @@ def test_versioned_table_ignores_uncommitted_version(spark):
     assert read_table(spark, root).count() == 3
     write_table(spark.range(5), root)
     assert read_table(spark, root).count() == 5
+
+
+def test_mark_comes_from_marker_files_and_falls_back_to_a_scan(spark):
+    import os
+
+    from silverline.sinks.tables import current_version
+    t2 = T0 + dt.timedelta(days=2, microseconds=7)
+    b = _bronze(spark, [_enc(1, 1, T0), _enc(2, 1, t2)], [_body(1, 1), _body(2, 1)])
+    root = scratch_dir(spark, "marks")
+    inc.append_delta(b, "encounters", root, 1)
+    version = current_version(spark, root)
+    assert inc.recorded_mark(spark, version) == t2
+    assert inc.stored_mark(spark, "encounters", root) == t2
+    # lose the marker (a crash after the data commit): the mark is scanned instead
+    marks = version.replace("file:", "") + "/_marks"
+    for f in os.listdir(marks):
+        os.remove(os.path.join(marks, f))
+    assert inc.recorded_mark(spark, version) is ...
+    assert inc.stored_mark(spark, "encounters", root) == t2
