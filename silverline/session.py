@@ -60,13 +60,16 @@ def local_session(app: str = "silverline", cores: int | str = "*",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set (a distributed file system path every executor
-    reaches) and is used as is.  Only when it is unset, as in local tests, a
-    fresh folder under the system temp directory is registered instead.
+    On a cluster this must be set (a distributed file system path every
+    executor reaches) and is used as is.  Only in local mode, when it is
+    unset, a fresh folder under the system temp directory is registered.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="silverline-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
