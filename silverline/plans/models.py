@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from silverline.operators.cdc import current_resources, drop_tombstones
+from silverline.operators.cdc import current_resources, drop_tombstones, final_metadata
 from silverline.plans import charts, silver
 from silverline.sources.bronze import Bronze
 
@@ -55,7 +55,8 @@ class Models:
         self.bronze = bronze
         self._current = current
         self._silver_source = silver_source
-        self._winners = winners
+        # one FINAL of the bronze metadata for every model of this graph
+        self._winners = winners if winners is not None else final_metadata(bronze.hfj_resource)
         self._memo: dict[str, DataFrame] = {}
 
     @property
@@ -68,18 +69,20 @@ class Models:
 
     def bronze_live(self) -> DataFrame:
         """Bronze metadata FINAL without tombstones (what the ``resource`` model holds)."""
-        if self._winners is not None:
-            return drop_tombstones(self._winners)
-        return silver.resource(self.bronze)
+        return drop_tombstones(self._winners)
 
     def _build_silver(self, name: str) -> DataFrame:
         if self._silver_source is not None:
             return self._silver_source(name)
         builder = silver.SILVER_BUILDERS[name]
         if name in silver.RESOURCE_MODELS:
-            # Without a shared, stored ``current`` the type filter goes on the
-            # metadata side before the body join (fewer bodies joined).
-            return builder(self.bronze, self._current)
+            if self._current is not None:
+                return builder(self.bronze, self._current)
+            # no shared, stored ``current``: the type filter goes on the metadata
+            # side before the body join (fewer bodies joined)
+            res_type = silver.RESOURCE_MODELS[name][0]
+            return builder(self.bronze, current_resources(
+                self.bronze.hfj_resource, self.bronze.hfj_res_ver, res_type, winners=self._winners))
         if name in ("resource", "patients"):
             return builder(self.bronze, self._winners)
         return builder(self.bronze)
