@@ -1,4 +1,4 @@
-"""The 20 models wired together in dependency order (what ``ref()`` did).
+"""The 20 models wired together in dependency order.
 
 ``Models`` builds each model lazily from one ``Bronze`` and memoises the
 DataFrames, so a chart that needs ``conditions`` and ``observations`` reuses

@@ -9,9 +9,9 @@ from silverline.sources.fixtures import derive_bronze, write_bronze
 def test_table_name_folder_and_catalog():
     assert table_name("/data/bronze", "hfj_resource") == "/data/bronze/hfj_resource"
     assert table_name("s3a://lake/bronze/", "hfj_res_ver") == "s3a://lake/bronze/hfj_res_ver"
-    assert table_name("fhirhapi_prod", "hfj_resource") == "fhirhapi_prod.hfj_resource"
-    assert table_name("fhirhapi_prod", "hfj_resource", physical=True) == \
-        "fhirhapi_prod.public_hfj_resource"
+    assert table_name("bronze_db", "hfj_resource") == "bronze_db.hfj_resource"
+    assert table_name("bronze_db", "hfj_resource", physical=True) == \
+        "bronze_db.public_hfj_resource"
 
 
 def test_target_db_routing():
