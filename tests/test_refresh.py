@@ -95,3 +95,18 @@ def test_two_batch_refresh_equals_oracle_and_unshared_path(spark):
     res = duck(SF).execute(entry_mod.oracle_sql()["append_then_final"])
     cols = [c[0] for c in res.description]
     assert normalise([tuple(r) for r in enc.collect()], enc.columns) == normalise(res.fetchall(), cols)
+
+
+def test_job_entry_point_refresh(spark, bronze, capsys):
+    import json
+
+    from silverline import jobs
+
+    root = scratch_dir(spark, "job-bronze")
+    for name, df in bronze.tables().items():
+        df.write.parquet(f"{root}/{name}")
+    silver_root = scratch_dir(spark, "job-silver")
+    jobs.main(["refresh", "--bronze", root, "--silver", silver_root, "--batch-id", "7"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(out["tables"]) == set(ALL_MODELS)
+    assert read_table(spark, out["tables"]["encounter_class"]).count() == 3
