@@ -39,3 +39,36 @@ def test_scans_read_only_needed_columns(spark, stored_bronze):
     # the body table is not read at all, and the metadata scan is narrow
     assert "res_text_vc" not in plan
     assert "fhir_id" not in plan
+
+
+def test_hot_body_copies_are_cut_before_the_exchange(spark):
+    """One body with thousands of CDC copies (a hot key) still ships one row per map partition."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from silverline.sources.bronze import SCHEMAS
+
+    t0 = dt.datetime(2024, 1, 1)
+    epoch = dt.datetime(1970, 1, 1)
+    meta = spark.createDataFrame(
+        [(i, f"f{i}", "Encounter", 1, t0, t0, epoch, 1, 0) for i in range(1, 51)],
+        SCHEMAS["hfj_resource"])
+    hot = spark.range(5000).select(F.lit(1).cast("bigint").alias("res_id"),
+                                   F.lit(1).cast("bigint").alias("res_ver"),
+                                   F.lit('{"status":"old"}').alias("res_text_vc"),
+                                   F.col("id").alias("_peerdb_version"),
+                                   F.lit(0).alias("_peerdb_is_deleted"))
+    winner = spark.createDataFrame([(1, 1, '{"status":"new"}', 10_000, 0)], SCHEMAS["hfj_res_ver"])
+    others = spark.createDataFrame([(i, 1, '{"status":"x"}', 1, 0) for i in range(2, 51)],
+                                   SCHEMAS["hfj_res_ver"])
+    bodies = hot.unionByName(winner).unionByName(others).repartition(8)
+    cur = cdc.current_resources(meta, bodies)
+    got = {r.res_id: r.res_text_vc for r in cur.collect()}
+    assert len(got) == 50 and got[1] == '{"status":"new"}'
+    lines = _plan(cur).split("\n")
+    cut_before_shuffle = any(
+        "Exchange hashpartitioning(res_id" in line and "res_ver" in line
+        and any("WindowGroupLimit" in nxt and "Partial" in nxt for nxt in lines[i + 1:i + 4])
+        for i, line in enumerate(lines))
+    assert cut_before_shuffle
