@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, current_resources,
@@ -110,14 +110,17 @@ def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
 def store(df: DataFrame, target_path: str, name: str, append: bool) -> str:
     """Write one job's rows (already stamped) into its own write folder.
 
-    After the data commit, the folder's highest version is recorded in the
-    name of an empty marker file (``_marks/<write id>-<epoch micros>``), read
-    from the folder just written (delta-sized), so the next run's high-water
-    mark is a listing instead of a scan of the whole table.
+    The folder's highest version is observed while the rows are written (no
+    second pass) and, after the data commit, recorded in the name of an empty
+    marker file (``_marks/<write id>-<epoch micros>``), so the next run's
+    high-water mark is a listing instead of a scan of the whole table.
+    ``max`` is idempotent, so retried or speculative tasks cannot skew it.
     """
     spark = df.sparkSession
     write_id = "w" + uuid.uuid4().hex
-    df = df.withColumn(WRITE_ID, F.lit(write_id))
+    seen = Observation(f"mark-{write_id}")
+    df = df.observe(seen, F.max(version_column(name)).alias("top")) \
+           .withColumn(WRITE_ID, F.lit(write_id))
     # sorted by the write folder first, so the writer keeps the key order (K5)
     order = [WRITE_ID, *key_columns(name)]
     if append:
@@ -126,8 +129,7 @@ def store(df: DataFrame, target_path: str, name: str, append: bool) -> str:
         version = write_table(df, target_path, order, [WRITE_ID])
     # an empty write creates no folder, and needs no marker
     if write_id in partition_values(spark, version, WRITE_ID):
-        folder = f"{version}/{WRITE_ID}={write_id}"
-        top = spark.read.parquet(folder).agg(F.max(version_column(name))).first()[0]
+        top = seen.get["top"]
         micros = "none" if top is None else str(_epoch_micros(top))
         touch(spark, f"{version}/{MARKS}/{write_id}-{micros}")
     return version
