@@ -125,9 +125,10 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
     many CDC copies of one body are cut to one per map partition before the
     shuffle; the join then reuses that hash partitioning, so the wide JSON
     is shuffled once.  When the metadata side is selective (a type filter,
-    or the delta of an incremental run: ``prefilter``), the bodies are first
-    semi-joined to its keys (exact: it is the body's own dedup key), which
-    AQE turns into a map-side filter when that side is small.
+    or the delta of an incremental run: ``prefilter``), the bodies are joined
+    to it first and deduplicated after (exact: the metadata is unique on the
+    body's own dedup key); AQE turns that join into a map-side filter when
+    the selective side is small.
     """
     if winners is None:
         winners = final_metadata(resource)
@@ -138,8 +139,12 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
     meta = meta.select("res_id", "res_ver", "res_type", "res_published", "res_updated")
     bodies = res_ver.select("res_id", "res_ver", "res_text_vc", CDC_VERSION, TOMBSTONE)
     if prefilter if prefilter is not None else res_type is not None:
-        bodies = bodies.join(meta.select(*RES_VER_KEYS), list(RES_VER_KEYS), "left_semi")
-    current = final(bodies, RES_VER_KEYS).join(meta, list(RES_VER_KEYS), "inner")
+        # selective metadata: join first (a map-side filter when AQE broadcasts
+        # it), then FINAL of the surviving bodies; exact because the metadata
+        # is unique on the body's own dedup key
+        current = final(bodies.join(meta, list(RES_VER_KEYS), "inner"), RES_VER_KEYS)
+    else:
+        current = final(bodies, RES_VER_KEYS).join(meta, list(RES_VER_KEYS), "inner")
     return current.select("res_id", "res_type", "res_ver", "res_published", "res_updated",
                           "res_text_vc")
 
