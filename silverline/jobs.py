@@ -3,10 +3,10 @@
     spark-submit silverline/jobs.py refresh --bronze s3a://lake/bronze \\
         --silver s3a://lake/silver --batch-id 1733212800
     spark-submit silverline/jobs.py stream --bronze s3a://lake/bronze \\
-        --silver s3a://lake/silver --model encounters --every "1 minute"
+        --silver s3a://lake/silver --models encounters,observations --every "1 minute"
 
 ``refresh`` is one scheduled run (incremental silver, full rebuild of the
-charts); ``stream`` keeps one resource model fresh with micro-batches.  The
+charts); ``stream`` keeps resource models fresh with micro-batches.  The
 cluster's ``spark.checkpoint.dir`` must name a shared folder; stream
 checkpoints go below the silver root.
 """
@@ -24,9 +24,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from silverline.plans.incremental import refresh_all  # noqa: E402
+from silverline.plans.silver import RESOURCE_MODELS  # noqa: E402
 from silverline.session import configure  # noqa: E402
 from silverline.sources.bronze import Bronze  # noqa: E402
-from silverline.streaming.ingest import ingest_stream  # noqa: E402
+from silverline.streaming.ingest import ingest_models  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -39,10 +40,11 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--full-refresh", action="store_true")
     r.add_argument("--propagate-deletes", action="store_true")
     r.add_argument("--compact-after", type=int, default=8)
-    s = sub.add_parser("stream", help="micro-batch ingest of one resource model")
+    s = sub.add_parser("stream", help="micro-batch ingest of resource models")
     s.add_argument("--bronze", required=True, help="bronze root folder (file stream source)")
     s.add_argument("--silver", required=True)
-    s.add_argument("--model", default="encounters")
+    s.add_argument("--models", default=",".join(RESOURCE_MODELS),
+                   help="comma-separated resource models kept fresh by one stream")
     s.add_argument("--every", default="1 minute", help="processing-time trigger")
     args = parser.parse_args(argv)
 
@@ -58,8 +60,10 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({"tables": paths, "seconds": timings}))
     else:
         root = args.silver.rstrip("/")
-        query = ingest_stream(spark, args.bronze.rstrip("/"), bronze, args.model,
-                              f"{root}/{args.model}", f"{root}/_checkpoints/{args.model}",
+        models = [m.strip() for m in args.models.split(",") if m.strip()]
+        query = ingest_models(spark, args.bronze.rstrip("/"), bronze,
+                              {m: f"{root}/{m}" for m in models},
+                              f"{root}/_checkpoints/stream-{'-'.join(models)}",
                               trigger={"processingTime": args.every})
         query.awaitTermination()
 

@@ -22,17 +22,12 @@ from silverline.sources.bronze import SCHEMAS, Bronze, read_bronze
 from silverline.sources.fixtures import two_batch_resource
 
 
-def _rederive(spark: SparkSession, bronze_root: str, static: Bronze, name: str,
-              ids: DataFrame) -> DataFrame:
-    """Model rows and delete markers for ``ids``, from the full bronze copy."""
+def _rederive(scoped: Bronze, name: str) -> DataFrame:
+    """Model rows and delete markers for the ids in ``scoped`` (full history of those ids)."""
     res_type, id_col = silver.RESOURCE_MODELS[name]
-    resource = read_bronze(spark, bronze_root, "hfj_resource")
-    res_ver = read_bronze(spark, bronze_root, "hfj_res_ver")
-    scoped = Bronze(resource.join(ids, "res_id", "left_semi"), res_ver,
-                    static.hfj_res_link, static.hfj_spidx_token)
     rows = silver.SILVER_BUILDERS[name](scoped)
     # ids of this type whose latest metadata no longer yields a model row
-    typed = resource.join(ids, "res_id", "left_semi").where(F.col("res_type") == res_type) \
+    typed = scoped.hfj_resource.where(F.col("res_type") == res_type) \
         .groupBy("res_id").agg(F.max("res_updated").alias("res_updated"))
     gone = typed.join(rows.select(F.col(id_col).alias("res_id")), "res_id", "left_anti")
     markers = gone.select(*[
@@ -43,14 +38,16 @@ def _rederive(spark: SparkSession, bronze_root: str, static: Bronze, name: str,
     return rows.withColumn(DELETED, F.lit(False)).unionByName(markers.withColumn(DELETED, F.lit(True)))
 
 
-def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: str,
-                  target_path: str, checkpoint: str, trigger: dict | None = None,
+def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets: dict[str, str],
+                  checkpoint: str, trigger: dict | None = None,
                   max_files_per_trigger: int = 1000):
-    """Start the stream for model ``name``; returns the ``StreamingQuery``.
+    """One stream keeping several resource models fresh; returns the ``StreamingQuery``.
 
-    ``trigger`` defaults to ``{"availableNow": True}`` (drain what is there,
-    then stop); ``{"processingTime": "1 minute"}`` matches the reference's
-    schedule.
+    ``targets`` maps model name -> stored table path.  Each micro-batch
+    scopes the bronze metadata to the ids it touched once (persisted for
+    the batch), then re-derives every model from it.  ``trigger`` defaults
+    to ``{"availableNow": True}`` (drain what is there, then stop);
+    ``{"processingTime": "1 minute"}`` matches the reference's schedule.
     """
     def ids_of(table: str) -> DataFrame:
         return (spark.readStream.schema(SCHEMAS[table])
@@ -60,13 +57,17 @@ def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: s
     changes = ids_of("hfj_resource").unionByName(ids_of("hfj_res_ver"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ids = batch.distinct().persist()
+        ids = batch.distinct()
+        resource = read_bronze(spark, bronze_root, "hfj_resource") \
+            .join(ids, "res_id", "left_semi").persist()
         try:
-            out = _rederive(spark, bronze_root, static, name, ids)
-            store(out.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint")), target_path, name,
-                  append=True)
+            scoped = Bronze(resource, read_bronze(spark, bronze_root, "hfj_res_ver"),
+                            static.hfj_res_link, static.hfj_spidx_token)
+            for name, target in targets.items():
+                out = _rederive(scoped, name).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+                store(out, target, name, append=True)
         finally:
-            ids.unpersist()
+            resource.unpersist()
 
     return (changes.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
@@ -74,6 +75,14 @@ def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: s
             .start())
 
 
+def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: str,
+                  target_path: str, checkpoint: str, trigger: dict | None = None,
+                  max_files_per_trigger: int = 1000):
+    """R1 for a single model (see ``ingest_models``)."""
+    return ingest_models(spark, bronze_root, static, {name: target_path}, checkpoint, trigger,
+                         max_files_per_trigger)
+
+
 def read_stream_model(spark: SparkSession, target_path: str, name: str) -> DataFrame:
     """R2: the model as of the last batch: newest batch per key wins."""
     return read_model(spark, target_path, name, batch_first=True)

@@ -47,3 +47,24 @@ def test_late_body_late_row_and_delete_are_all_caught(spark):
     assert got == {1, 3, 4}
     # the stored table is append-only; the reader resolves it per key
     assert read_model(spark, out, "encounters", final=False).count() > len(got)
+
+
+def test_one_stream_keeps_several_models_fresh(spark):
+    from silverline.streaming.ingest import ingest_models
+
+    root = scratch_dir(spark, "stream-many")
+    bronze = f"{root}/bronze"
+    for table in ("hfj_res_link", "hfj_spidx_token"):
+        spark.createDataFrame([], SCHEMAS[table]).write.parquet(f"{bronze}/{table}")
+    obs_body = (5, 1, '{"code":{"coding":[{"code":"8480-6","display":"Systolic blood pressure"}]},'
+                      '"valueQuantity":{"value":150}}', 2, 0)
+    _land(spark, bronze, "hfj_resource",
+          [_meta(1, 1, T0), (5, "f5", "Observation", 1, T0, T0, EPOCH, 1, 0)])
+    _land(spark, bronze, "hfj_res_ver", [_body(1, 1), obs_body])
+    targets = {"encounters": f"{root}/encounters", "observations": f"{root}/observations"}
+    ingest_models(spark, bronze, Bronze.read(spark, bronze), targets,
+                  f"{root}/_ckpt").awaitTermination()
+    assert [r.encounter_id for r in read_stream_model(spark, targets["encounters"],
+                                                      "encounters").collect()] == [1]
+    obs = read_stream_model(spark, targets["observations"], "observations").collect()
+    assert [(r.observation_id, r.nilai) for r in obs] == [(5, 150.0)]
