@@ -110,6 +110,11 @@ def final_metadata(resource: DataFrame) -> DataFrame:
     return latest(resource.select(*META_COLUMNS), RESOURCE_KEYS, BRONZE_ORDER)
 
 
+def final_links(links: DataFrame) -> DataFrame:
+    """C1 on the link copy: the winning version of every link, tombstones kept."""
+    return latest(links, LINK_KEYS, BRONZE_ORDER)
+
+
 def current_resources(resource: DataFrame, res_ver: DataFrame,
                       res_type: str | Sequence[str] | None = None,
                       winners: DataFrame | None = None,

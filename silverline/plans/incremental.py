@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, current_resources,
-                                      deleted_keys, final_metadata, touched_since)
+                                      deleted_keys, final_links, final_metadata, touched_since)
 from silverline.plans import silver
 from silverline.session import scratch_dir
 from silverline.sinks.tables import (append_table, current_version, list_names,
@@ -71,11 +71,16 @@ def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
 
 
 def build_full(b: Bronze, name: str, current: DataFrame | None = None,
-               winners: DataFrame | None = None) -> DataFrame:
+               winners: DataFrame | None = None,
+               link_winners: DataFrame | None = None) -> DataFrame:
     if name in silver.RESOURCE_MODELS:
         return silver.SILVER_BUILDERS[name](b, current)
-    if name in ("resource", "patients"):
-        return silver.SILVER_BUILDERS[name](b, winners)
+    if name == "resource":
+        return silver.resource(b, winners)
+    if name == "res_link":
+        return silver.res_link(b, link_winners)
+    if name == "patients":
+        return silver.patients(b, winners, link_winners)
     return silver.SILVER_BUILDERS[name](b)
 
 
@@ -90,16 +95,20 @@ def touched_bronze(b: Bronze, name: str, mark) -> Bronze:
 
 
 def build_delta(b: Bronze, name: str, mark, current: DataFrame | None = None,
-                winners: DataFrame | None = None) -> DataFrame:
+                winners: DataFrame | None = None,
+                link_winners: DataFrame | None = None) -> DataFrame:
     """Rows of model ``name`` whose version is newer than ``mark``.
 
-    With the run's shared ``winners`` / ``current`` the delta is a filter on
-    them; without, only keys touched since the mark are deduplicated.
-    Either way the result equals the full build filtered by the mark.
+    With the run's shared ``winners`` / ``link_winners`` / ``current`` the
+    delta is a filter on them; without, only keys touched since the mark are
+    deduplicated.  Either way the result equals the full build filtered by
+    the mark.
     """
-    shared = current if name in silver.RESOURCE_MODELS else winners if name == "resource" else None
+    shared = {"resource": winners, "res_link": link_winners}.get(name) \
+        if name not in silver.RESOURCE_MODELS else current
     source = b if shared is not None else touched_bronze(b, name, mark)
-    return newer_than(build_full(source, name, current, winners), version_column(name), mark)
+    return newer_than(build_full(source, name, current, winners, link_winners),
+                      version_column(name), mark)
 
 
 def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
@@ -195,7 +204,8 @@ def stored_mark(spark: SparkSession, name: str, target_path: str, full_refresh:
 def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
                  full_refresh: bool = False, propagate_deletes: bool = False,
                  current: DataFrame | None = None, mark=...,
-                 winners: DataFrame | None = None) -> DataFrame:
+                 winners: DataFrame | None = None,
+                 link_winners: DataFrame | None = None) -> DataFrame:
     """K2/K3/K4 (+C9): refresh one incremental model stored at ``target_path``.
 
     Returns the rows written in this run (read back from storage).
@@ -204,10 +214,10 @@ def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
     if mark is ...:
         mark = stored_mark(spark, name, target_path, full_refresh)
     if mark is None:
-        version = store(_stamp(build_full(b, name, current, winners), batch_id), target_path,
-                        name, False)
+        version = store(_stamp(build_full(b, name, current, winners, link_winners), batch_id),
+                        target_path, name, False)
     else:
-        rows = _stamp(build_delta(b, name, mark, current, winners), batch_id)
+        rows = _stamp(build_delta(b, name, mark, current, winners, link_winners), batch_id)
         if propagate_deletes and name in silver.RESOURCE_MODELS:
             rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id,
                                              winners))
@@ -350,25 +360,31 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     marks = _run_all({f"mark:{name}": (lambda n=name: stored_mark(spark, n, paths[n], full_refresh))
                       for name in INCREMENTAL_MODELS}, parallel_jobs, _Clock(None))
     marks = {name: marks[f"mark:{name}"] for name in INCREMENTAL_MODELS}
-    # one dedup of the bronze metadata per run, shared by every consumer
-    with clock("final_metadata"):
-        winners = spark.read.parquet(write_table(final_metadata(bronze.hfj_resource),
-                                                 f"{silver_root}/_final_metadata"))
+    # one dedup of the bronze metadata and of the links per run, shared by every consumer
+    def winners_of(frame: DataFrame, folder: str) -> DataFrame:
+        return spark.read.parquet(write_table(frame, f"{silver_root}/{folder}"))
+
+    shared = _run_all({"final_metadata": lambda: winners_of(final_metadata(bronze.hfj_resource),
+                                                            "_final_metadata"),
+                       "final_links": lambda: winners_of(final_links(bronze.hfj_res_link),
+                                                         "_final_links")},
+                      parallel_jobs, clock)
+    winners, link_winners = shared["final_metadata"], shared["final_links"]
     with clock("current_resources"):
         current = shared_current(spark, bronze, winners, marks, f"{silver_root}/_current")
 
     def refresh_one(name: str) -> None:
         append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
                      current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name],
-                     winners=winners)
+                     winners=winners, link_winners=link_winners)
         version = current_version(spark, paths[name])
         if compact_after and write_jobs(spark, version) >= compact_after:
             compact(spark, paths[name], name)
 
     silver_tasks: dict[str, Callable[[], object]] = {
         name: (lambda n=name: refresh_one(n)) for name in INCREMENTAL_MODELS}
-    silver_tasks["patients"] = lambda: write_table(silver.patients(bronze, winners),
-                                                   paths["patients"], key_columns("patients"))
+    silver_tasks["patients"] = lambda: write_table(
+        silver.patients(bronze, winners, link_winners), paths["patients"], key_columns("patients"))
     _run_all(silver_tasks, parallel_jobs, clock)
 
     # Charts read silver straight from Parquet (column pruning per chart).  A

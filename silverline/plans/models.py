@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from silverline.operators.cdc import current_resources, drop_tombstones, final_metadata
+from silverline.operators.cdc import (current_resources, drop_tombstones, final_links,
+                                      final_metadata)
 from silverline.plans import charts, silver
 from silverline.sources.bronze import Bronze
 
@@ -55,8 +56,9 @@ class Models:
         self.bronze = bronze
         self._current = current
         self._silver_source = silver_source
-        # one FINAL of the bronze metadata for every model of this graph
+        # one FINAL of the bronze metadata (and of the links) for every model of this graph
         self._winners = winners if winners is not None else final_metadata(bronze.hfj_resource)
+        self._link_winners = final_links(bronze.hfj_res_link)
         self._memo: dict[str, DataFrame] = {}
 
     @property
@@ -83,8 +85,12 @@ class Models:
             res_type = silver.RESOURCE_MODELS[name][0]
             return builder(self.bronze, current_resources(
                 self.bronze.hfj_resource, self.bronze.hfj_res_ver, res_type, winners=self._winners))
-        if name in ("resource", "patients"):
-            return builder(self.bronze, self._winners)
+        if name == "resource":
+            return silver.resource(self.bronze, self._winners)
+        if name == "res_link":
+            return silver.res_link(self.bronze, self._link_winners)
+        if name == "patients":
+            return silver.patients(self.bronze, self._winners, self._link_winners)
         return builder(self.bronze)
 
     def get(self, name: str) -> DataFrame:

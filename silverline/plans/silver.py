@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from silverline.functions.scalars import (fhir_date, json_fields, ptm_category,
                                           to_date_of, to_double_or_null)
-from silverline.operators.cdc import (LINK_KEYS, current_resources, drop_tombstones, final,
+from silverline.operators.cdc import (LINK_KEYS, current_resources, drop_tombstones, final_links,
                                       final_metadata, is_deleted, live)
 from silverline.operators.links import ENCOUNTER_SUBJECT
 from silverline.sources.bronze import Bronze
@@ -125,14 +125,19 @@ def careplans(b: Bronze, current: DataFrame | None = None) -> DataFrame:
                                      "deskripsi": "$.description"}))
 
 
-def res_link(b: Bronze) -> DataFrame:
+def _link_winners(b: Bronze, link_winners: DataFrame | None) -> DataFrame:
+    return final_links(b.hfj_res_link) if link_winners is None else link_winners
+
+
+def res_link(b: Bronze, link_winners: DataFrame | None = None) -> DataFrame:
     """Latest, non-tombstoned resource links."""
-    return final(b.hfj_res_link, LINK_KEYS).select(
+    return drop_tombstones(_link_winners(b, link_winners)).select(
         "src_path", "source_resource_type", "src_resource_id",
         "target_resource_type", "target_resource_id", "sp_updated")
 
 
-def patients(b: Bronze, winners: DataFrame | None = None) -> DataFrame:
+def patients(b: Bronze, winners: DataFrame | None = None,
+             link_winners: DataFrame | None = None) -> DataFrame:
     """Live patients x their linked live encounters; unlinked patients kept once.
 
     ``p LEFT JOIN links LEFT JOIN encounters`` is evaluated as
@@ -148,7 +153,8 @@ def patients(b: Bronze, winners: DataFrame | None = None) -> DataFrame:
     encs = r.where(F.col("res_type") == "Encounter").select(
         F.col("res_id").alias("_enc_res_id"), F.col("fhir_id").alias("encounter_id"))
     # Only the path is tested here (no source/target type test, as in the model).
-    links = final(b.hfj_res_link, LINK_KEYS).where(F.col("src_path") == ENCOUNTER_SUBJECT) \
+    links = drop_tombstones(_link_winners(b, link_winners)) \
+        .where(F.col("src_path") == ENCOUNTER_SUBJECT) \
         .select(F.col("src_resource_id").alias("_src"), F.col("target_resource_id").alias("_target"))
     linked = links.join(pts, links["_target"] == pts["patient_res_id"], "inner")
     with_enc = linked.join(encs, linked["_src"] == encs["_enc_res_id"], "left") \
