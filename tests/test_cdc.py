@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from silverline.operators import cdc
 from silverline.plans import incremental as inc
