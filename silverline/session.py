@@ -37,9 +37,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def local_session(app: str = "silverline", cores: int | str = "*",
                   shuffle_partitions: int = 8, checkpoint_dir: str | None = None,
                   **extra: str) -> SparkSession:
-    """A local session for tests and the bench (the UI stays off)."""
-    if checkpoint_dir is None:
-        checkpoint_dir = tempfile.mkdtemp(prefix="silverline-ckpt-")
+    """A local session for tests and the bench (the UI stays off).
+
+    ``checkpoint_dir`` is registered only when the session names no
+    ``spark.checkpoint.dir`` of its own (e.g. from ``spark-defaults.conf``).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -47,12 +49,15 @@ def local_session(app: str = "silverline", cores: int | str = "*",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", extra.pop("driver_memory", "8g"))
-        .config("spark.checkpoint.dir", checkpoint_dir)
     )
     for key, value in {**REQUIRED_CONF, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if checkpoint_dir and not (sc.getConf().get("spark.checkpoint.dir", None)
+                               or sc.getCheckpointDir()):
+        sc.setCheckpointDir(checkpoint_dir)
     checkpoint_root(spark)
     return configure(spark)
 
