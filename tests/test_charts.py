@@ -83,3 +83,17 @@ def test_kpi_freshness_and_distinct_facility_names(spark):
     # '' is a name of its own: "PKM A" and "" have provider links
     assert k.puskesmas_aktif == 2
     assert (k.total_pasien, k.total_kunjungan) == (0, 2)
+
+
+def test_daily_bp_mean_is_null_when_nothing_positive(spark):
+    def obs(rid, day, name, value):
+        return _body(rid, '{"effectiveDateTime":"2024-01-%02dT08:00:00+07:00",'
+                          '"code":{"coding":[{"code":"8480-6","display":"%s"}]},'
+                          '"valueQuantity":{"value":%s}}' % (day, name, value))
+    meta = [_meta(i, "Observation") for i in (1, 2, 3, 4)]
+    bodies = [obs(1, 2, "Systolic blood pressure", "0"), obs(2, 2, "Diastolic blood pressure", '"n/a"'),
+              obs(3, 3, "Systolic blood pressure", "120"), obs(4, 3, "Systolic blood pressure", "140")]
+    m = Models(_bronze(spark, meta, bodies, []))
+    rows = {r.tanggal_periksa.day: (r.rata_sistol, r.rata_diastol)
+            for r in m["tren_tensi_harian"].collect()}
+    assert rows == {2: (None, None), 3: (130.0, None)}
