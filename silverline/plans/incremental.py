@@ -385,6 +385,12 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
         name: (lambda n=name: refresh_one(n)) for name in INCREMENTAL_MODELS}
     silver_tasks["patients"] = lambda: write_table(
         silver.patients(bronze, winners, link_winners), paths["patients"], key_columns("patients"))
+    # charts that read bronze only are built alongside the silver models
+    bronze_only = [name for name, (_, inputs) in CHART_MODELS.items()
+                   if all(i.startswith("@") and i != "@bronze_live" for i in inputs)]
+    bronze_models = Models(bronze)
+    for name in bronze_only:
+        silver_tasks[name] = lambda n=name: write_table(bronze_models[n], paths[n])
     _run_all(silver_tasks, parallel_jobs, clock)
 
     # Charts read silver straight from Parquet (column pruning per chart).  A
@@ -402,8 +408,8 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
         inputs[name] = df
     models = Models(bronze, silver_source=inputs.__getitem__, winners=winners)
     try:
-        _run_all({name: (lambda n=name: write_table(models[n], paths[n])) for name in CHART_MODELS},
-                 parallel_jobs, clock)
+        _run_all({name: (lambda n=name: write_table(models[n], paths[n]))
+                  for name in CHART_MODELS if name not in bronze_only}, parallel_jobs, clock)
     finally:
         for df in persisted:
             df.unpersist()
