@@ -118,7 +118,8 @@ def final_links(links: DataFrame) -> DataFrame:
 def current_resources(resource: DataFrame, res_ver: DataFrame,
                       res_type: str | Sequence[str] | None = None,
                       winners: DataFrame | None = None,
-                      prefilter: bool | None = None) -> DataFrame:
+                      prefilter: bool | None = None,
+                      broadcast_meta: bool = False) -> DataFrame:
     """Live resources joined to the JSON body of their current version.
 
     Metadata: FINAL (or the given ``winners`` of ``final_metadata``) -> not
@@ -132,8 +133,9 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
     is shuffled once.  When the metadata side is selective (a type filter,
     or the delta of an incremental run: ``prefilter``), the bodies are joined
     to it first and deduplicated after (exact: the metadata is unique on the
-    body's own dedup key); AQE turns that join into a map-side filter when
-    the selective side is small.
+    body's own dedup key).  ``broadcast_meta`` (set only by a caller
+    that has checked the metadata side's size) broadcasts it explicitly, so
+    the bodies are filtered map-side before any shuffle.
     """
     if winners is None:
         winners = final_metadata(resource)
@@ -144,10 +146,11 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
     meta = meta.select("res_id", "res_ver", "res_type", "res_published", "res_updated")
     bodies = res_ver.select("res_id", "res_ver", "res_text_vc", CDC_VERSION, TOMBSTONE)
     if prefilter if prefilter is not None else res_type is not None:
-        # selective metadata: join first (a map-side filter when AQE broadcasts
-        # it), then FINAL of the surviving bodies; exact because the metadata
-        # is unique on the body's own dedup key
-        current = final(bodies.join(meta, list(RES_VER_KEYS), "inner"), RES_VER_KEYS)
+        # selective metadata: join first (a map-side filter when it is
+        # broadcast), then FINAL of the surviving bodies; exact because the
+        # metadata is unique on the body's own dedup key
+        side = F.broadcast(meta) if broadcast_meta else meta
+        current = final(bodies.join(side, list(RES_VER_KEYS), "inner"), RES_VER_KEYS)
     else:
         current = final(bodies, RES_VER_KEYS).join(meta, list(RES_VER_KEYS), "inner")
     return current.select("res_id", "res_type", "res_ver", "res_published", "res_updated",

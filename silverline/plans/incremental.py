@@ -304,21 +304,32 @@ class _Clock:
             self.sink[step] = round(time.perf_counter() - start, 3)
 
 
+# Largest metadata delta (rows) broadcast to filter the JSON bodies map-side:
+# five narrow columns, about 50 MB at this bound.
+BROADCAST_DELTA_ROWS = 1_000_000
+
+
 def shared_current(spark: SparkSession, bronze: Bronze, winners: DataFrame, marks: dict,
-                   root: str) -> DataFrame:
+                   root: str, broadcast_rows: int = BROADCAST_DELTA_ROWS) -> DataFrame:
     """C8 once for all five resource models, stored partitioned by ``res_type``.
 
     With marks (an incremental run) only winners newer than the earliest of
     them are joined to their bodies, and the bodies are pre-filtered to those
-    keys; each model then applies its own, later or equal, mark.  Storing it
-    cuts the lineage and lets each model read just its type's partition.
+    keys; each model then applies its own, later or equal, mark.  The delta is
+    counted first (a scan of the stored winners with the mark pushed down);
+    when it is at most ``broadcast_rows`` it is broadcast, so the body table is
+    only scanned and filtered map-side, never shuffled whole.  Otherwise the
+    join shuffles both sides.  Storing the result cuts the lineage and lets
+    each model read just its type's partition.
     """
     res_marks = [marks[n] for n in silver.RESOURCE_MODELS]
     incremental = all(m is not None for m in res_marks)
+    broadcast = False
     if incremental:
         winners = newer_than(winners, "res_updated", min(res_marks))
+        broadcast = winners.count() <= broadcast_rows
     current = current_resources(bronze.hfj_resource, bronze.hfj_res_ver, winners=winners,
-                                prefilter=incremental)
+                                prefilter=incremental, broadcast_meta=broadcast)
     version = write_table(current, root, partition_by=["res_type"])
     return spark.read.parquet(version)
 

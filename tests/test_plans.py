@@ -72,3 +72,22 @@ def test_hot_body_copies_are_cut_before_the_exchange(spark):
         and any("WindowGroupLimit" in nxt and "Partial" in nxt for nxt in lines[i + 1:i + 4])
         for i, line in enumerate(lines))
     assert cut_before_shuffle
+
+
+def test_checked_broadcast_filters_bodies_before_any_shuffle(spark, stored_bronze):
+    winners = cdc.final_metadata(stored_bronze.hfj_resource)
+    cur = cdc.current_resources(stored_bronze.hfj_resource, stored_bronze.hfj_res_ver,
+                                winners=winners.limit(10), prefilter=True, broadcast_meta=True)
+    lines = _plan(cur).split("\n")
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "res_text_vc" in line)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    parent = None
+    for line in reversed(lines[:scan]):
+        d = len(line) - len(line.lstrip(" :+-"))
+        if d < depth and "Filter" not in line and "Project" not in line \
+                and "ColumnarToRow" not in line and "WholeStageCodegen" not in line:
+            parent = line
+            break
+        if d < depth:
+            depth = d
+    assert parent is not None and "BroadcastHashJoin" in parent, parent
