@@ -84,16 +84,20 @@ def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
     return df.where(F.col(col) > F.lit(mark))
 
 
-def touched_since(df: DataFrame, keys: Sequence[str], col: str, mark) -> DataFrame:
+def touched_since(df: DataFrame, keys: Sequence[str], col: str, mark,
+                  broadcast_rows: int | None = None) -> DataFrame:
     """All versions of the keys that have at least one version newer than ``mark``.
 
     ``final(touched_since(df, ...))`` filtered by ``col > mark`` equals
     ``final(df)`` filtered the same way (a key whose versions are all older
     cannot win with a newer one), but only the delta's keys are deduplicated.
-    The key set is a left-semi join; AQE broadcasts it when its runtime size
-    is under the threshold and shuffles it otherwise.
+    With ``broadcast_rows`` the changed keys are counted first (a scan with
+    the mark pushed down) and, when there are at most that many, broadcast,
+    so the CDC copy is filtered map-side instead of shuffled whole.
     """
     changed = newer_than(df, col, mark).select(*keys).distinct()
+    if broadcast_rows is not None and changed.count() <= broadcast_rows:
+        changed = F.broadcast(changed)
     return df.join(changed, list(keys), "left_semi")
 
 
@@ -158,7 +162,8 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
 
 
 def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
-                 mark=None, winners: DataFrame | None = None) -> DataFrame:
+                 mark=None, winners: DataFrame | None = None,
+                 broadcast_rows: int | None = None) -> DataFrame:
     """C9 helper: ids of ``res_type`` changed after ``mark`` that are no longer live.
 
     A key is gone when its last metadata version is a tombstone or
@@ -170,7 +175,7 @@ def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
     if winners is None:
         meta = resource.select(*META_COLUMNS)
         if mark is not None:
-            meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark)
+            meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark, broadcast_rows)
         winners = latest(meta, RESOURCE_KEYS, BRONZE_ORDER)
     meta = winners.where(F.col("res_type") == res_type)
     if mark is not None:

@@ -88,9 +88,11 @@ def touched_bronze(b: Bronze, name: str, mark) -> Bronze:
     """Bronze restricted to the keys with a version newer than ``mark`` (exact for the delta)."""
     if name == "res_link":
         return Bronze(b.hfj_resource, b.hfj_res_ver,
-                      touched_since(b.hfj_res_link, LINK_KEYS, "sp_updated", mark_literal(mark)),
+                      touched_since(b.hfj_res_link, LINK_KEYS, "sp_updated", mark_literal(mark),
+                                    BROADCAST_DELTA_ROWS),
                       b.hfj_spidx_token)
-    return Bronze(touched_since(b.hfj_resource, RESOURCE_KEYS, "res_updated", mark_literal(mark)),
+    return Bronze(touched_since(b.hfj_resource, RESOURCE_KEYS, "res_updated", mark_literal(mark),
+                                BROADCAST_DELTA_ROWS),
                   b.hfj_res_ver, b.hfj_res_link, b.hfj_spidx_token)
 
 
@@ -174,7 +176,8 @@ def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int,
              winners: DataFrame | None = None) -> DataFrame:
     """One delete marker per key of ``name`` that left the model after ``mark``."""
     res_type, id_col = silver.RESOURCE_MODELS[name]
-    gone = deleted_keys(b.hfj_resource, b.hfj_res_ver, res_type, mark_literal(mark), winners)
+    gone = deleted_keys(b.hfj_resource, b.hfj_res_ver, res_type, mark_literal(mark), winners,
+                        BROADCAST_DELTA_ROWS)
     cols = []
     for field in like.schema.fields:
         if field.name == id_col:
