@@ -16,16 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.plans import silver
-from silverline.plans.incremental import BATCH_ID, DELETED, read_model, store
+from silverline.operators.cdc import current_resources
+from silverline.plans.incremental import BATCH_ID, BROADCAST_DELTA_ROWS, DELETED, read_model, store
 from silverline.session import scratch_dir
 from silverline.sources.bronze import SCHEMAS, Bronze, read_bronze
 from silverline.sources.fixtures import two_batch_resource
 
 
-def _rederive(scoped: Bronze, name: str) -> DataFrame:
+def _rederive(scoped: Bronze, name: str, current: DataFrame) -> DataFrame:
     """Model rows and delete markers for the ids in ``scoped`` (full history of those ids)."""
     res_type, id_col = silver.RESOURCE_MODELS[name]
-    rows = silver.SILVER_BUILDERS[name](scoped)
+    rows = silver.SILVER_BUILDERS[name](scoped, current)
     # ids of this type whose latest metadata no longer yields a model row
     typed = scoped.hfj_resource.where(F.col("res_type") == res_type) \
         .groupBy("res_id").agg(F.max("res_updated").alias("res_updated"))
@@ -44,8 +45,9 @@ def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets
     """One stream keeping several resource models fresh; returns the ``StreamingQuery``.
 
     ``targets`` maps model name -> stored table path.  Each micro-batch
-    scopes the bronze metadata to the ids it touched once (persisted for
-    the batch), then re-derives every model from it.  ``trigger`` defaults
+    scopes the bronze metadata to the ids it touched and joins their current
+    bodies once for all target types (both persisted for the batch), then
+    re-derives every model from them.  ``trigger`` defaults
     to ``{"availableNow": True}`` (drain what is there, then stop);
     ``{"processingTime": "1 minute"}`` matches the reference's schedule.
     """
@@ -56,18 +58,29 @@ def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets
 
     changes = ids_of("hfj_resource").unionByName(ids_of("hfj_res_ver"))
 
+    types = [silver.RESOURCE_MODELS[name][0] for name in targets]
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ids = batch.distinct()
-        resource = read_bronze(spark, bronze_root, "hfj_resource") \
-            .join(ids, "res_id", "left_semi").persist()
+        ids = batch.distinct().persist()
+        resource = current = None
         try:
-            scoped = Bronze(resource, read_bronze(spark, bronze_root, "hfj_res_ver"),
-                            static.hfj_res_link, static.hfj_spidx_token)
+            # a batch that touched at most BROADCAST_DELTA_ROWS ids is broadcast:
+            # bronze metadata and bodies are then filtered map-side, not shuffled
+            small = ids.count() <= BROADCAST_DELTA_ROWS
+            resource = read_bronze(spark, bronze_root, "hfj_resource") \
+                .join(F.broadcast(ids) if small else ids, "res_id", "left_semi").persist()
+            res_ver = read_bronze(spark, bronze_root, "hfj_res_ver")
+            current = current_resources(resource, res_ver, types, prefilter=True,
+                                        broadcast_meta=small).persist()
+            scoped = Bronze(resource, res_ver, static.hfj_res_link, static.hfj_spidx_token)
             for name, target in targets.items():
-                out = _rederive(scoped, name).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+                out = _rederive(scoped, name, current) \
+                    .withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
                 store(out, target, name, append=True)
         finally:
-            resource.unpersist()
+            for df in (current, resource, ids):
+                if df is not None:
+                    df.unpersist()
 
     return (changes.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
