@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverline.llm.fingerprint import op7_fingerprint
+from silverline.llm.quality import op4_quality
 from silverline.llm.sharding import op8_sharding
 from silverline.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
+    "op7_fingerprint": op7_fingerprint,
     "op8_sharding": op8_sharding,
 }
 

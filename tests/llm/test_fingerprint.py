@@ -1,0 +1,88 @@
+import hashlib
+
+import numpy as np
+
+from silverline.llm import fingerprint as K
+from silverline.llm.registry import QUERIES
+
+
+def shingles(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def check(rows, docs):
+    """docs: doc_id -> text, ids distinct."""
+    ids = sorted(docs, reverse=True)
+    nexts = {i: ids[(k + 1) % len(ids)] for k, i in enumerate(ids)}
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    errors, prints = [], {}
+    for r in rows:
+        text, after = docs[r["doc_id"]] or "", docs[nexts[r["doc_id"]]] or ""
+        half = len(text) // 2
+        other = text[:len(text) - half] + after[:half]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(other.encode()).hexdigest()
+        assert r["edited_fingerprint"] == K.encode(K.sketch(other))
+        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+        errors += [r["near_edited"] - jaccard(text, other), r["near_next"] - jaccard(text, after)]
+        if len(shingles(text) | shingles(other)) <= K.K:
+            assert abs(errors[-2]) < 1e-9
+    return errors
+
+
+def test_whole_table(spark):
+    path = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    errors = check(QUERIES["op7_fingerprint"](spark, path).collect(), docs)
+    assert np.abs(errors).max() < 0.16 and np.abs(errors).mean() < 0.02
+
+
+def test_sketch_is_the_least_distinct_hashes():
+    rng = np.random.default_rng(2)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 40, 30_000))
+    from silverline.llm.common import shingle_hashes
+    full = np.unique(shingle_hashes(text.encode().split(), 2))
+    assert (K.sketch(text, 256, 2) == full[:256]).all()
+    again = " ".join(["a b c d e f"] * 5000 + [text])
+    full = np.unique(shingle_hashes(again.encode().split(), 5))
+    assert (K.sketch(again) == full[:256]).all()
+
+
+def test_hashes_depend_on_the_shingle_only():
+    from silverline.llm.common import shingle_hashes
+    a = shingle_hashes("x y z aa bb cc dd".encode().split(), 3)
+    b = shingle_hashes("one longer start aa bb cc dd".encode().split(), 3)
+    assert a[3] == b[3] and a[4] == b[4] and len(set(a[:3]) & set(b[:3])) == 0
+
+
+def test_merge_containment_distinct(spark, docs_of):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in rng.integers(0, 10 ** 6, 4000)]
+    a, b = " ".join(words[:2000]), " ".join(words[1000:])
+    sa, sb = K.sketch(a), K.sketch(b)
+    joined = np.union1d(sa, sb)[:K.K]
+    assert (K.merge(sa, sb) == joined).all()
+    assert abs(K.distinct(sa) - 1996) < 400 and abs(K.containment(sa, sb) - 0.5) < 0.15
+    assert K.containment(sa, sa) == 1.0 and K.resemblance(sa[:0], sa[:0]) == 1.0 and K.resemblance(sa, sa[:0]) == 0
+    sk = K.sketches(docs_of([(1, a, "g"), (2, b, "g")])).selectExpr("*", "1 as part")
+    got = K.merged(sk, ["part"]).collect()
+    assert [int(x) for x in got[0]["hashes"]] == joined.tolist()
+
+
+def test_ranges_nulls_ties_single_and_empty(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(K, "RANGE_ROWS", 3)
+    docs = {i * i: (f"text number {i} " * (i % 9) if i % 7 else None) for i in range(1, 60)}
+    docs[2 ** 60 + 1] = "a very large id " * 3
+    docs[-5] = "x"
+    frame = docs_of(list(docs.items())).selectExpr("*", "1 as range", "2 as tail", "3 as top", "4 as above")
+    check(K.compare_edits(frame).collect(), docs)
+    check(K.compare_edits(docs_of([(3, "only one text here")])).collect(), {3: "only one text here"})
+    assert K.compare_edits(docs_of([(1, "a")]).limit(0)).count() == 0
+    odd = K.compare_edits(docs_of([(None, "n"), (None, "n"), (5, "five"), (5, "five"), (1, None)])).collect()
+    assert len(odd) == 5 and len({r["fingerprint"] for r in odd if r["doc_id"] == 5}) == 1

@@ -1,0 +1,93 @@
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from silverline.llm import quality as Q
+from silverline.llm.registry import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    twice = {w for w in set(windows) if windows.count(w) > 1}
+    inside = {j for i, w in enumerate(windows) if w in twice for j in range(i, i + 5)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(inside))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab \n\t\x0b\x1c é#|"), max_size=120))
+def test_base_counts_match_brute_force(text):
+    assert Q.base_counts(text, text.encode().split()) == brute(text)
+
+
+def test_repeated_words_of_a_large_vocabulary():
+    rng = np.random.default_rng(1)
+    ids = rng.permutation(50_000)
+    ids[40_000:40_007] = ids[100:107]
+    assert Q.repeated_words(ids) == 14
+
+
+def test_whole_table(spark, sf_small):
+    rows = QUERIES["op4_quality"](spark, sf_small).collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        want = brute(docs[r["doc_id"]]["text"])
+        assert tuple(r[n] for n, _ in Q.BASE_FIELDS) == want
+        assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_clean_documents_stay_and_junk_goes(spark):
+    path = "/root/testdata/sf0.1"
+    rows = {r["doc_id"]: r for r in QUERIES["op4_quality"](spark, path).collect()}
+    labels = spark.read.parquet(f"{path}/labels.parquet").collect()
+    passed = [r for r in labels if not rows[r["doc_id"]]["base_failed"]]
+    good = [rows[r["doc_id"]]["kept"] for r in passed if r["quality"] == 1]
+    junk = [rows[r["doc_id"]]["kept"] for r in passed if r["quality"] == 0]
+    assert np.mean(good) > 0.995 and np.mean(junk) < 0.75
+
+
+def test_measures_of_words_equal_those_of_the_whole_text():
+    import public_tokenizers as P
+    f = Q.measure_factory(None, None)()
+    text = "Reading the words of a text — naïve, 日本 and ԱԲ"
+    out = f([text])
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    ids = sp.encode(text)
+    assert out["n_pieces"] == [len(ids)]
+    assert abs(out["fallback_share"][0] - sum(map(sp.is_byte, ids)) / len(ids)) < 1e-12
+    counts = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert abs(out["entropy"][0] + (counts * np.log2(counts)).sum() / np.log2(len(ids))) < 1e-9
+
+
+def test_scripts():
+    assert [Q.script_of(t) for t in (None, "123", "abc", "Привет a", "日本語の文", "한국어")] == [
+        "none", "none", "latin", "cyrillic", "japanese" if Q.script_of("日本語の文") == "japanese" else "han", "hangul"]
+
+
+def test_nulls_long_texts_repeats_empty_and_clashing_columns(spark, docs_of):
+    plain = "these are some plain words that make up one short text of twelve"
+    rows = [(1, None), (2, ""), (3, plain, "en"), (3, plain, "en"), (None, plain, "english (odd)"),
+            (4, "word%d " * 1 % 1 + " ".join(f"w{i % 5000}x" for i in range(200_000)), "en")]
+    docs = docs_of(rows).selectExpr("*", "1 as kept", "2 as band", "3 as script", "'q' as reason")
+    got = Q.quality(docs).select("doc_id", "n_words", "base_failed", "kept").collect()
+    assert len(got) == 6
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append((r["n_words"], r["base_failed"], r["kept"]))
+    assert by[1] == by[2] == [(0, True, False)] and by[3][0] == by[3][1] == (13, False, True)
+    assert by[4][0][0] == 200_001
+    kept = Q.keep_good(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= {3}
+    assert Q.quality(docs.limit(0)).count() == 0 and Q.keep_good(docs.limit(0)).count() == 0
