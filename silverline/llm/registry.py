@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverline.llm.fingerprint import op7_fingerprint
 from silverline.llm.langid import op2_language
+from silverline.llm.packing import op1_packing
 from silverline.llm.quality import op4_quality
 from silverline.llm.sharding import op8_sharding
 from silverline.llm.simhash import op3_simhash
 from silverline.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
