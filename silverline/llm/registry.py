@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverline.llm.fingerprint import op7_fingerprint
 from silverline.llm.langid import op2_language
+from silverline.llm.licenses import op10_licenses
 from silverline.llm.packing import op1_packing
 from silverline.llm.quality import op4_quality
 from silverline.llm.sharding import op8_sharding
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_fingerprint": op7_fingerprint,
     "op8_sharding": op8_sharding,
+    "op10_licenses": op10_licenses,
 }
 
 #: Operators that SQL can't express are tested against brute force in tests/llm.
