@@ -10,6 +10,7 @@ from silverline.llm.fingerprint import op7_fingerprint
 from silverline.llm.langid import op2_language
 from silverline.llm.licenses import op10_licenses
 from silverline.llm.packing import op1_packing
+from silverline.llm.pii import op5_pii
 from silverline.llm.quality import op4_quality
 from silverline.llm.sharding import op8_sharding
 from silverline.llm.simhash import op3_simhash
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_fingerprint": op7_fingerprint,
     "op8_sharding": op8_sharding,
