@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from silverline.llm.fingerprint import op7_fingerprint
 from silverline.llm.langid import op2_language
 from silverline.llm.licenses import op10_licenses
+from silverline.llm.mixing import op9_mixing
 from silverline.llm.packing import op1_packing
 from silverline.llm.pii import op5_pii
 from silverline.llm.quality import op4_quality
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_fingerprint": op7_fingerprint,
     "op8_sharding": op8_sharding,
+    "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
 }
 
