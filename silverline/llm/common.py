@@ -70,10 +70,9 @@ def map_texts(df: DataFrame, factory: Callable[[], Callable[[list], dict]],
             for at in range(0, whole.num_rows, CHUNK_ROWS):
                 part = whole.slice(at, CHUNK_ROWS)
                 out = fn(part.column(part.schema.get_field_index(text)).to_pylist())
-                cols = [part.column(part.schema.get_field_index(f.name)).cast(want.field(f.name).type)
-                        for f in kept]
+                cols = [part.column(part.schema.get_field_index(f.name)) for f in kept]
                 cols += [pa.array(out[f.name], type=want.field(f.name).type) for f in added]
-                yield pa.RecordBatch.from_arrays(cols, names=want.names)
+                yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema])
 
     return src.mapInArrow(run, schema)
 

@@ -72,13 +72,15 @@ def fingerprint(text: str | None, size: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
     """``doc_id, fp`` (the fingerprint as a signed long)."""
+    return map_texts(docs, _factory(size), [("fp", "bigint")], ["doc_id"])
+
+
+def _factory(size: int):
     def factory():
         def run(texts):
-            fps = np.array([fingerprint(t, size) for t in texts], np.uint64)
-            return {"fp": fps.view(np.int64)}
+            return {"fp": np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)}
         return run
-
-    return map_texts(docs, factory, [("fp", "bigint")], ["doc_id"])
+    return factory
 
 
 # ---- layout and thresholds --------------------------------------------------
@@ -367,6 +369,25 @@ def classes(rows: DataFrame, distance: int) -> DataFrame:
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` with one document of each group of near copies, all columns.
+
+    The one of least id stays; a row number tells repeated ids apart (stored
+    with the rows, so that it is the same for every later read).  Groups are
+    settled on narrow rows; the texts then meet the numbers that stay, one
+    match a row at most.
+    """
+    cols = docs.columns
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)]
+    wide = docs.select(*kept, F.col("text").alias("text"), F.col("doc_id").alias("id"),
+                       F.monotonically_increasing_id().alias("row"))
+    rows = stored(map_texts(wide, _factory(size), [("fp", "bigint")],
+                            [*[f"c{i}" for i in range(len(cols))], "id", "row"]), "simhash-docs")
+    named = classes(rows.select(F.struct("id", "row").alias("doc_id"), "fp"), distance)
+    first = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.row")
+    return rows.join(first, "row", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, links at four or fewer differing bits."""
     out = near_duplicates(table(spark, sf_dir, "documents"), size=4, distance=4)
