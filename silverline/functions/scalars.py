@@ -36,7 +36,12 @@ NOT_DIAGNOSED = "Belum Ada Diagnosis Formal"
 # Plain decimal or scientific number; anything else (1.5d, NaN, inf, '',
 # blanks, text) is not a number.  Spark's own cast would accept a trailing
 # d/f and NaN/Infinity, the reference's parser does not.
-NUMERIC_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# (``\z``: ``$`` would also match before a final line end.)
+NUMERIC_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+# A JSON number; a parsed document keeps its value, not its spelling.
+JSON_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\z"
+# A date-time text starts with a four-digit year; a time of day alone is none.
+STARTS_WITH_YEAR = r"^\s*[0-9]{4}([-T ]|\s*\z)"
 
 
 def _col(c: Column | str) -> Column:
@@ -53,12 +58,14 @@ def parse_json_doc(text: Column | str) -> Column:
     return F.try_parse_json(_col(text))
 
 
-def json_value(doc: Column, path: str) -> Column:
+def json_value(doc: Column, path: str, raw: Column | None = None) -> Column:
     """X1 on a parsed document: scalar at ``path`` as text, ``''`` otherwise.
 
     Missing path, JSON null, malformed text and a path that lands on an
     object or array all give ``''`` (JSON_VALUE returns scalars only and the
-    stored column is not nullable).
+    stored column is not nullable).  With the ``raw`` text, numbers keep their
+    spelling (``120.0``), and a valid document that cannot be parsed as a
+    whole (too large, a repeated key) is searched instead, so no row is lost.
     """
     text = F.try_variant_get(doc, path, "string")
     first = F.substring(text, 1, 1)
@@ -66,12 +73,21 @@ def json_value(doc: Column, path: str) -> Column:
         F.try_variant_get(doc, path, "array<variant>").isNotNull()
         | F.try_variant_get(doc, path, "map<string,variant>").isNotNull()
     )
-    return F.when(text.isNull() | is_container, F.lit("")).otherwise(text)
+    value = F.when(text.isNull() | is_container, F.lit("")).otherwise(text)
+    if raw is None:
+        return value
+    found = F.get_json_object(raw, path)
+    holds_more = found.startswith("{") & F.json_object_keys(found).isNotNull() \
+        | found.startswith("[") & F.json_array_length(found).isNotNull()
+    searched = F.when(found.isNull() | holds_more, F.lit("")).otherwise(found)
+    whole = F.json_object_keys(raw).isNotNull() | F.json_array_length(raw).isNotNull()
+    return (F.when(doc.isNull(), F.when(raw.isNotNull() & whole, searched).otherwise(F.lit("")))
+            .when(value.rlike(JSON_NUMBER), F.coalesce(found, value)).otherwise(value))
 
 
 def json_text(text: Column | str, path: str) -> Column:
     """``JSON_VALUE(text, path)`` with ``''`` for anything that is not a scalar."""
-    return json_value(parse_json_doc(text), path)
+    return json_value(parse_json_doc(text), path, _col(text))
 
 
 def json_fields(text: Column | str, paths: Mapping[str, str]) -> list[Column]:
@@ -81,7 +97,7 @@ def json_fields(text: Column | str, paths: Mapping[str, str]) -> list[Column]:
     it once per row for all paths of one projection.
     """
     doc = parse_json_doc(text)
-    return [json_value(doc, path).alias(name) for name, path in paths.items()]
+    return [json_value(doc, path, _col(text)).alias(name) for name, path in paths.items()]
 
 
 def to_date_of(ts: Column | str) -> Column:
@@ -90,23 +106,33 @@ def to_date_of(ts: Column | str) -> Column:
 
 
 def parse_ts_or_null(text: Column | str) -> Column:
-    """Lenient ISO-8601 parse (offset honoured) or NULL."""
-    return _col(text).try_cast("timestamp")
+    """Lenient ISO-8601 parse (offset honoured) or NULL.
+
+    Spark's own cast completes a time of day with the current date; a text
+    must start with a year.
+    """
+    c = _col(text)
+    return F.when(c.rlike(STARTS_WITH_YEAR), c.try_cast("timestamp"))
 
 
-def fhir_date(text: Column | str) -> Column:
+def fhir_date(text: Column | str, report_tz: str = "UTC") -> Column:
     """Date of an ISO date-time text, or 1970-01-01 when absent/unparseable.
 
-    The day is taken in the session time zone (UTC, see ``session.py``), so
-    00:30 at +07:00 falls on the previous day, as in the reference.
+    The day is taken in ``report_tz`` (the session's zone is UTC, see
+    ``session.py``): in UTC, 00:30 at +07:00 falls on the previous day, as in
+    the reference.
     """
-    return F.coalesce(F.to_date(parse_ts_or_null(text)), F.lit(EPOCH_DATE).cast("date"))
+    parsed = parse_ts_or_null(text)
+    if report_tz != "UTC":
+        parsed = F.from_utc_timestamp(parsed, report_tz)
+    return F.coalesce(F.to_date(parsed), F.lit(EPOCH_DATE).cast("date"))
 
 
 def to_double_or_null(text: Column | str) -> Column:
-    """Text -> double, NULL when it is not a plain number."""
+    """Text -> double, NULL when it is not a plain, finite number."""
     c = _col(text)
-    return F.when(c.rlike(NUMERIC_PATTERN), c.try_cast("double"))
+    number = F.when(c.rlike(NUMERIC_PATTERN), c.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def ptm_category(icd_code: Column | str) -> Column:

@@ -55,7 +55,9 @@ base AS (
            || CASE WHEN event_id % 31 = 0 THEN ''
                    ELSE ',"subject":{"reference":"Patient/' || CAST(user_id AS VARCHAR) || '"}' END
            || ',"encounter":{"reference":"Encounter/' || CAST(event_id AS VARCHAR) || '"}'
+           || CASE WHEN event_id % 47 = 0 THEN ',"note":"a","note":"b"' ELSE '' END
            || CASE WHEN event_type = 'signup' THEN ''
+                   WHEN event_id % 59 = 0 THEN ',"effectiveDateTime":"10:00:00"'
                    ELSE ',"effectiveDateTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+07:00"' END
            || ',"code":{"coding":[{"code":"'
            || CASE WHEN event_type = 'purchase' THEN '29463-7' ELSE '8480-6' END
@@ -64,7 +66,9 @@ base AS (
                    WHEN event_id % 2 = 0 THEN 'Systolic blood pressure'
                    ELSE 'Diastolic blood pressure' END
            || '"}]},"valueQuantity":{"value":'
-           || CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN '0'
+           || CASE WHEN event_id % 43 = 0
+                        THEN CAST(100 + CAST(floor(value) AS BIGINT) % 60 AS VARCHAR) || '.50'
+                   WHEN event_type = 'error' AND event_id % 3 = 0 THEN '0'
                    WHEN event_type = 'error' AND event_id % 3 = 1 THEN '"n/a"'
                    WHEN event_id % 2 = 0 THEN CAST(100 + CAST(floor(value) AS BIGINT) % 60 AS VARCHAR)
                    ELSE CAST(60 + CAST(floor(value) AS BIGINT) % 45 AS VARCHAR) END

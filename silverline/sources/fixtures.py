@@ -90,7 +90,8 @@ def base_resources(t: dict) -> DataFrame:
     etype = F.col("event_type")
     even = eid % 2 == 0
     whole = F.floor("value")
-    value_json = (F.when((etype == "error") & (eid % 3 == 0), _lit("0"))
+    value_json = (F.when(eid % 43 == 0, F.concat(_s(whole % 60 + 100), _lit(".50")))
+                   .when((etype == "error") & (eid % 3 == 0), _lit("0"))
                    .when((etype == "error") & (eid % 3 == 1), _lit('"n/a"'))
                    .when(even, _s(whole % 60 + 100))
                    .otherwise(_s(whole % 45 + 60)))
@@ -101,7 +102,10 @@ def base_resources(t: dict) -> DataFrame:
             F.when(eid % 31 == 0, _lit("")).otherwise(
                 F.concat(_lit(',"subject":{"reference":"Patient/'), _s(F.col("user_id")), _lit('"}'))),
             _lit(',"encounter":{"reference":"Encounter/'), _s(eid), _lit('"}'),
-            F.when(etype == "signup", _lit("")).otherwise(F.concat(
+            F.when(eid % 47 == 0, _lit(',"note":"a","note":"b"')).otherwise(_lit("")),
+            F.when(etype == "signup", _lit(""))
+             .when(eid % 59 == 0, _lit(',"effectiveDateTime":"10:00:00"'))
+             .otherwise(F.concat(
                 _lit(',"effectiveDateTime":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
                 _lit('+07:00"'))),
             _lit(',"code":{"coding":[{"code":"'),
@@ -218,20 +222,34 @@ def write_bronze(bronze: Bronze, root: str) -> None:
 
 # Two-batch fixture for incremental loads (FIXTURES.md section 4) -----------
 
-def two_batch_resource(bronze: Bronze, res_type: str | None = "Encounter") -> DataFrame:
-    """Metadata rows (of one type, or all) with an ``arrival`` batch and shifted ``res_updated``."""
+def two_batch_resource(bronze: Bronze, late: bool = False) -> DataFrame:
+    """Metadata rows of every type with an ``arrival`` batch and shifted ``res_updated``.
+
+    ``late``: a third of batch 2 arrives as batch 3, half of it with a version above batch 2's.
+    """
     r = bronze.hfj_resource
-    if res_type is not None:
-        r = r.where(F.col("res_type") == res_type)
     rid, ver = F.col("res_id"), F.col("res_ver")
     arrival = F.when((ver == 2) | (rid % 23 == 0) | (rid % 29 == 0), 2).otherwise(1)
-    shifted = F.when((ver == 2) | (rid % 29 == 0),
-                     F.timestamp_add("DAY", _lit(4000), F.col("res_published"))) \
-               .otherwise(F.col("res_published"))
-    return r.withColumn("res_updated", shifted).withColumn("arrival", arrival)
+    days = F.when((ver == 2) | (rid % 29 == 0), 4000).otherwise(0)
+    if late:
+        third = (arrival == 2) & (rid % 3 == 0)
+        days = days + F.when(third & (rid % 2 == 0), 4000).otherwise(0)
+        arrival = F.when(third, 3).otherwise(arrival)
+    return r.withColumn("res_updated", F.timestamp_add("DAY", days, F.col("res_published"))) \
+            .withColumn("arrival", arrival)
+
+
+def two_batch_link(bronze: Bronze) -> DataFrame:
+    """Links with an ``arrival`` batch: second versions (and some first ones) land in batch 2."""
+    second, src = F.col("_peerdb_version") == 2, F.col("src_resource_id")
+    shifted = F.when(second | (src % 29 == 0), F.timestamp_add("DAY", _lit(4000), F.col("sp_updated"))) \
+               .otherwise(F.col("sp_updated"))
+    return bronze.hfj_res_link.withColumn("sp_updated", shifted) \
+        .withColumn("arrival", F.when(second | (src % 23 == 0) | (src % 29 == 0), 2).otherwise(1))
 
 
-def batch_view(bronze: Bronze, batch: int) -> Bronze:
+def batch_view(bronze: Bronze, batch: int, late: bool = False) -> Bronze:
     """Bronze as seen after ``batch`` arrivals (bodies are all there from the start)."""
-    r = two_batch_resource(bronze).where(F.col("arrival") <= batch).drop("arrival")
-    return Bronze(r, bronze.hfj_res_ver, bronze.hfj_res_link, bronze.hfj_spidx_token)
+    r = two_batch_resource(bronze, late).where(F.col("arrival") <= batch).drop("arrival")
+    links = two_batch_link(bronze).where(F.col("arrival") <= batch).drop("arrival")
+    return Bronze(r, bronze.hfj_res_ver, links, bronze.hfj_spidx_token)
