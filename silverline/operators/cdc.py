@@ -78,10 +78,10 @@ def live(df: DataFrame, col: str = "res_deleted_at") -> DataFrame:
 def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
     """Rows strictly newer than the high-water mark.
 
-    ``mark`` is a Python value (read once by ``high_water_mark``) so that the
-    comparison is a literal and reaches the Parquet scan as a pushed filter.
+    ``mark`` is a literal (read once by ``high_water_mark``), so that the
+    comparison reaches the Parquet scan as a pushed filter.
     """
-    return df.where(F.col(col) > F.lit(mark))
+    return df.where(F.col(col) > (mark if isinstance(mark, Column) else F.lit(mark)))
 
 
 def touched_since(df: DataFrame, keys: Sequence[str], col: str, mark,
@@ -161,14 +161,14 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
                           "res_text_vc")
 
 
-def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
+def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str | None,
                  mark=None, winners: DataFrame | None = None,
                  broadcast_rows: int | None = None) -> DataFrame:
-    """C9 helper: ids of ``res_type`` changed after ``mark`` that are no longer live.
+    """C9 helper: ids of ``res_type`` (None: all) changed after ``mark`` that are no longer live.
 
     A key is gone when its last metadata version is a tombstone or
     soft-deleted, or when the body of that version is tombstoned.  Returns
-    ``res_id`` and the ``res_updated`` of the deleting version.  ``winners``
+    ``res_id, res_type`` and the ``res_updated`` of the deleting version.  ``winners``
     (from ``final_metadata``) saves the metadata dedup; without it only the
     ids touched since ``mark`` are deduplicated.
     """
@@ -177,11 +177,13 @@ def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
         if mark is not None:
             meta = touched_since(meta, RESOURCE_KEYS, "res_updated", mark, broadcast_rows)
         winners = latest(meta, RESOURCE_KEYS, BRONZE_ORDER)
-    meta = winners.where(F.col("res_type") == res_type)
+    meta = winners if res_type is None else winners.where(F.col("res_type") == res_type)
     if mark is not None:
         meta = newer_than(meta, "res_updated", mark)
     # only the bodies of these versions (their own dedup key, so exact), then FINAL
     keys = meta.select("res_id", "res_ver")
+    if broadcast_rows is not None and keys.count() <= broadcast_rows:
+        keys = F.broadcast(keys)
     body = latest(res_ver.select("res_id", "res_ver", CDC_VERSION, TOMBSTONE)
                   .join(keys, list(RES_VER_KEYS), "left_semi"),
                   RES_VER_KEYS, BRONZE_ORDER).withColumnRenamed(TOMBSTONE, "_body_deleted")
@@ -189,4 +191,4 @@ def deleted_keys(resource: DataFrame, res_ver: DataFrame, res_type: str,
                        list(RES_VER_KEYS), "left")
     gone = (F.col(TOMBSTONE) != 0) | is_deleted() | \
         F.coalesce(F.col("_body_deleted") != 0, F.lit(True))
-    return joined.where(gone).select("res_id", "res_updated")
+    return joined.where(gone).select("res_id", "res_type", "res_updated")

@@ -22,9 +22,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverline.operators.cdc import (BATCH_ID, LINK_KEYS, RESOURCE_KEYS, current_resources,
-                                      deleted_keys, final_links, final_metadata, touched_since)
+from silverline.operators.cdc import newer_than as cdc_newer_than
+from silverline.operators.cdc import (BATCH_ID, BRONZE_ORDER, LINK_KEYS, RESOURCE_KEYS, TOMBSTONE, current_resources,
+                                      deleted_keys, drop_tombstones, final_links, final_metadata,
+                                      latest, live, touched_since)
 from silverline.plans import silver
 from silverline.session import scratch_dir
 from silverline.sinks.tables import (append_table, current_version, list_names,
@@ -66,8 +69,24 @@ def high_water_mark(target: DataFrame, col: str):
 
 
 def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
-    """``col > mark`` with the mark as a literal."""
-    return df.where(F.col(col) > mark_literal(mark))
+    """C5 with a Python mark (see ``cdc.newer_than``)."""
+    return cdc_newer_than(df, col, mark_literal(mark))
+
+
+def newer_by_type(marks: dict) -> Column:
+    """Resource metadata above the mark of its own type's model; no mark: all rows of the type."""
+    keep = F.lit(False)
+    for name, (res_type, _) in silver.RESOURCE_MODELS.items():
+        own = F.col("res_type") == res_type
+        if marks.get(name) is not None:
+            own = own & (F.col("res_updated") > mark_literal(marks[name]))
+        keep = keep | own
+    return keep
+
+
+def read_version(spark: SparkSession, version: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored version; with a schema it may hold no file at all."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
 
 
 def build_full(b: Bronze, name: str, current: DataFrame | None = None,
@@ -118,31 +137,39 @@ def _stamp(df: DataFrame, batch_id: int, deleted: bool = False) -> DataFrame:
              .withColumn(DELETED, F.lit(deleted))
 
 
-def store(df: DataFrame, target_path: str, name: str, append: bool) -> str:
+def store(df: DataFrame, target_path: str, name: str, append: bool, mark=None, batch: int = 0) -> str:
     """Write one job's rows (already stamped) into its own write folder.
 
     The folder's highest version is observed while the rows are written (no
     second pass) and, after the data commit, recorded in the name of an empty
-    marker file (``_marks/<write id>-<epoch micros>``), so the next run's
-    high-water mark is a listing instead of a scan of the whole table.
+    marker file (``_marks/<write id>-<epoch micros>-<batch>``), so the next
+    run's high-water mark is a listing instead of a scan of the whole table.
     ``max`` is idempotent, so retried or speculative tasks cannot skew it.
+    ``mark`` is one the table had before (a compaction drops delete markers):
+    the recorded mark never falls below it.  A full build without any row
+    still stores one empty file, so the table can be read.
     """
     spark = df.sparkSession
     write_id = "w" + uuid.uuid4().hex
     seen = Observation(f"mark-{write_id}")
-    df = df.observe(seen, F.max(version_column(name)).alias("top")) \
-           .withColumn(WRITE_ID, F.lit(write_id))
+    rows = df.observe(seen, F.max(version_column(name)).alias("top")) \
+             .withColumn(WRITE_ID, F.lit(write_id))
     # sorted by the write folder first, so the writer keeps the key order (K5)
     order = [WRITE_ID, *key_columns(name)]
     if append:
-        version = append_table(df, target_path, order, [WRITE_ID])
+        version = append_table(rows, target_path, order, [WRITE_ID])
     else:
-        version = write_table(df, target_path, order, [WRITE_ID])
-    # an empty write creates no folder, and needs no marker
+        version = write_table(rows, target_path, order, [WRITE_ID], range_partition=True)
     if write_id in partition_values(spark, version, WRITE_ID):
         top = seen.get["top"]
-        micros = "none" if top is None else str(_epoch_micros(top))
-        touch(spark, f"{version}/{MARKS}/{write_id}-{micros}")
+    elif append:
+        return version  # an empty append leaves nothing behind, and needs no marker
+    else:
+        df.limit(0).coalesce(1).write.mode("append").parquet(f"{version}/{WRITE_ID}={write_id}")
+        top = None
+    top = max((m for m in (top, mark) if m is not None), default=None)
+    micros = "none" if top is None else str(_epoch_micros(top))
+    touch(spark, f"{version}/{MARKS}/{write_id}-{micros}-{batch}")
     return version
 
 
@@ -155,38 +182,68 @@ def _from_micros(micros: int) -> dt.datetime:
     return EPOCH + dt.timedelta(microseconds=micros)
 
 
+def _markers_of(spark: SparkSession, version: str) -> dict[str, tuple[str, int]]:
+    """write id -> (mark in micros or ``none``, batch id)."""
+    out = {}
+    for entry in list_names(spark, f"{version}/{MARKS}"):
+        write_id, value, batch = entry.split("-", 2)
+        out[write_id] = (value, int(batch))
+    return out
+
+
 def recorded_mark(spark: SparkSession, version: str):
     """The mark from the marker files, or ``...`` when a write folder has none."""
     writes = partition_values(spark, version, WRITE_ID)
-    marks: dict[str, str] = {}
-    for entry in list_names(spark, f"{version}/{MARKS}"):
-        write_id, _, value = entry.rpartition("-")
-        marks[write_id] = value
-    if not writes or any(w not in marks for w in writes):
+    marks = _markers_of(spark, version)
+    if any(w not in marks for w in writes):
         return ...
-    values = [_from_micros(int(v)) for v in marks.values() if v != "none"]
+    values = [_from_micros(int(v)) for v, _ in marks.values() if v != "none"]
     return max(values) if values else EPOCH
 
 
+def next_batch(spark: SparkSession, target_path: str, at_least: int = 0) -> int:
+    """One sequence of batch ids for all jobs that write a table: above every stored one."""
+    version = current_version(spark, target_path)
+    used = [b for _, b in _markers_of(spark, version).values()] if version else []
+    return max([at_least, *(b + 1 for b in used)])
+
+
 def write_jobs(spark: SparkSession, version: str) -> int:
     return len(partition_values(spark, version, WRITE_ID))
 
 
-def _markers(b: Bronze, name: str, like: DataFrame, mark, batch_id: int,
-             winners: DataFrame | None = None) -> DataFrame:
-    """One delete marker per key of ``name`` that left the model after ``mark``."""
+def gone_keys(b: Bronze, name: str, mark, winners: DataFrame | None = None,
+              link_winners: DataFrame | None = None, gone: DataFrame | None = None) -> DataFrame:
+    """Key and version columns of the rows of ``name`` that left it after ``mark``.
+
+    ``resource`` and ``res_link`` lose a key to a tombstone; a resource model
+    also to a soft delete or a tombstoned body (``gone``: these for all
+    types, computed once a run).
+    """
+    if name == "res_link":
+        if link_winners is None:
+            link_winners = latest(touched_bronze(b, name, mark).hfj_res_link, LINK_KEYS, BRONZE_ORDER)
+        dead = link_winners.where(F.col(TOMBSTONE) != 0)
+        return newer_than(dead, "sp_updated", mark).select(*key_columns(name), "sp_updated")
+    if name == "resource":
+        if winners is None:
+            winners = final_metadata(touched_bronze(b, name, mark).hfj_resource)
+        return newer_than(winners.where(F.col(TOMBSTONE) != 0), "res_updated", mark).select(
+            *key_columns(name), "res_updated")
     res_type, id_col = silver.RESOURCE_MODELS[name]
-    gone = deleted_keys(b.hfj_resource, b.hfj_res_ver, res_type, mark_literal(mark), winners,
-                        BROADCAST_DELTA_ROWS)
-    cols = []
-    for field in like.schema.fields:
-        if field.name == id_col:
-            cols.append(F.col("res_id").alias(id_col))
-        elif field.name == "res_updated":
-            cols.append(F.col("res_updated"))
-        else:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-    return _stamp(gone.select(*cols), batch_id, deleted=True)
+    if gone is None:
+        gone = deleted_keys(b.hfj_resource, b.hfj_res_ver, res_type, mark_literal(mark), winners,
+                            BROADCAST_DELTA_ROWS)
+    else:
+        gone = newer_than(gone.where(F.col("res_type") == res_type), "res_updated", mark)
+    return gone.select(F.col("res_id").alias(id_col), "res_updated")
+
+
+def _markers(like: DataFrame, gone: DataFrame, batch_id: int) -> DataFrame:
+    """One delete marker for each gone key."""
+    return _stamp(gone.select(*[
+        F.col(f.name) if f.name in gone.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in like.schema.fields]), batch_id, deleted=True)
 
 
 def stored_mark(spark: SparkSession, name: str, target_path: str, full_refresh: bool = False):
@@ -200,7 +257,8 @@ def stored_mark(spark: SparkSession, name: str, target_path: str, full_refresh:
         return None
     mark = recorded_mark(spark, version)
     if mark is ...:
-        mark = high_water_mark(spark.read.parquet(version), version_column(name))
+        field = T.StructType([T.StructField(version_column(name), T.TimestampNTZType())])
+        mark = high_water_mark(read_version(spark, version, field), version_column(name))
     return mark
 
 
@@ -208,7 +266,8 @@ def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
                  full_refresh: bool = False, propagate_deletes: bool = False,
                  current: DataFrame | None = None, mark=...,
                  winners: DataFrame | None = None,
-                 link_winners: DataFrame | None = None) -> DataFrame:
+                 link_winners: DataFrame | None = None,
+                 gone: DataFrame | None = None) -> DataFrame:
     """K2/K3/K4 (+C9): refresh one incremental model stored at ``target_path``.
 
     Returns the rows written in this run (read back from storage).
@@ -216,16 +275,18 @@ def append_delta(b: Bronze, name: str, target_path: str, batch_id: int,
     spark = b.hfj_resource.sparkSession
     if mark is ...:
         mark = stored_mark(spark, name, target_path, full_refresh)
+    batch_id = next_batch(spark, target_path, batch_id)
+    like = build_full(b, name, current, winners, link_winners)
     if mark is None:
-        version = store(_stamp(build_full(b, name, current, winners, link_winners), batch_id),
-                        target_path, name, False)
+        rows = _stamp(like, batch_id)
+        version = store(rows, target_path, name, False, batch=batch_id)
     else:
         rows = _stamp(build_delta(b, name, mark, current, winners, link_winners), batch_id)
-        if propagate_deletes and name in silver.RESOURCE_MODELS:
-            rows = rows.unionByName(_markers(b, name, build_full(b, name), mark, batch_id,
-                                             winners))
-        version = store(rows, target_path, name, True)
-    return spark.read.parquet(version).where(F.col(BATCH_ID) == batch_id)
+        if propagate_deletes:
+            rows = rows.unionByName(_markers(
+                like, gone_keys(b, name, mark, winners, link_winners, gone), batch_id))
+        version = store(rows, target_path, name, True, batch=batch_id)
+    return read_version(spark, version, rows.schema).where(F.col(BATCH_ID) == batch_id)
 
 
 def final_rows(stored: DataFrame, keys: Sequence[str], version: str,
@@ -245,12 +306,14 @@ def live_rows(stored: DataFrame) -> DataFrame:
     return stored.drop(*INTERNAL)
 
 
-def read_model(spark: SparkSession, target_path: str, name: str, final: bool = True,
-               batch_first: bool = False) -> DataFrame:
+def read_model(spark: SparkSession, target_path: str, name: str, final: bool = True) -> DataFrame:
     """Read a stored model; ``final=True`` gives the last row per key (``FINAL``).
 
     A version written by a single job is unique per key already and is read
-    as is; otherwise C6 merge-on-read picks the last row per key.
+    as is; otherwise C6 merge-on-read picks the row of the last batch per key.
+    Batches of all jobs share one sequence (``next_batch``): a scheduled run
+    only appends versions above the mark, and a micro-batch re-derives its
+    keys from the whole bronze copy, so the last batch is the newest state.
     """
     version = current_version(spark, target_path)
     if version is None:
@@ -260,13 +323,19 @@ def read_model(spark: SparkSession, target_path: str, name: str, final: bool = T
         return stored
     if write_jobs(spark, version) <= 1:
         return live_rows(stored)
-    return final_rows(stored, key_columns(name), version_column(name), batch_first)
+    return final_rows(stored, key_columns(name), version_column(name), batch_first=True)
+
 
+def compact(spark: SparkSession, target_path: str, name: str) -> str:
+    """Rewrite a stored model as its final rows (a new version; equals ``read_model``).
 
-def compact(spark: SparkSession, target_path: str, name: str, batch_first: bool = False) -> str:
-    """Rewrite a stored model as its final rows (a new version; equals ``read_model``)."""
-    compacted = read_model(spark, target_path, name, batch_first=batch_first)
-    return store(_stamp(compacted, 0), target_path, name, append=False)
+    Delete markers go, but the mark and the batch sequence stay what they
+    were, so later runs append the same rows as without a compaction.
+    """
+    mark = stored_mark(spark, name, target_path)
+    batch = next_batch(spark, target_path) - 1
+    compacted = read_model(spark, target_path, name)
+    return store(_stamp(compacted, batch), target_path, name, append=False, mark=mark, batch=batch)
 
 
 # ---- the two-batch fixture (FIXTURES.md section 4) --------------------------
@@ -281,6 +350,11 @@ def two_batch_query(spark: SparkSession, bronze: Bronze, what: str) -> DataFrame
     if what == "full_refresh":
         append_delta(b2, name, target, batch_id=2, full_refresh=True)
         return read_model(spark, target, name)
+    if what == "compacted_then_next_batch":
+        append_delta(batch_view(bronze, 2, late=True), name, target, batch_id=2, propagate_deletes=True)
+        compact(spark, target, name)
+        append_delta(batch_view(bronze, 3, late=True), name, target, batch_id=3, propagate_deletes=True)
+        return read_model(spark, target, name)
     delta = append_delta(b2, name, target, batch_id=2,
                          propagate_deletes=(what == "propagated_deletes"))
     if what == "high_water_delta":
@@ -291,6 +365,25 @@ def two_batch_query(spark: SparkSession, bronze: Bronze, what: str) -> DataFrame
     return read_model(spark, target, name)
 
 
+_REFRESHED: dict[tuple, dict[str, str]] = {}
+
+
+def two_batch_refresh(spark: SparkSession, bronze: Bronze, source: str, name: str,
+                      propagate_deletes: bool = False) -> DataFrame:
+    """Model ``name`` after two scheduled runs over every type and link (``refresh_all``).
+
+    One pair of runs a session and source serves all models.
+    """
+    key = (spark.sparkContext.applicationId, source, propagate_deletes)
+    if key not in _REFRESHED:
+        root = scratch_dir(spark, "two-batch-refresh")
+        refresh_all(spark, batch_view(bronze, 1), root, batch_id=1, propagate_deletes=propagate_deletes)
+        _REFRESHED[key] = refresh_all(spark, batch_view(bronze, 2), root, batch_id=2,
+                                      propagate_deletes=propagate_deletes)
+    path = _REFRESHED[key][name]
+    return read_model(spark, path, name)
+
+
 # ---- one refresh of every model --------------------------------------------
 
 class _Clock:
@@ -316,25 +409,24 @@ def shared_current(spark: SparkSession, bronze: Bronze, winners: DataFrame, mark
                    root: str, broadcast_rows: int = BROADCAST_DELTA_ROWS) -> DataFrame:
     """C8 once for all five resource models, stored partitioned by ``res_type``.
 
-    With marks (an incremental run) only winners newer than the earliest of
-    them are joined to their bodies, and the bodies are pre-filtered to those
-    keys; each model then applies its own, later or equal, mark.  The delta is
-    counted first (a scan of the stored winners with the mark pushed down);
-    when it is at most ``broadcast_rows`` it is broadcast, so the body table is
-    only scanned and filtered map-side, never shuffled whole.  Otherwise the
-    join shuffles both sides.  Storing the result cuts the lineage and lets
-    each model read just its type's partition.
+    With marks (an incremental run) only winners newer than the mark of their
+    own type's model are joined to their bodies (a type without a mark takes
+    all of its rows), and the bodies are pre-filtered to those keys.  The
+    delta is counted first (a scan of the stored winners with the marks
+    pushed down); when it is at most ``broadcast_rows`` it is broadcast, so
+    the body table is only scanned and filtered map-side, never shuffled
+    whole.  Otherwise the join shuffles both sides.  Storing the result cuts
+    the lineage and lets each model read just its type's partition.
     """
-    res_marks = [marks[n] for n in silver.RESOURCE_MODELS]
-    incremental = all(m is not None for m in res_marks)
+    incremental = any(marks[n] is not None for n in silver.RESOURCE_MODELS)
     broadcast = False
     if incremental:
-        winners = newer_than(winners, "res_updated", min(res_marks))
+        winners = live(drop_tombstones(winners.where(newer_by_type(marks))))
         broadcast = winners.count() <= broadcast_rows
     current = current_resources(bronze.hfj_resource, bronze.hfj_res_ver, winners=winners,
                                 prefilter=incremental, broadcast_meta=broadcast)
     version = write_table(current, root, partition_by=["res_type"])
-    return spark.read.parquet(version)
+    return read_version(spark, version, current.schema)
 
 
 def _run_all(tasks: dict[str, Callable[[], object]], parallel: int, clock: "_Clock") -> dict:
@@ -365,7 +457,7 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     """
     from pyspark import StorageLevel
 
-    from silverline.plans.models import CHART_MODELS, Models
+    from silverline.plans.models import CHART_MODELS, CHART_SORT_KEYS, Models
 
     clock = _Clock(timings)
     names = names or {}
@@ -376,7 +468,7 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     marks = {name: marks[f"mark:{name}"] for name in INCREMENTAL_MODELS}
     # one dedup of the bronze metadata and of the links per run, shared by every consumer
     def winners_of(frame: DataFrame, folder: str) -> DataFrame:
-        return spark.read.parquet(write_table(frame, f"{silver_root}/{folder}"))
+        return read_version(spark, write_table(frame, f"{silver_root}/{folder}"), frame.schema)
 
     shared = _run_all({"final_metadata": lambda: winners_of(final_metadata(bronze.hfj_resource),
                                                             "_final_metadata"),
@@ -386,11 +478,17 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     winners, link_winners = shared["final_metadata"], shared["final_links"]
     with clock("current_resources"):
         current = shared_current(spark, bronze, winners, marks, f"{silver_root}/_current")
+    gone = None
+    if propagate_deletes and any(marks[n] is not None for n in silver.RESOURCE_MODELS):
+        with clock("gone"):  # C9 once for all types
+            changed = winners.where(newer_by_type(marks))
+            gone = winners_of(deleted_keys(bronze.hfj_resource, bronze.hfj_res_ver, None, winners=changed,
+                                           broadcast_rows=BROADCAST_DELTA_ROWS), "_gone")
 
     def refresh_one(name: str) -> None:
         append_delta(bronze, name, paths[name], batch_id, propagate_deletes=propagate_deletes,
                      current=current if name in silver.RESOURCE_MODELS else None, mark=marks[name],
-                     winners=winners, link_winners=link_winners)
+                     winners=winners, link_winners=link_winners, gone=gone)
         version = current_version(spark, paths[name])
         if compact_after and write_jobs(spark, version) >= compact_after:
             compact(spark, paths[name], name)
@@ -404,7 +502,7 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
                    if all(i.startswith("@") and i != "@bronze_live" for i in inputs)]
     bronze_models = Models(bronze)
     for name in bronze_only:
-        silver_tasks[name] = lambda n=name: write_table(bronze_models[n], paths[n])
+        silver_tasks[name] = lambda n=name: write_table(bronze_models[n], paths[n], CHART_SORT_KEYS[n])
     _run_all(silver_tasks, parallel_jobs, clock)
 
     # Charts read silver straight from Parquet (column pruning per chart).  A
@@ -422,7 +520,7 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
         inputs[name] = df
     models = Models(bronze, silver_source=inputs.__getitem__, winners=winners)
     try:
-        _run_all({name: (lambda n=name: write_table(models[n], paths[n]))
+        _run_all({name: (lambda n=name: write_table(models[n], paths[n], CHART_SORT_KEYS[n]))
                   for name in CHART_MODELS if name not in bronze_only}, parallel_jobs, clock)
     finally:
         for df in persisted:

@@ -40,6 +40,22 @@ CHART_MODELS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "clinical_status_summary": (charts.clinical_status_summary, ("@hfj_spidx_token",)),
 }
 
+# K5: stored sort keys of the charts.
+CHART_SORT_KEYS: dict[str, list[str]] = {
+    "kpi_totals": [],
+    "encounter_class": ["encounter_class"],
+    "resource_daily_growth": ["ingest_date", "res_type"],
+    "top_diagnosis": ["kode_icd10"],
+    "penyakit_prioritas_trend": ["tanggal_layanan", "kategori_penyakit"],
+    "utilisasi_faskes": ["nama_puskesmas"],
+    "encounter_trend_per_faskes": ["tanggal_kunjungan", "nama_puskesmas"],
+    "deteksi_dini_hipertensi": ["kategori_tensi"],
+    "tren_tensi_harian": ["tanggal_periksa"],
+    "weight_faltering_per_faskes": ["tanggal", "nama_puskesmas"],
+    "resource_type_summary": ["res_type"],
+    "clinical_status_summary": ["res_type", "status"],
+}
+
 ALL_MODELS = (*SILVER_MODELS, *CHART_MODELS)
 
 

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 VERSION_PREFIX = "v="
+#: How long a replaced version stays for readers that have opened it.
+RETAIN_SECONDS = 6 * 3600.0
 
 
 def target_db(default_db: str, custom: str | None = None) -> str:
@@ -56,6 +58,15 @@ def table_exists(spark: SparkSession, table_path: str) -> bool:
     return current_version(spark, table_path) is not None
 
 
+def publish(df: DataFrame, name: str, default_db: str, custom_db: str | None = None,
+            sort_cols: Sequence[str] | None = None) -> str:
+    """K7: store a model as ``database.name`` in Spark's own catalog; returns the table name."""
+    db = target_db(default_db, custom_db)
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    _clustered(df, sort_cols, range_partition=True).write.mode("overwrite").saveAsTable(f"`{db}`.`{name}`")
+    return f"{db}.{name}"
+
+
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     """Read the current committed version of a stored table."""
     version = current_version(spark, table_path)
@@ -75,15 +86,19 @@ def _clustered(df: DataFrame, sort_cols: Sequence[str] | None, range_partition:
 
 def write_table(df: DataFrame, table_path: str, sort_cols: Sequence[str] | None = None,
                 partition_by: Sequence[str] | None = None, range_partition: bool = False,
-                keep_versions: int = 2) -> str:
-    """K1: full rebuild into a new version folder; older versions are pruned afterwards."""
+                retain_seconds: float = RETAIN_SECONDS) -> str:
+    """K1: full rebuild into a new version folder.
+
+    A version that was replaced longer than ``retain_seconds`` ago is removed
+    afterwards; readers that opened an older one in that time keep its files.
+    """
     spark = df.sparkSession
     version = f"{table_path.rstrip('/')}/{VERSION_PREFIX}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     writer = _clustered(df, sort_cols, range_partition).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
-    _prune(spark, table_path, keep_versions)
+    _prune(spark, table_path, retain_seconds)
     return version
 
 
@@ -122,8 +137,11 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(root)]
 
 
-def _prune(spark: SparkSession, table_path: str, keep: int) -> None:
+def _prune(spark: SparkSession, table_path: str, retain_seconds: float) -> None:
     versions = committed_versions(spark, table_path)
-    for old in versions[:-keep] if keep > 0 else []:
-        fs, p = _fs(spark, old)
-        fs.delete(p, True)
+    oldest = (time.time() - retain_seconds) * 1000
+    for old, successor in zip(versions, versions[1:]):
+        replaced = int(successor.rsplit("/", 1)[-1][len(VERSION_PREFIX):].split("-")[0])
+        if replaced < oldest:
+            fs, p = _fs(spark, old)
+            fs.delete(p, True)

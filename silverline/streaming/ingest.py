@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from silverline.plans import silver
 from silverline.operators.cdc import current_resources
-from silverline.plans.incremental import BATCH_ID, BROADCAST_DELTA_ROWS, DELETED, read_model, store
+from silverline.plans.incremental import (BATCH_ID, BROADCAST_DELTA_ROWS, DELETED, next_batch, read_model,
+                                          store)
 from silverline.session import scratch_dir
 from silverline.sources.bronze import SCHEMAS, Bronze, read_bronze
 from silverline.sources.fixtures import two_batch_resource
@@ -74,9 +75,12 @@ def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets
                                         broadcast_meta=small).persist()
             scoped = Bronze(resource, res_ver, static.hfj_res_link, static.hfj_spidx_token)
             for name, target in targets.items():
+                # above every batch stored so far, by this stream or by a scheduled run;
+                # a replayed batch re-derives its ids once more, under a later number
+                stamp = next_batch(spark, target, 1)
                 out = _rederive(scoped, name, current) \
-                    .withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
-                store(out, target, name, append=True)
+                    .withColumn(BATCH_ID, F.lit(stamp).cast("bigint"))
+                store(out, target, name, append=True, batch=stamp)
         finally:
             for df in (current, resource, ids):
                 if df is not None:
@@ -98,15 +102,17 @@ def ingest_stream(spark: SparkSession, bronze_root: str, static: Bronze, name: s
 
 def read_stream_model(spark: SparkSession, target_path: str, name: str) -> DataFrame:
     """R2: the model as of the last batch: newest batch per key wins."""
-    return read_model(spark, target_path, name, batch_first=True)
+    return read_model(spark, target_path, name)
 
 
-def two_batch_stream(spark: SparkSession, bronze: Bronze, name: str = "encounters") -> DataFrame:
+def two_batch_stream(spark: SparkSession, bronze: Bronze, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Feed the two-batch fixture through R1; the end state equals a full refresh.
 
-    Two scheduled runs: batch 1 lands and the stream drains it, then batch 2
-    lands and the stream (restarted from its checkpoint) drains the rest.
+    Two scheduled runs of one stream over the models ``names`` (all resource
+    models): batch 1 lands and the stream drains it, then batch 2 lands and
+    the stream (restarted from its checkpoint) drains the rest.
     """
+    names = names or list(silver.RESOURCE_MODELS)
     root = scratch_dir(spark, "stream")
     bronze_root = f"{root}/bronze"
     tb = two_batch_resource(bronze)
@@ -115,7 +121,7 @@ def two_batch_stream(spark: SparkSession, bronze: Bronze, name: str = "encounter
     for arrival in (1, 2):
         tb.where(F.col("arrival") == arrival).select(*cols) \
             .write.mode("append").parquet(f"{bronze_root}/hfj_resource")
-        q = ingest_stream(spark, bronze_root, bronze, name, f"{root}/{name}",
+        q = ingest_models(spark, bronze_root, bronze, {n: f"{root}/{n}" for n in names},
                           f"{root}/_checkpoint")
         q.awaitTermination()
-    return read_stream_model(spark, f"{root}/{name}", name)
+    return {n: read_stream_model(spark, f"{root}/{n}", n) for n in names}

@@ -12,8 +12,8 @@ import __spark_entry__ as entry_mod
 from oracle_check import compare, duck
 
 SF = os.environ.get("SILVERLINE_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = {n: q for n, q in entry_mod.queries().items() if n not in entry_mod.LLM_QUERIES}
+ORACLE = {n: q for n, q in entry_mod.oracle_sql().items() if n not in entry_mod.LLM_QUERIES}
 
 EXPECTED_ROWS_SF0001 = {
     "scan_hfj_resource": 4050, "scan_hfj_res_ver": 4716, "scan_hfj_res_link": 3618,

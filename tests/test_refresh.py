@@ -69,7 +69,7 @@ def test_two_batch_refresh_equals_oracle_and_unshared_path(spark):
         derived.tables()[name].write.parquet(f"{root}/bronze/{name}")
 
     def land(batch):
-        two_batch_resource(derived, res_type=None).where(F.col("arrival") == batch) \
+        two_batch_resource(derived).where(F.col("arrival") == batch) \
             .select(*SCHEMAS["hfj_resource"].fieldNames()) \
             .write.mode("append").parquet(f"{root}/bronze/hfj_resource")
 
