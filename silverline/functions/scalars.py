@@ -38,7 +38,7 @@ NOT_DIAGNOSED = "Belum Ada Diagnosis Formal"
 # d/f and NaN/Infinity, the reference's parser does not.
 # (``\z``: ``$`` would also match before a final line end.)
 NUMERIC_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-# A JSON number; a parsed document keeps its value, not its spelling.
+# A JSON number; a parsed document spells 120.0 as 120.
 JSON_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\z"
 # A date-time text starts with a four-digit year; a time of day alone is none.
 STARTS_WITH_YEAR = r"^\s*[0-9]{4}([-T ]|\s*\z)"
@@ -63,8 +63,9 @@ def json_value(doc: Column, path: str, raw: Column | None = None) -> Column:
 
     Missing path, JSON null, malformed text and a path that lands on an
     object or array all give ``''`` (JSON_VALUE returns scalars only and the
-    stored column is not nullable).  With the ``raw`` text, numbers keep their
-    spelling (``120.0``), and a valid document that cannot be parsed as a
+    stored column is not nullable).  With the ``raw`` text, a fractional number
+    is spelled as a double (``120.0`` stays so, ``1.50`` is ``1.5``, as the
+    oracle has it), and a valid document that cannot be parsed as a
     whole (too large, a repeated key) is searched instead, so no row is lost.
     """
     text = F.try_variant_get(doc, path, "string")

@@ -110,3 +110,109 @@ def test_job_entry_point_refresh(spark, bronze, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert set(out["tables"]) == set(ALL_MODELS)
     assert read_table(spark, out["tables"]["encounter_class"]).count() == 3
+
+
+def _tiny(spark, resources, links=()):
+    """Bronze of a few rows: (res_id, res_type, ver, updated day, deleted?) and links."""
+    import datetime as dt
+
+    from silverline.sources.bronze import SCHEMAS
+    day = lambda n: dt.datetime(2024, 1, n)
+    epoch = dt.datetime(1970, 1, 1)
+    meta = [(i, f"f{i}", t, v, day(1), day(u), epoch, v, int(dead)) for i, t, v, u, dead in resources]
+    bodies = [(i, v, '{"status":"s%d"}' % v, 1, 0) for i, _, v, _, _ in resources]
+    return Bronze(spark.createDataFrame(meta, SCHEMAS["hfj_resource"]),
+                  spark.createDataFrame(bodies, SCHEMAS["hfj_res_ver"]),
+                  spark.createDataFrame([(*k, day(u), v, int(dead)) for *k, u, v, dead in links],
+                                        SCHEMAS["hfj_res_link"]),
+                  spark.createDataFrame([], SCHEMAS["hfj_spidx_token"]))
+
+
+TYPES = ("Organization", "Encounter", "Condition", "Observation", "CarePlan")
+
+
+def test_unchanged_run_absent_type_and_delta_of_one_row(spark):
+    root = scratch_dir(spark, "tiny")
+    rows = [(10 + k, t, 1, 2, False) for k, t in enumerate(TYPES) if t != "CarePlan"]
+    rows += [(100 + k, "Organization", 1, 1, False) for k in range(20)]
+    paths = refresh_all(spark, _tiny(spark, rows), root, batch_id=1)  # no CarePlan at all
+    assert read_model(spark, paths["careplans"], "careplans").count() == 0
+    refresh_all(spark, _tiny(spark, rows), root, batch_id=2)  # unchanged
+    assert read_model(spark, paths["encounters"], "encounters").count() == 1
+    more = [*rows, (50, "Encounter", 1, 9, False)]
+    refresh_all(spark, _tiny(spark, more), root, batch_id=3)
+    stored = read_table(spark, f"{root}/_current")
+    assert stored.count() == 1  # the quiet types are not derived again
+    assert read_model(spark, paths["encounters"], "encounters").count() == 2
+    refresh_all(spark, _tiny(spark, [*more, (60, "CarePlan", 1, 1, False)]), root, batch_id=4)
+    assert read_model(spark, paths["careplans"], "careplans").count() == 1
+
+
+def test_compaction_changes_no_later_run(spark):
+    from silverline.plans.incremental import append_delta, compact, stored_mark
+    one = _tiny(spark, [(1, "Encounter", 1, 2, False), (2, "Encounter", 1, 2, False)])
+    two = _tiny(spark, [(1, "Encounter", 1, 2, False), (1, "Encounter", 2, 10, True), (2, "Encounter", 1, 2, False)])
+    late = _tiny(spark, [(1, "Encounter", 1, 2, False), (1, "Encounter", 2, 10, True),
+                         (2, "Encounter", 1, 2, False), (3, "Encounter", 1, 5, False)])
+    seen = []
+    for compacted in (False, True):
+        target = f"{scratch_dir(spark, 'late')}/encounters"
+        append_delta(one, "encounters", target, 1, propagate_deletes=True)
+        append_delta(two, "encounters", target, 2, propagate_deletes=True)
+        if compacted:
+            compact(spark, target, "encounters")
+        append_delta(late, "encounters", target, 3, propagate_deletes=True)
+        seen.append((_rows(read_model(spark, target, "encounters")), stored_mark(spark, "encounters", target)))
+    assert seen[0] == seen[1] and len(seen[0][0]) == 1
+
+
+def test_deletes_of_links_and_metadata_only(spark):
+    link = ("Encounter.serviceProvider", "Encounter", 1, "Organization", 2)
+    rows = [(1, "Encounter", 1, 2, False), (2, "Organization", 1, 2, False)]
+    root = scratch_dir(spark, "gone")
+    paths = refresh_all(spark, _tiny(spark, rows, [(*link, 2, 1, False)]), root, 1, propagate_deletes=True)
+    assert read_model(spark, paths["res_link"], "res_link").count() == 1
+    later = _tiny(spark, [*rows, (1, "Encounter", 2, 5, True)], [(*link, 2, 1, False), (*link, 6, 2, True)])
+    refresh_all(spark, later, root, 2, propagate_deletes=True)
+    assert read_model(spark, paths["res_link"], "res_link").count() == 0
+    assert [r["res_id"] for r in read_model(spark, paths["resource"], "resource").collect()] == [2]
+    assert read_model(spark, paths["encounters"], "encounters").count() == 0
+    assert read_table(spark, paths["utilisasi_faskes"]).count() == 0
+
+
+def test_refresh_then_stream_batches_agree(spark):
+    """A micro-batch written after a scheduled run is newer for every reader."""
+    from pyspark.sql import functions as F
+
+    from silverline.plans.incremental import BATCH_ID, DELETED, append_delta, next_batch, store
+    from silverline.streaming.ingest import read_stream_model
+    target = f"{scratch_dir(spark, 'both')}/encounters"
+    append_delta(_tiny(spark, [(1, "Encounter", 1, 8, False)]), "encounters", target, 1_700_000_000)
+    row = read_model(spark, target, "encounters").withColumn("status", F.lit("late"))
+    row = row.withColumn("res_updated", F.lit("2024-01-03").cast("timestamp_ntz"))
+    stamp = next_batch(spark, target, 1)
+    assert stamp == 1_700_000_001
+    store(row.withColumn(BATCH_ID, F.lit(stamp).cast("bigint")).withColumn(DELETED, F.lit(False)), target,
+          "encounters", append=True, batch=stamp)
+    for reader in (read_model, read_stream_model):
+        assert [r["status"] for r in reader(spark, target, "encounters").collect()] == ["late"]
+
+
+def test_versions_are_kept_by_age_and_tables_are_clustered(spark):
+    from silverline.sinks.tables import committed_versions, publish, write_table
+    root = scratch_dir(spark, "age")
+    df = spark.range(0, 4000, 1, 8).selectExpr("(id * 7919) % 4000 as k", "id")
+    for _ in range(4):
+        write_table(df, f"{root}/kept", ["k"])
+    assert len(committed_versions(spark, f"{root}/kept")) == 4
+    for _ in range(4):
+        last = write_table(df, f"{root}/short", ["k"], range_partition=True, retain_seconds=0.0)
+    assert len(committed_versions(spark, f"{root}/short")) <= 2
+    spans = sorted((r["lo"], r["hi"]) for r in spark.read.parquet(last).selectExpr(
+        "k", "input_file_name() as f").groupBy("f").agg({"k": "min"}).withColumnRenamed("min(k)", "lo").join(
+        spark.read.parquet(last).selectExpr("k", "input_file_name() as f").groupBy("f").agg(
+            {"k": "max"}).withColumnRenamed("max(k)", "hi"), "f").collect())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    name = publish(df.limit(10), "m01", "silver_default", " silver_custom ", ["k"])
+    assert name == "silver_custom.m01" and spark.table(name).count() == 10
+    spark.sql("DROP TABLE silver_custom.m01")

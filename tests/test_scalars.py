@@ -76,3 +76,28 @@ def test_no_python_udf_in_scalars(spark):
                     F.lit(1))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_json_text_large_and_repeated_keys_and_number_spelling(spark):
+    from pyspark.sql import functions as F
+    docs = [('{"v":1,"a":2,"a":3}',), ('{"v":120.0}',), ('{"v":1.50}',), ('{"v":120}',), ('{"v":"120.0"}',),
+            ('{"v":{"x":1},"v":2}',), ('{"v":1,',), ('{"a":{"v":1},"a":2}',)]
+    got = _one(spark, X.json_text("t", "$.v"), docs, "t string")
+    assert got[:5] == ["1", "120.0", "1.5", "120", "120.0"] and got[6:] == ["", ""]
+    long = spark.range(2).select(F.when(F.col("id") == 0, F.concat(
+        F.lit('{"text":"'), F.repeat(F.lit("x"), 30_000_000), F.lit('","status":"ok"}'))).otherwise(F.concat(
+            F.lit('{"list":['), F.repeat(F.lit('"some short text",'), 8_000_000), F.lit('"end"],"status":"ok"}'))).alias("t"))
+    assert [r[0] for r in long.select(X.json_text("t", "$.status")).collect()] == ["ok", "ok"]
+
+
+def test_dates_need_a_year_and_follow_the_report_zone(spark):
+    rows = [("10:00:00",), ("T10:00",), ("2026-07-03T23:30:00Z",), ("2026",), ("12026-01-01",)]
+    epoch = dt.date(1970, 1, 1)
+    assert _one(spark, X.fhir_date("t"), rows, "t string") == [
+        epoch, epoch, dt.date(2026, 7, 3), dt.date(2026, 1, 1), epoch]
+    assert _one(spark, X.fhir_date("t", "Asia/Jakarta"), rows[2:3], "t string") == [dt.date(2026, 7, 4)]
+
+
+def test_numbers_are_whole_texts_and_finite(spark):
+    rows = [("120\n",), ("1e999",), ("-1e999",), ("1e3",)]
+    assert _one(spark, X.to_double_or_null("t"), rows, "t string") == [None, None, None, 1000.0]
