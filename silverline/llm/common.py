@@ -77,6 +77,46 @@ def map_texts(df: DataFrame, factory: Callable[[], Callable[[list], dict]],
     return src.mapInArrow(run, schema)
 
 
+class Memo:
+    """A bounded map in two generations: what is used again outlives a change of generation.
+
+    Kept for the life of a Python worker, so later tasks start with the
+    frequent words of earlier ones.
+    """
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def ensure(self, words: set, compute) -> dict:
+        """A map that holds all of ``words``; ``compute`` gives the values of new ones."""
+        young, old = self.young, self.old
+        if len(young) + len(words) > self.half:
+            self.old, self.young = young, {}
+            young, old = self.young, self.old
+        new = []
+        for w in words:
+            if w not in young:
+                value = old.get(w)
+                if value is None:
+                    new.append(w)
+                else:
+                    young[w] = value
+        if new:
+            young.update(zip(new, compute(new)))
+        return young
+
+
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """One object a Python worker, made at first use (a new name takes the place of an old one)."""
+    kind = name[0]
+    if kind not in _KEPT or _KEPT[kind][0] != name:
+        _KEPT[kind] = (name, make())
+    return _KEPT[kind][1]
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     r"""UTF-8 words ``[^\x20\x09-\x0D]+`` (``bytes.split`` splits at just these six bytes)."""
     return text.encode().split() if text else []

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm.common import map_texts, stored, table
+from silverline.llm.common import Memo, kept, map_texts, stored, table
 
 CAPACITY = 4096
 END = 2
@@ -37,7 +37,11 @@ CROSSOVER = 24_576
 GROUP_PIECES = 16_384
 #: Pieces of at most this many tokens may be cut to fill sequences.
 SMALL = 384
-MEMO_WORDS = 200_000
+MEMO_WORDS = 500_000
+MEMO_PARTS = 400_000
+CLOSING = ".,;:!?)]}\"*#%&$"
+#: Stands between words that are tokenised together; one token of its own.
+BETWEEN = "|"
 
 
 class Words:
@@ -50,23 +54,58 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end = np.array([end], "<u4").tobytes()
-        self.memo: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo, new = {}, list(words)
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for w, e in zip(some, done):
-                self.memo[w] = np.array(e.ids, "<u4").tobytes()
+        self.memo, self.parts = Memo(MEMO_WORDS), Memo(MEMO_PARTS)
+        mark = self._ids(BETWEEN)
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word: of its lower-case letters and its closing marks, if it is so made.
+
+        The vocabulary splits a word there and folds its case, so the parts'
+        ids are the word's, and far fewer of them differ.
+        """
+        made, other = [], set()
+        for w in words:
+            text = w.decode()
+            letters = text.rstrip(CLOSING)
+            if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters:
+                pair = (letters.lower(), text[len(letters):])
+                other.update(pair)
+            else:
+                pair = (text, "")
+                other.add(text)
+            made.append(pair)
+        other.discard("")
+        ids = self.parts.ensure(other, self._tokenise)
+        return [ids[a] + ids[b] if b else ids[a] for a, b in made]
+
+    def _tokenise(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text without white space; plain ones go together, a mark between them."""
+        out: list = [None] * len(texts)
+        plain = [i for i, t in enumerate(texts) if BETWEEN not in t] if self.mark is not None else []
+        for at in range(0, len(plain), 4096):
+            some = plain[at:at + 4096]
+            ids = np.array(self._ids(f" {BETWEEN} ".join([texts[i] for i in some])), "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) != len(some) - 1:
+                continue  # a word gave the mark's token: one by one below
+            raw = ids.tobytes()
+            lo = [0, *(4 * (cuts + 1)).tolist()]
+            hi = [*(4 * cuts).tolist(), len(raw)]
+            for i, s, e in zip(some, lo, hi):
+                out[i] = raw[s:e]
+        rest = [i for i, o in enumerate(out) if o is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text, then the end token, four bytes each."""
         words = [t.encode().split() if t else [] for t in texts]
-        self._learn(set().union(*words))
-        get = self.memo.__getitem__
+        get = self.memo.ensure(set().union(*words), self._learn).__getitem__
         return [b"".join(map(get, w)) + self.end for w in words]
 
 
@@ -164,12 +203,12 @@ def pieces(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer
     ``ids`` (four bytes each) is null for pieces of more than ``SMALL`` tokens.
     """
     def factory():
-        words = Words(tokenizer)
+        words = kept(("packing", tokenizer), lambda: Words(tokenizer))
 
         def run(texts):
             out = []
-            for at in range(0, len(texts), 32):
-                for ids in words.encode(texts[at:at + 32]):
+            for at in range(0, len(texts), 64):
+                for ids in words.encode(texts[at:at + 64]):
                     cut = [ids[s:s + 4 * capacity] for s in range(0, len(ids), 4 * capacity)]
                     out.append([{"start": k * capacity, "length": len(c) // 4, "ids_crc32": zlib.crc32(c),
                                  "doc_tokens": len(ids) // 4, "ids": c if len(c) <= 4 * SMALL else None}
