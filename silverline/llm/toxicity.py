@@ -28,7 +28,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from silverline.llm.common import crc_mod, map_texts, table
 
@@ -164,11 +163,10 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], steps: int = 200, l2: fl
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on documents ``doc_id, text`` and labels ``doc_id, toxic``."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
-        F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = known.withColumn("draw", F.xxhash64(F.col("doc_id").cast("string")))
-    per = W.partitionBy("toxic").orderBy("draw", "doc_id")
-    drawn = known.withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= PER_CLASS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn.select("doc_id", "toxic")), "doc_id")
+        (F.max("toxic") > 0).cast("int").alias("toxic"))
+    order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]  # each task keeps its least PER_CLASS
+    drawn = [known.where(F.col("toxic") == y).orderBy(*order).limit(PER_CLASS) for y in (0, 1)]
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
 
     def factory():
         hasher = Hasher()
