@@ -36,13 +36,20 @@ def follow_link(df: DataFrame, key: str, links: DataFrame, path: str, src_type:
 
 
 def membership_flag(df: DataFrame, key: str, members: DataFrame, member_key: str,
-                    yes: str, no: str, name: str) -> DataFrame:
+                    yes: str, no: str, name: str, salts: int = 1) -> DataFrame:
     """``CASE WHEN key IN (SELECT member_key FROM members) THEN yes ELSE no END``.
 
     Written as a left join to the distinct member keys.  A NULL key and a key
-    absent from the set both get ``no``, as ``IN`` inside ``CASE`` does.
+    absent from the set both get ``no``, as ``IN`` inside ``CASE`` does.  Where
+    ``df`` may hold a third of its rows under one key, ``salts`` deals them to
+    as many tasks; the member keys, one row each, are repeated that often.
     """
     m = members.select(F.col(member_key).alias("_member")).where(F.col("_member").isNotNull()).distinct()
-    flagged = df.join(m, df[key] == m["_member"], "left")
+    on = df[key] == m["_member"]
+    if salts > 1:
+        df = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+        m = m.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = (df[key] == m["_member"]) & (df["_salt"] == m["_copy"])
+    flagged = df.join(m, on, "left")
     return flagged.withColumn(name, F.when(F.col("_member").isNotNull(), F.lit(yes))
-                                     .otherwise(F.lit(no))).drop("_member")
+                                     .otherwise(F.lit(no))).drop("_member", "_salt", "_copy")
