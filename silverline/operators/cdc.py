@@ -126,8 +126,8 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
                       broadcast_meta: bool = False) -> DataFrame:
     """Live resources joined to the JSON body of their current version.
 
-    Metadata: FINAL (or the given ``winners`` of ``final_metadata``) -> not
-    tombstoned -> not soft-deleted (-> type filter).  Bodies: FINAL per
+    Metadata: (type filter ->) FINAL (or the given ``winners`` of
+    ``final_metadata``) -> not tombstoned -> not soft-deleted.  Bodies: FINAL per
     ``(res_id, res_ver)``, not tombstoned.  Then an inner join on
     ``(res_id, res_ver)``.
 
@@ -141,11 +141,13 @@ def current_resources(resource: DataFrame, res_ver: DataFrame,
     that has checked the metadata side's size) broadcasts it explicitly, so
     the bodies are filtered map-side before any shuffle.
     """
+    types = None if res_type is None else [res_type] if isinstance(res_type, str) else list(res_type)
     if winners is None:
-        winners = final_metadata(resource)
+        # the type of an id never changes, so the type test may go below FINAL, into the scan
+        winners = final_metadata(resource if types is None else
+                                 resource.where(F.col("res_type").isin(*types)))
     meta = live(drop_tombstones(winners))
-    if res_type is not None:
-        types = [res_type] if isinstance(res_type, str) else list(res_type)
+    if types is not None:
         meta = meta.where(F.col("res_type").isin(*types))
     meta = meta.select("res_id", "res_ver", "res_type", "res_published", "res_updated")
     bodies = res_ver.select("res_id", "res_ver", "res_text_vc", CDC_VERSION, TOMBSTONE)

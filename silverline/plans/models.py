@@ -96,11 +96,11 @@ class Models:
         if name in silver.RESOURCE_MODELS:
             if self._current is not None:
                 return builder(self.bronze, self._current)
-            # no shared, stored ``current``: the type filter goes on the metadata
-            # side before the body join (fewer bodies joined)
+            # no shared, stored ``current``: the type filter goes into the metadata
+            # scan, below FINAL, and the bodies are joined to that type's ids only
             res_type = silver.RESOURCE_MODELS[name][0]
             return builder(self.bronze, current_resources(
-                self.bronze.hfj_resource, self.bronze.hfj_res_ver, res_type, winners=self._winners))
+                self.bronze.hfj_resource, self.bronze.hfj_res_ver, res_type))
         if name == "resource":
             return silver.resource(self.bronze, self._winners)
         if name == "res_link":

@@ -25,6 +25,10 @@ REQUIRED_CONF = {
     # runtime threshold on the actual shuffle output of the small side.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # A selective join side (one type's ids) filters the wide body scan by a
+    # bloom filter before its shuffle; Spark applies it to scans over 10 GB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB",
 }
 
 
