@@ -59,12 +59,12 @@ def label_domain() -> Column:
 
 
 def words(text: str) -> Column:
-    r"""Words ``[^\x20\x09-\x0D]+`` of a text column; null: none."""
-    return F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    r"""Lower-case words ``[^\x20\x09-\x0D]+`` of a text column; null: none."""
+    return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), "")
 
 
 def bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lower(word)), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
 @dataclass
@@ -75,8 +75,13 @@ class Classifier:
     prior: list[float]
     ratios: dict[int, list[float]]
 
-    def posteriors(self, text: str) -> Column:
-        """An array of probabilities, rounded to a grid, in the order of ``domains``."""
+    def measures(self, text: str) -> Column:
+        """``tokens`` and ``posteriors`` of a text, its words split once."""
+        return F.transform(F.array(words(text)), lambda ws: F.struct(
+            F.size(ws).cast("long").alias("tokens"), self.posteriors(ws).alias("posteriors")))[0]
+
+    def posteriors(self, found: Column) -> Column:
+        """Probabilities of a document's words, rounded to a grid, in the order of ``domains``."""
         n = len(self.domains)
         rows: list = [None] * BUCKETS
         for b, r in self.ratios.items():
@@ -85,7 +90,7 @@ class Classifier:
         start = F.array(*[F.lit(p) for p in self.prior])
         # one evaluation of the bucket's row: it is a one-element array that is folded over
         logs = F.aggregate(
-            F.filter(F.transform(F.array_distinct(words(text)), lambda w: F.get(known, bucket(w))),
+            F.filter(F.transform(F.array_distinct(found), lambda w: F.get(known, bucket(w))),
                      lambda r: r.isNotNull()),
             start, lambda acc, r: F.zip_with(acc, r, lambda a, b: a + b))
         shares = F.aggregate(
@@ -178,22 +183,29 @@ def fit(cells: DataFrame, domains: list[str], targets: dict[str, float], most: f
 
 
 def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
-          **options) -> tuple[DataFrame, list[str]]:
-    """``docs`` with ``tokens, posteriors, rate, copies``, under names no column of ``docs`` has.
+          keep: list[str] | None = None, **options) -> tuple[DataFrame, list[str]]:
+    """Columns ``keep`` (all) of ``docs`` with ``tokens, posteriors, rate, copies``.
 
-    ``copies`` is the rate rounded down or up: up with the probability of its
-    fraction, by a hash of the id and text, the same on every run.
+    The added columns take names that no column of ``docs`` has.  Rows are
+    measured once and stored.  ``copies`` is the rate rounded down or up: up
+    with the probability of its fraction, by a hash of the id and text, the
+    same on every run.
     """
     targets = targets or TARGETS
     model = train(docs, labels, list(targets))
     names = [free_name(docs, n) for n in ("tokens", "posteriors", "rate", "copies")]
     tokens, post, rate, copies = names
-    wide = docs.withColumn(tokens, F.size(words("text")).cast("long")).withColumn(post, model.posteriors("text"))
+    draw, measured = free_name(docs, "draw"), free_name(docs, "measured")
+    kept = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
+    chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("copy"), F.col("text")),
+                    F.lit(1 << 20)) / (1 << 20)
+    wide = stored(docs.select(*kept, chance.alias(draw), model.measures("text").alias(measured)), "mixing-docs").select(
+        *kept, draw, F.col(f"{measured}.tokens").alias(tokens), F.col(f"{measured}.posteriors").alias(post))
     cells = stored(wide.groupBy(F.col(post).alias("posteriors")).agg(F.sum(tokens).alias("tokens")), "mixing-cells")
     rates = fit(cells, model.domains, targets, **options)
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("copy"), F.col("text")), F.lit(1 << 20)) / (1 << 20)
     out = wide.withColumn(rate, rates.rate(F.col(post)))
-    return out.withColumn(copies, (F.floor(rate) + (draw < F.col(rate) - F.floor(rate)).cast("int")).cast("int")), names
+    up = (F.col(draw) < F.col(rate) - F.floor(rate)).cast("int")
+    return out.withColumn(copies, (F.floor(rate) + up).cast("int")).drop(draw), names
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:
@@ -206,7 +218,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with tokens, domain posteriors, fitted rate and copies."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out, _ = rated(docs, table(spark, sf_dir, "labels"))
+    out, _ = rated(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                   table(spark, sf_dir, "labels"), keep=["doc_id"])
     return out.select("doc_id", "tokens", *[F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(TARGETS)],
                       "rate", "copies")

@@ -82,7 +82,7 @@ def test_posteriors_follow_naive_bayes(spark, docs_of):
     model = M.train(docs, marked, list(M.TARGETS))
     buckets = {r["doc_id"]: r["b"] for r in docs.select("doc_id", F.array_distinct(M.words("text")).alias("w")).select(
         "doc_id", F.transform("w", M.bucket).alias("b")).collect()}
-    for r in docs.select("doc_id", model.posteriors("text").alias("p")).collect():
+    for r in docs.select("doc_id", model.measures("text")["posteriors"].alias("p")).collect():
         z = np.array(model.prior)
         for b in buckets[r["doc_id"]]:
             z = z + np.array(model.ratios.get(b, [0.0] * 3))
