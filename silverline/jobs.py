@@ -6,7 +6,8 @@
         --silver s3a://lake/silver --models encounters,observations --every "1 minute"
 
 ``refresh`` is one scheduled run (incremental silver, full rebuild of the
-charts); ``stream`` keeps resource models fresh with micro-batches.  The
+charts); ``stream`` keeps resource models fresh with micro-batches and, after
+each, makes such a run for the other tables (``--no-charts``: without).  The
 cluster's ``spark.checkpoint.dir`` must name a shared folder; stream
 checkpoints go below the silver root.
 """
@@ -46,6 +47,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--models", default=",".join(RESOURCE_MODELS),
                    help="comma-separated resource models kept fresh by one stream")
     s.add_argument("--every", default="1 minute", help="processing-time trigger")
+    s.add_argument("--once", action="store_true", help="drain what is there, then stop")
+    s.add_argument("--no-charts", action="store_true", help="resource models only, no compaction")
+    s.add_argument("--compact-after", type=int, default=8)
     args = parser.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName(f"silverline-{args.command}").getOrCreate())
@@ -64,7 +68,10 @@ def main(argv: list[str] | None = None) -> None:
         query = ingest_models(spark, args.bronze.rstrip("/"), bronze,
                               {m: f"{root}/{m}" for m in models},
                               f"{root}/_checkpoints/stream-{'-'.join(models)}",
-                              trigger={"processingTime": args.every})
+                              trigger=None if args.once else {"processingTime": args.every},
+                              after_batch=None if args.no_charts else lambda: refresh_all(
+                                  spark, Bronze.read(spark, args.bronze), root, 1,
+                                  compact_after=args.compact_after))
         query.awaitTermination()
 
 

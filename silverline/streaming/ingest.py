@@ -12,6 +12,8 @@ dedups by key, newest batch first).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +44,8 @@ def _rederive(scoped: Bronze, name: str, current: DataFrame) -> DataFrame:
 
 def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets: dict[str, str],
                   checkpoint: str, trigger: dict | None = None,
-                  max_files_per_trigger: int = 1000):
+                  max_files_per_trigger: int = 1000,
+                  after_batch: Callable[[], object] | None = None):
     """One stream keeping several resource models fresh; returns the ``StreamingQuery``.
 
     ``targets`` maps model name -> stored table path.  Each micro-batch
@@ -51,6 +54,9 @@ def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets
     re-derives every model from them.  ``trigger`` defaults
     to ``{"availableNow": True}`` (drain what is there, then stop);
     ``{"processingTime": "1 minute"}`` matches the reference's schedule.
+    ``after_batch`` runs once the batch is stored (a scheduled run that
+    rebuilds the charts and compacts, see ``jobs.py``); no append of this
+    stream is under way then.
     """
     def ids_of(table: str) -> DataFrame:
         return (spark.readStream.schema(SCHEMAS[table])
@@ -81,6 +87,8 @@ def ingest_models(spark: SparkSession, bronze_root: str, static: Bronze, targets
                 out = _rederive(scoped, name, current) \
                     .withColumn(BATCH_ID, F.lit(stamp).cast("bigint"))
                 store(out, target, name, append=True, batch=stamp)
+            if after_batch is not None:
+                after_batch()
         finally:
             for df in (current, resource, ids):
                 if df is not None:

@@ -68,3 +68,29 @@ def test_one_stream_keeps_several_models_fresh(spark):
                                                       "encounters").collect()] == [1]
     obs = read_stream_model(spark, targets["observations"], "observations").collect()
     assert [(r.observation_id, r.nilai) for r in obs] == [(5, 150.0)]
+
+
+def test_stream_job_rebuilds_charts_and_compacts(spark):
+    from silverline import jobs
+    from silverline.plans.incremental import INTERNAL, read_model, write_jobs
+    from silverline.plans.models import Models
+    from silverline.sinks.tables import current_version, read_table
+    from silverline.sources.bronze import Bronze
+    from silverline.sources.fixtures import derive_bronze, two_batch_resource, write_bronze
+
+    root, silver_root = scratch_dir(spark, "job-bronze"), scratch_dir(spark, "job-silver")
+    derived = derive_bronze(spark, "/root/testdata/sf0.001")
+    write_bronze(derived, root)
+    rows = two_batch_resource(derived)
+    rows.where("arrival = 1").drop("arrival").write.mode("overwrite").parquet(f"{root}/hfj_resource")
+    argv = ["stream", "--bronze", root, "--silver", silver_root, "--once", "--compact-after", "2"]
+    jobs.main(argv)
+    rows.where("arrival = 2").drop("arrival").write.mode("append").parquet(f"{root}/hfj_resource")
+    jobs.main(argv)
+    models = Models(Bronze.read(spark, root))
+    stored = read_model(spark, f"{silver_root}/encounters", "encounters")
+    assert stored.exceptAll(models["encounters"]).isEmpty() and stored.count() == models["encounters"].count()
+    assert write_jobs(spark, current_version(spark, f"{silver_root}/encounters")) == 1
+    for chart in ("encounter_class", "tren_tensi_harian", "top_diagnosis"):
+        got, want = read_table(spark, f"{silver_root}/{chart}"), models[chart]
+        assert got.count() == want.count() and got.drop(*INTERNAL).exceptAll(want).isEmpty()
