@@ -99,9 +99,9 @@ def test_copies_repeat_rows(spark, docs_of):
     docs = docs_of(rows).selectExpr("*", "1 as copies", "'x' as rate", "2 as tokens", "3 as again")
     marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     targets = {"clean": 0.8, "junk": 0.1, "toxic": 0.1}
-    full, (_, _, rate, copies) = M.rated(docs, marked, targets)
+    full, (_, _, rate, copies) = M.rated(docs, marked, targets, steps=6)
     want = {r["doc_id"]: r[copies] for r in full.collect()}
-    out = M.mixed(docs, marked, targets)
+    out = M.mixed(docs, marked, targets, steps=6)
     assert out.columns == docs.columns
     assert Counter(r["doc_id"] for r in out.collect()) == Counter({i: c for i, c in want.items() if c})
 
@@ -111,14 +111,14 @@ def test_nulls_long_texts_repeats_and_empty(spark, docs_of):
     marked = spark.createDataFrame([*labels, (None, 1, 1), (1, None, None), (2, 0, 1)], "doc_id long, quality int, toxic int")
     docs = docs_of(rows + [(901, None), (902, ""), (903, " \n"), (904, "calm1 w2 " * 100_000), (5, rows[5][1]),
                            (None, "w1")])
-    out, _ = M.rated(docs, marked)
+    out, _ = M.rated(docs, marked, steps=4)
     got = [(r["doc_id"], r["tokens"], r["rate"]) for r in out.collect()]
     assert len(got) == 246
     by = {g[0]: g[1:] for g in got}
     assert by[901] == by[902] == by[903] and by[901][0] == 0 and by[904][0] == 200_000
     assert len({g for g in got if g[0] == 5}) == 1
     assert M.mixed(docs.limit(0), marked).count() == 0
-    plain, _ = M.rated(docs, marked.limit(0))
+    plain, _ = M.rated(docs, marked.limit(0), steps=4)
     assert plain.where("rate is null").count() == 0
 
 

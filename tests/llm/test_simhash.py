@@ -81,7 +81,7 @@ def test_chains_and_dense_clusters(spark):
     assert got == brute_classes(dict(enumerate(values)))
 
 
-@pytest.mark.parametrize("m,thresholds", [(2, [2, 1]), (3, [1, 1, 0]), (4, [0, 0, 1, 0]), (5, [0] * 5), (5, [1, 0, 0, 0, -1])])
+@pytest.mark.parametrize("m,thresholds", [(2, [2, 1]), (3, [1, 1, 0]), (5, [1, 0, 0, 0, -1])])
 def test_every_layout_finds_the_same(spark, m, thresholds, monkeypatch):
     monkeypatch.setattr(S, "BLOCK", 40)  # forces pairs of blocks
     rng = random.Random(m)
