@@ -2,8 +2,8 @@
 
 Words are lower-cased runs of letters and digits (with inner ``. + -``).  A
 template of n words has S = n - k + 1 shingles of k = min(5, n) words.  Each
-text is cut into windows of S shingles that overlap by at least seven
-eighths; a window whose MinHash agrees with the template's in all rows of
+text is cut into windows of S shingles or slightly more, a stride of at most
+S / 8 apart; a window whose MinHash agrees with the template's in all rows of
 some band retrieves the template.  The number of bands follows from the least
 Jaccard similarity that a window over a passage of containment ``LEAST`` can
 have, so that such a window collides with probability ``SURE`` or more.
@@ -70,15 +70,18 @@ def words_of(text: str | None) -> list[bytes]:
     return [w.encode() for w in _WORD.findall((text or "").lower())]
 
 
-def least_jaccard(shingles: int, stride: int) -> float:
-    """Least similarity of the nearest window over a passage of containment ``LEAST``."""
-    held = LEAST - (stride // 2) / shingles
-    return held / (2 - held)
+def least_jaccard(shingles: int, stride: int, width: int) -> float:
+    """Least similarity of the nearest window over a passage of containment ``LEAST``.
+
+    A window of ``width`` shingles misses half a stride of the passage at most.
+    """
+    held = (math.ceil(LEAST * shingles) - stride // 2) / shingles
+    return held / (1 + width / shingles - held)
 
 
 def bands_for(jaccard: float, rows: int = ROWS, sure: float = SURE) -> int:
     """Bands of ``rows`` that collide with probability ``sure`` at a similarity."""
-    return math.ceil(math.log(1 - sure) / math.log(1 - jaccard ** rows))
+    return 1 if jaccard >= 1 else math.ceil(math.log(1 - sure) / math.log(1 - jaccard ** rows))
 
 
 @dataclass
@@ -88,6 +91,7 @@ class Class:
     k: int
     shingles: int
     stride: int
+    width: int                           # of a window: a multiple of the stride
     bands: int
     odd: np.ndarray                      # multipliers, one a hash function
     names: list[str]
@@ -95,22 +99,28 @@ class Class:
     keys: list[np.ndarray]               # band keys of each template
 
 
-def _min_rows(h: np.ndarray, odd: np.ndarray, width: int) -> np.ndarray:
-    """Least hash of every run of ``width`` shingles, one row a hash function."""
-    g = (h[None, :] * odd[:, None]) >> np.uint64(32)
+def _min_rows(h: np.ndarray, odd: np.ndarray, stride: int, blocks: int, windows: int) -> np.ndarray:
+    """Least hash of each of ``windows`` runs of ``blocks`` strides, one row a hash function."""
+    g = (h >> np.uint64(32)).astype(np.uint32)[None, :] * odd[:, None]
+    need = (windows - 1 + blocks) * stride
+    if need > g.shape[1]:
+        g = np.pad(g, ((0, 0), (0, need - g.shape[1])), constant_values=np.iinfo(np.uint32).max)
+    least = g[:, 0:need:stride]
+    for k in range(1, stride):
+        least = np.minimum(least, g[:, k:need:stride])
     done = 1
-    while done < width:
-        step = min(done, width - done)
-        g = np.minimum(g[:, :-step], g[:, step:])
+    while done < blocks:
+        step = min(done, blocks - done)
+        least = np.minimum(least[:, :-step], least[:, step:])
         done += step
-    return g
+    return least
 
 
 def _band_keys(rows: np.ndarray) -> np.ndarray:
     """bands x windows; a key of the ROWS hash values of each band."""
-    key = rows[0::ROWS]
+    key = rows[0::ROWS].astype(np.uint64)
     for r in range(1, ROWS):
-        key = mix64(key) ^ rows[r::ROWS]
+        key = (key << np.uint64(32 // (ROWS - 1))) ^ rows[r::ROWS]
     return key
 
 
@@ -124,12 +134,13 @@ def classes(templates: Sequence[tuple[str, str]] = TEMPLATES, size: int = SHINGL
         k = min(size, n)
         shingles = n - k + 1
         stride = max(1, shingles // 8)
-        bands = bands_for(least_jaccard(shingles, stride))
+        width = -(-shingles // stride) * stride
+        bands = bands_for(least_jaccard(shingles, stride, width))
         seeds = np.arange(1, bands * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        odd = mix64(seeds) | np.uint64(1)
+        odd = (mix64(seeds) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
         hashes = [shingle_hashes(w, k) for _, w in group]
-        out.append(Class(k, shingles, stride, bands, odd, [g[0] for g in group], [np.unique(h) for h in hashes],
-                         [_band_keys(_min_rows(h, odd, len(h)))[:, 0] for h in hashes]))
+        out.append(Class(k, shingles, stride, width, bands, odd, [g[0] for g in group], [np.unique(h) for h in hashes],
+                         [_band_keys(_min_rows(h, odd, 1, len(h), 1))[:, 0] for h in hashes]))
     return out
 
 
@@ -144,15 +155,16 @@ def scan(text: str | None, kinds: list[Class]) -> list[tuple[str, int, int, floa
         h = hashes[c.k]
         if len(h) < max(1, math.ceil(LEAST * c.shingles)):
             continue
-        width = min(c.shingles, len(h))
-        for base in range(0, max(1, len(h) - width + 1), 1 << 15):  # bounded scratch memory
-            block = h[base:base + (1 << 15) + width - 1]
-            rows = _min_rows(block, c.odd, width)
-            starts = np.unique(np.append(np.arange(0, rows.shape[1], c.stride), rows.shape[1] - 1))
-            keys = _band_keys(rows[:, starts])
+        count = -(-max(0, len(h) - c.shingles) // c.stride) + 1
+        for first in range(0, count, 1 << 13):  # bounded scratch memory
+            some = min(1 << 13, count - first)
+            base = first * c.stride
+            block = h[base:base + (some - 1) * c.stride + c.width]
+            keys = _band_keys(_min_rows(block, c.odd, c.stride, c.width // c.stride, some))
             for name, own, key in zip(c.names, c.sets, c.keys):
-                for at in starts[(keys == key[:, None]).any(axis=0)].tolist():
-                    lo, hi = max(0, base + at - c.stride), min(len(h), base + at + width + c.stride)
+                for at in np.flatnonzero((keys == key[:, None]).any(axis=0)).tolist():
+                    start = base + at * c.stride
+                    lo, hi = max(0, start - c.stride), min(len(h), start + c.width + c.stride)
                     inside = np.isin(h[lo:hi], own)
                     share = len(np.unique(h[lo:hi][inside])) / len(own)
                     if share >= LEAST:

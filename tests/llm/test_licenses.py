@@ -57,27 +57,30 @@ def test_edited_templates_in_long_texts():
 
 def test_band_settings_guarantee_the_probability():
     for c in L.classes():
-        j = L.least_jaccard(c.shingles, c.stride)
+        j = L.least_jaccard(c.shingles, c.stride, c.width)
         assert 1 - (1 - j ** L.ROWS) ** c.bands >= L.SURE and j > 0.55
     c = next(c for c in L.classes() if c.shingles > 40)
     rng, hits = np.random.default_rng(1), 0
     own = c.sets[0]
     for _ in range(300):  # windows of the least similarity collide as often as promised
         part = own.copy()
-        held = L.LEAST - (c.stride // 2) / c.shingles
+        held = (np.ceil(L.LEAST * c.shingles) - c.stride // 2) / c.shingles
         swap = rng.permutation(len(own))[: len(own) - int(np.ceil(held * len(own)))]
         part[swap] = rng.integers(0, 2 ** 63, len(swap)).astype(np.uint64)
-        hits += bool((L._band_keys(L._min_rows(part, c.odd, len(part)))[:, 0] == c.keys[0]).any())
+        more = rng.integers(0, 2 ** 63, c.width - c.shingles).astype(np.uint64)
+        part = np.concatenate([part, more])
+        hits += bool((L._band_keys(L._min_rows(part, c.odd, 1, len(part), 1))[:, 0] == c.keys[0]).any())
     assert hits >= 297
 
 
 def test_minhash_rows_are_window_minima():
     h = shingle_hashes([f"w{i}".encode() for i in range(60)], 5)
-    odd = np.array([3, 7], np.uint64)
-    g = (h[None, :] * odd[:, None]) >> np.uint64(32)
-    for width in (1, 2, 3, 7, 8, 31, len(h)):
-        want = np.array([[g[j, i:i + width].min() for i in range(len(h) - width + 1)] for j in range(2)])
-        assert (L._min_rows(h, odd, width) == want).all()
+    odd = np.array([3, 7], np.uint32)
+    g = (h >> np.uint64(32)).astype(np.uint32)[None, :] * odd[:, None]
+    for stride, blocks in ((1, 1), (1, 2), (1, 7), (2, 3), (3, 1), (4, 5), (7, 9)):
+        windows = -(-max(0, len(h) - stride * blocks) // stride) + 1
+        want = np.array([[g[j, i * stride:(i + blocks) * stride].min() for i in range(windows)] for j in range(2)])
+        assert (L._min_rows(h, odd, stride, blocks, windows) == want).all()
 
 
 def test_nulls_long_texts_repeats_and_empty(spark, docs_of):
