@@ -83,9 +83,8 @@ def test_posteriors_follow_naive_bayes(spark, docs_of):
     buckets = {r["doc_id"]: r["b"] for r in docs.select("doc_id", F.array_distinct(M.words("text")).alias("w")).select(
         "doc_id", F.transform("w", M.bucket).alias("b")).collect()}
     for r in docs.select("doc_id", model.measures("text")["posteriors"].alias("p")).collect():
-        z = np.array(model.prior)
-        for b in buckets[r["doc_id"]]:
-            z = z + np.array(model.ratios.get(b, [0.0] * 3))
+        told = [model.ratios[b] for b in buckets[r["doc_id"]] if b in model.ratios]
+        z = np.array(model.prior) + np.sum([[0.0] * 3, *told], axis=0) / np.sqrt(1 + len(told) / M.FULL_WEIGHT)
         p = np.exp(np.maximum(z - z.max(), -50))
         assert np.abs(np.array(r["p"]) - p / p.sum()).max() <= 0.011
         domain = ["toxic", "junk", "clean", "clean"][r["doc_id"] % 4]
