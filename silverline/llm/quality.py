@@ -16,9 +16,13 @@ root of the text's number of tokens, as that of a mean does.
 Words are tokenised one by one, each after a space, as the vocabularies never
 merge across white space; equal words are tokenised once a task (a bounded
 memo).  A band for each language and script holds the median and the scaled
-median absolute deviation over *all* documents that pass the base rules; a
-text is rejected if a measure lies outside its band.  The bands are wide (``Bands``): only clear
-outliers go.
+median absolute deviation over *all* documents that pass the base rules, where
+copies and near copies (texts of equal ``sketch``) count once; a text is
+rejected if a measure lies outside its band.  The bands are wide (``Bands``):
+only clear outliers go.  A band of few distinct texts has the spread of its
+script (or, failing that, of all texts), and its half widths allow for the
+error of its median; no band is narrower than a share of that spread.  Without
+a band of enough texts anywhere, only the base rules reject.
 
 Cases: null is an empty text: no words, so ``base_failed``; an unknown
 language is ``und``; repeated rows are judged alike; very long texts are
@@ -35,7 +39,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm.common import map_texts, stored, table
+from silverline.llm.common import map_texts, shingle_hashes, stored, table
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -45,6 +49,9 @@ BASE_FIELDS = [("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "b
                ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint")]
 FERTILITY_FIELDS = [("script", "string"), ("n_pieces", "bigint"), ("chars_per_piece", "double"), ("chars_per_byte_token", "double"),
                     ("fallback_share", "double"), ("entropy", "double")]
+#: Least hash of a text's runs of ``SKETCH_WORDS`` words: equal for copies, and for most near copies.
+SKETCH_FIELD = ("sketch", "bigint")
+SKETCH_WORDS = 3
 
 #: First code point of the scripts that are told apart.
 SCRIPTS = [(0x0041, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "other"), (0x0590, "hebrew"),
@@ -62,6 +69,9 @@ class Bands:
     least_chars: float = 0.12
     least_share: float = 0.05
     least_entropy: float = 0.25
+    #: Distinct texts from which a band has a spread of its own, and its least share of the script's spread.
+    least_texts: int = 30
+    least_of_script: float = 0.25
 
 
 # ---- base counts ------------------------------------------------------------
@@ -163,13 +173,17 @@ class Fertility:
                 bits / np.log2(n) if n > 1 else 1.0)
 
 
+def sketch(words: list[bytes]) -> int:
+    return int(shingle_hashes(words, SKETCH_WORDS).min().view(np.int64)) if words else 0
+
+
 def measure_factory(piece_model: str | None, byte_ranks: str | None) -> Callable:
     def factory():
         import public_tokenizers
 
         fertility = Fertility(piece_model or public_tokenizers.path("piece_bpe_32k.model"),
                               byte_ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-        names = [n for n, _ in BASE_FIELDS + FERTILITY_FIELDS]
+        names = [n for n, _ in [*BASE_FIELDS, *FERTILITY_FIELDS, SKETCH_FIELD]]
 
         def run(texts):
             rows = []
@@ -179,7 +193,7 @@ def measure_factory(piece_model: str | None, byte_ranks: str | None) -> Callable
                 fertility.learn(set().union(*words))
                 for t, w in zip(some, words):
                     base = base_counts(t, w)
-                    rows.append((*base, script_of(t), *fertility.measure(w, base[1])))
+                    rows.append((*base, script_of(t), *fertility.measure(w, base[1]), sketch(w)))
             return dict(zip(names, map(list, zip(*rows))))
         return run
 
@@ -194,7 +208,8 @@ def band_key(lang: str, script: str) -> Column:
 
 def measured(docs: DataFrame, keep: list[str], piece_model: str | None = None,
              byte_ranks: str | None = None) -> DataFrame:
-    return map_texts(docs, measure_factory(piece_model, byte_ranks), BASE_FIELDS + FERTILITY_FIELDS, keep)
+    return map_texts(docs, measure_factory(piece_model, byte_ranks),
+                     [*BASE_FIELDS, *FERTILITY_FIELDS, SKETCH_FIELD], keep)
 
 
 def base_failed() -> Column:
@@ -204,22 +219,36 @@ def base_failed() -> Column:
 def judge(rows: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """``rows`` with ``base_failed``, the reason of a rejection and ``kept``.
 
-    The bands are medians over all rows that pass the base rules, of each
-    language and script.
+    The bands are medians over all distinct texts (``sketch``) that pass the
+    base rules, of each language and script.
     """
     names = ["chars_per_piece", "chars_per_byte_token", "fallback_share", "entropy"]
     least = [bands.least_chars, bands.least_chars, bands.least_share, bands.least_entropy]
-    scale = [F.sqrt(F.greatest("n_pieces", F.lit(1)))] * 3 + [F.lit(1.0)]  # entropy is relative already
+    pieces = F.greatest("n_pieces", F.lit(1))
+    scale = [F.sqrt(pieces)] * 3 + [F.lit(1.0)]  # entropy is relative already
     rows = rows.withColumn("base_failed", base_failed()).withColumn("band", band_key("lang", "script"))
-    good = rows.where(~F.col("base_failed"))
-    mid = good.groupBy("band").agg(*[F.percentile_approx(n, 0.5, 1000).alias(f"mid_{n}") for n in names])
-    off = good.join(F.broadcast(mid), "band").groupBy("band").agg(
-        *[F.percentile_approx(F.abs(F.col(n) - F.col(f"mid_{n}")) * c, 0.5, 1000).alias(f"off_{n}")
-          for n, c in zip(names, scale)])
-    limits = mid.join(F.broadcast(off), "band")
+    good = stored(rows.where(~F.col("base_failed")).groupBy("band", "script", "sketch").agg(
+        F.min(F.struct("n_pieces", *names)).alias("one")).select("band", "script", "one.*"), "quality-texts")
+    mid = good.groupBy("band", "script").agg(
+        F.count(F.lit(1)).alias("texts"), F.avg(1 / pieces).alias("thin"),
+        *[F.percentile_approx(n, 0.5, 1000).alias(f"mid_{n}") for n in names])
+    apart = good.join(F.broadcast(mid.drop("script")), "band").select("band", "script", "texts", *[
+        (F.abs(F.col(n) - F.col(f"mid_{n}")) * c).alias(n) for n, c in zip(names, scale)])
+
+    def spread(of: DataFrame, prefix: str, *by: str) -> DataFrame:
+        return of.groupBy(*by).agg(*[F.percentile_approx(n, 0.5, 1000).alias(f"{prefix}_{n}") for n in names])
+
+    enough = apart.where(F.col("texts") >= bands.least_texts)
+    limits = (mid.join(F.broadcast(spread(apart, "off", "band")), "band")
+              .join(F.broadcast(spread(enough, "script", "script")), "script", "left")
+              .crossJoin(F.broadcast(spread(enough, "all"))).drop("script"))
     outside = []
     for n, w, c in zip(names, least, scale):
-        half = F.greatest(F.lit(w), bands.spread * 1.4826 * F.col(f"off_{n}") / c)
+        wide = F.coalesce(f"script_{n}", f"all_{n}", F.lit(float("inf")))
+        off = F.greatest(f"off_{n}", F.when(F.col("texts") >= bands.least_texts, bands.least_of_script * wide).otherwise(wide))
+        # 1.57: variance of a median to that of a mean
+        error = 1.57 / F.col("texts") * (F.lit(1.0) if n == "entropy" else F.col("thin"))
+        half = F.greatest(F.lit(w), bands.spread * 1.4826 * off * F.sqrt(1 / (c * c) + error))
         low, high = F.col(n) < F.col(f"mid_{n}") - half, F.col(n) > F.col(f"mid_{n}") + half
         outside += [F.when(low, f"{n} low"), F.when(high, f"{n} high")]
     reason = F.concat_ws(", ", F.when(F.col("base_failed"), "base"),

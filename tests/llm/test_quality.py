@@ -91,3 +91,38 @@ def test_nulls_long_texts_repeats_empty_and_clashing_columns(spark, docs_of):
     kept = Q.keep_good(docs)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= {3}
     assert Q.quality(docs.limit(0)).count() == 0 and Q.keep_good(docs.limit(0)).count() == 0
+
+
+def _prose(rng, vocabulary, n):
+    return " ".join(rng.choice(vocabulary, n))
+
+
+def test_copies_and_near_copies_do_not_narrow_a_band(spark, docs_of):
+    path = "/root/testdata/sf0.01"
+    rows = {(r["doc_id"]): r for r in QUERIES["op4_quality"](spark, path).collect()}
+    texts = [r for r in spark.read.parquet(f"{path}/documents.parquet").where("lang = 'es'").collect()
+             if rows[r["doc_id"]]["kept"] and rows[r["doc_id"]]["n_words"] > 60]
+    own = {Q.sketch(r["text"].encode().split()): r for r in texts}
+    plain = [(i, r["text"], "es") for i, r in enumerate(own.values())]
+    # copied, the text at the edge of the others' measures
+    edge = max(own.values(), key=lambda r: rows[r["doc_id"]]["chars_per_piece"])["text"]
+    copies = [(10_000 + i, edge, "es") for i in range(2 * len(plain))]
+    words = edge.split()
+    near = [(20_000 + i, " ".join([*words[:i % len(words)], words[-1 - i % 7], *words[i % len(words) + 1:]]), "es")
+            for i in range(2 * len(plain))]
+    assert len(plain) > 40
+    for more in (copies, near):
+        got = {r["doc_id"]: r["kept"] for r in Q.quality(docs_of(plain + more)).collect()}
+        assert np.mean([got[i] for i, _, _ in plain]) > 0.98
+
+
+def test_small_bands_take_the_spread_of_their_script(spark, docs_of):
+    rng = np.random.default_rng(4)
+    syllables = ["ka", "lo", "mira", "ten", "du", "sho", "bel", "iro", "stra", "une", "qui", "pa"]
+    vocabulary = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(400)]
+    many = [(i, _prose(rng, vocabulary, int(rng.integers(15, 300))), "en") for i in range(120)]
+    few = [(1000 + i, _prose(rng, vocabulary, 20 if i % 2 else 300), f"x{'abcdefghij'[i // 2]}") for i in range(20)]
+    got = {r["doc_id"]: r["kept"] for r in Q.quality(docs_of(many + few)).collect()}
+    assert all(got[i] for i, _, _ in few)
+    alone = Q.quality(docs_of(few)).collect()
+    assert all(r["kept"] for r in alone)
