@@ -5,7 +5,8 @@ probabilities of the domains (by default ``clean``, ``junk`` and ``toxic``,
 from the labels' quality and toxicity).  Non-negative document rates r_i are
 then fitted so that the expected tokens of each domain,
 sum_i r_i * tokens_i * p_i(domain), match the targets in (weighted) least
-squares, by projected gradient from r = 1.  Rates over one repeat a document.
+squares, by projected gradient from r = 1.  Rates over one repeat a document;
+they have no upper bound.
 
 Only DataFrame and SQL functions are used:
 
@@ -48,7 +49,6 @@ FULL_WEIGHT = 8.0
 GRID = 100
 STEPS = 40
 CLOSE = 1e-4
-MOST_RATE = 4.0
 #: Pull of every rate towards one, beside the fit to the targets.
 STAY = 1e-3
 
@@ -161,7 +161,7 @@ class Rates:
                                                       lambda a, b: a + b) + F.lit(self.stay) * (r - 1.0)))))
 
 
-def fit(cells: DataFrame, domains: list[str], targets: dict[str, float], most: float = MOST_RATE,
+def fit(cells: DataFrame, domains: list[str], targets: dict[str, float], most: float = math.inf,
         stay: float = STAY, steps: int = STEPS) -> Rates:
     """Projected gradient over rows ``posteriors, tokens`` (one a distinct posterior).
 

@@ -124,3 +124,11 @@ def test_nulls_long_texts_repeats_and_empty(spark, docs_of):
 def test_no_python_in_the_plan(spark, sf_small):
     plan = QUERIES["op9_mixing"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_rates_have_no_upper_bound(spark):
+    cells = _cells(spark, np.eye(3), [98_000, 1_500, 500])
+    rates = M.fit(cells, list(M.TARGETS), M.TARGETS)
+    got = {r["posteriors"].index(1.0): r["r"] for r in cells.withColumn("r", rates.rate(F.col("posteriors"))).collect()}
+    off = [got[d] * n / 100_000 - w for d, (n, w) in enumerate(zip([98_000, 1_500, 500], M.TARGETS.values()))]
+    assert max(map(abs, off)) < 1e-3 and max(got.values()) > 13
