@@ -5,8 +5,10 @@ probabilities of the domains (by default ``clean``, ``junk`` and ``toxic``,
 from the labels' quality and toxicity).  Non-negative document rates r_i are
 then fitted so that the expected tokens of each domain,
 sum_i r_i * tokens_i * p_i(domain), match the targets in (weighted) least
-squares, by projected gradient from r = 1.  Rates over one repeat a document;
-they have no upper bound.
+squares: projected gradient from r = 1, then (if ``STEPS`` steps don't meet the
+targets) Newton steps in the domains to the optimum.  Rates over one repeat a
+document; they have no upper bound.  ``Rates`` holds the achieved totals beside
+the targets, and they are logged.
 
 Only DataFrame and SQL functions are used:
 
@@ -20,8 +22,9 @@ Only DataFrame and SQL functions are used:
   membership.  The rate of a document depends on its posteriors only, so the
   gradient needs one sum a distinct posterior (at most some thousand rows,
   pre-aggregated in the tasks), whatever the number of documents;
-* a rate is the fold of the gradient steps over the history of the domains'
-  residuals (a few numbers a step), an expression without join or shuffle.
+* a rate is an expression without join or shuffle: the fold of the gradient
+  steps over the history of the domains' residuals (a few numbers a step), or
+  at the optimum ``max(0, 1 - posteriors . pull / STAY)``.
 
 Cases: null, empty and word-free texts have no tokens and the prior's
 posteriors; labels that are null or repeated for an id: null is left out, the
@@ -33,9 +36,11 @@ repeated rows get equal rates; an empty table gives no rows.
 from __future__ import annotations
 
 import json
+import logging
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +54,14 @@ FULL_WEIGHT = 8.0
 GRID = 100
 STEPS = 40
 CLOSE = 1e-4
+#: Largest projected gradient at which the fit is settled, and the most Newton steps.
+SETTLED = 1e-8
+NEWTON = 60
 #: Pull of every rate towards one, beside the fit to the targets.
 STAY = 1e-3
 
+LOG = logging.getLogger(__name__)
+
 TARGETS = {"clean": 0.85, "junk": 0.08, "toxic": 0.07}
 
 
@@ -145,13 +155,29 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], domain: Column
 
 @dataclass
 class Rates:
-    """Residuals of the domains at each step; a rate is the fold of the steps."""
+    """Residuals of the domains at each step; a rate is the fold of the steps.
+
+    With ``pull``, the residuals at the optimum, it is their expression instead.
+    """
 
     most: float
     stay: float
     history: list[list[float]] = field(default_factory=list)
+    pull: list[float] | None = None
+    #: Shares of the tokens before mixing, by domain: wanted, and achieved by these rates.
+    wanted: dict[str, float] = field(default_factory=dict)
+    achieved: dict[str, float] = field(default_factory=dict)
+    settled: bool = True
+
+    @property
+    def residual(self) -> float:
+        """Largest difference of an achieved total to its target."""
+        return max((abs(self.achieved[d] - w) for d, w in self.wanted.items()), default=0.0)
 
     def rate(self, posteriors: Column) -> Column:
+        if self.pull is not None:
+            return F.greatest(F.lit(0.0), F.least(F.lit(self.most), F.lit(1.0) - sum(
+                posteriors[d] * F.lit(g / self.stay) for d, g in enumerate(self.pull))))
         if not self.history:
             return F.lit(1.0)
         steps = F.from_json(F.lit(json.dumps(self.history)), "array<array<double>>")
@@ -187,6 +213,72 @@ def fit(cells: DataFrame, domains: list[str], targets: dict[str, float], most: f
     return rates
 
 
+def settle(cells: DataFrame, domains: list[str], targets: dict[str, float], rates: Rates) -> Rates:
+    """The optimum of the same least squares, unless ``rates`` meet the targets already.
+
+    Its rates are ``clip(1 - p . g / stay)`` with a number g a domain, which
+    maximise a concave function of g (the dual): damped Newton, one sum over
+    the cells a try.  ``g`` is the achieved less the wanted total over the
+    domain's tokens before mixing; a domain without tokens has none.
+    """
+    n = len(domains)
+    post = F.col("posteriors")
+    want = np.array([targets[d] / sum(targets.values()) for d in domains])
+    before = cells.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * post[d]).alias(f"d{d}")
+                                                       for d in range(n)]).first()
+    whole = float(before["all"] or 0)
+    if not whole:
+        return rates
+    share = np.array([float(before[f"d{d}"]) for d in range(n)]) / whole
+    has = np.flatnonzero(share > 0)
+
+    def tried(now: Rates) -> tuple[float, np.ndarray, np.ndarray]:
+        """Sum of stay / 2 (r - 1)**2, achieved totals, products of posteriors of rates inside the bounds."""
+        rated_ = cells.withColumn("rate", now.rate(post))
+        inside = F.when((F.col("rate") > 0) & (F.col("rate") < now.most), F.col("tokens")).otherwise(0)
+        row = rated_.agg(
+            F.sum(F.col("tokens") * (F.col("rate") - 1) * (F.col("rate") - 1)),
+            *[F.sum(F.col("tokens") * post[d] * F.col("rate")) for d in range(n)],
+            *[F.sum(inside * post[a] * post[b]) for a in range(n) for b in range(n)]).first()
+        row = np.array(row, float) / whole
+        return row[0] * now.stay / 2, row[1:n + 1], row[n + 1:].reshape(n, n)
+
+    _, got, _ = tried(rates)
+    if np.abs(got - want).max() >= CLOSE:
+        def at(g: np.ndarray):
+            now = Rates(rates.most, rates.stay, pull=g.tolist())
+            moved, got, curve = tried(now)
+            return moved + g @ (got - want) - (share * g * g).sum() / 2, now, got, curve
+
+        g = np.zeros(n)
+        g[has] = (got - want)[has] / share[has]
+        value, rates, got, curve = min((at(g), at(np.zeros(n))), key=lambda t: -t[0])
+        for _ in range(NEWTON):
+            g = np.array(rates.pull)
+            slope = (got - want - share * g)[has]
+            rates.settled = bool(np.abs(slope).max() < SETTLED)
+            if rates.settled:
+                break
+            step = np.zeros(n)
+            step[has] = np.linalg.solve(np.diag(share[has]) + curve[np.ix_(has, has)] / rates.stay, slope)
+            size = 1.0
+            while True:
+                tip = at(g + size * step)
+                if tip[0] >= value + 1e-4 * size * (slope @ step[has]) or size < 1e-6:
+                    break
+                size /= 2
+            if tip[0] < value:
+                break  # no better within the precision of the sums
+            value, rates, got, curve = tip
+        else:
+            rates.settled = bool(np.abs((got - want - share * np.array(rates.pull))[has]).max() < SETTLED)
+    rates.wanted, rates.achieved = dict(zip(domains, want.tolist())), dict(zip(domains, got.tolist()))
+    LOG.log(logging.INFO if rates.settled else logging.WARNING, "mixing: %s; largest residual %.2g%s",
+            ", ".join(f"{d} {rates.achieved[d]:.4f} (target {w:.4f})" for d, w in rates.wanted.items()),
+            rates.residual, "" if rates.settled else ", not settled")
+    return rates
+
+
 def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
           keep: list[str] | None = None, **options) -> tuple[DataFrame, list[str]]:
     """Columns ``keep`` (all) of ``docs`` with ``tokens, posteriors, rate, copies``.
@@ -207,7 +299,7 @@ def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     wide = stored(docs.select(*kept, chance.alias(draw), model.measures("text").alias(measured)), "mixing-docs").select(
         *kept, draw, F.col(f"{measured}.tokens").alias(tokens), F.col(f"{measured}.posteriors").alias(post))
     cells = stored(wide.groupBy(F.col(post).alias("posteriors")).agg(F.sum(tokens).alias("tokens")), "mixing-cells")
-    rates = fit(cells, model.domains, targets, **options)
+    rates = settle(cells, model.domains, targets, fit(cells, model.domains, targets, **options))
     out = wide.withColumn(rate, rates.rate(F.col(post)))
     up = (F.col(draw) < F.col(rate) - F.floor(rate)).cast("int")
     return out.withColumn(copies, (F.floor(rate) + up).cast("int")).drop(draw), names

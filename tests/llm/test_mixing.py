@@ -132,3 +132,31 @@ def test_rates_have_no_upper_bound(spark):
     got = {r["posteriors"].index(1.0): r["r"] for r in cells.withColumn("r", rates.rate(F.col("posteriors"))).collect()}
     off = [got[d] * n / 100_000 - w for d, (n, w) in enumerate(zip([98_000, 1_500, 500], M.TARGETS.values()))]
     assert max(map(abs, off)) < 1e-3 and max(got.values()) > 13
+
+
+def _settled(spark, post, tokens, targets):
+    cells = _cells(spark, post, tokens)
+    rates = M.settle(cells, list(targets), targets, M.fit(cells, list(targets), targets))
+    return rates, np.array([r["r"] for r in cells.select(rates.rate(F.col("posteriors")).alias("r")).collect()])
+
+
+def test_soft_posteriors_settle_at_the_optimum(spark):
+    rng = np.random.default_rng(5)
+    post = rng.dirichlet(np.array([0.76, 0.12, 0.12]) * 60, 400)
+    tokens = rng.integers(10, 1000, 400)
+    rates, r = _settled(spark, post, tokens, M.TARGETS)
+    want, whole = np.array(list(M.TARGETS.values())), tokens.sum()
+    share, got = tokens @ post / whole, (tokens * r) @ post / whole
+    gradient = post @ ((got - want) / share) + M.STAY * (r - 1)
+    assert rates.settled and min(r) >= 0
+    assert np.abs(np.where(r > 0, gradient, np.minimum(gradient, 0))).max() < 1e-5
+    assert np.allclose(list(rates.achieved.values()), got) and abs(rates.residual - np.abs(got - want).max()) < 1e-9
+    assert rates.residual < 0.025  # 40 gradient steps: 0.05
+
+
+def test_settled_fit_without_a_domain_or_tokens(spark):
+    post = np.array([[1.0, 0.0], [1.0, 0.0]])
+    rates, r = _settled(spark, post, [10, 30], {"a": 0.5, "b": 0.5})
+    assert np.abs(r - 0.5).max() < 0.01 and rates.settled and abs(rates.residual - 0.5) < 1e-9
+    rates, r = _settled(spark, post, [0, 0], {"a": 0.5, "b": 0.5})
+    assert list(r) == [1.0, 1.0] and rates.residual == 0
