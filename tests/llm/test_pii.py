@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -145,3 +146,28 @@ def test_nulls_long_texts_repeats_and_empty(spark, docs_of):
     assert P.train(docs.limit(0)) is None and P.find(docs.limit(0), field, ["doc_id"]).count() == 0
     assert P.masked(docs).where("doc_id = 1").first()["text"] is None
     assert [r["n_email"] for r in P.find(docs.where("doc_id = 4"), None, ["doc_id"]).collect()] == [1, 1]
+
+
+def test_training_counts_keep_every_row(spark, docs_of):
+    rng = np.random.default_rng(6)
+    digits = ["", "12", "123", "123456", "1234567890", "4111111111111111", "4111111111111112", "1" * 20]
+    made = [f"{lead}{letter}{eq}{d}{at}{')' if lead == '(' else ''}" for lead, letter, eq, d, at in itertools.product(
+        ["", "+", "("], ["", "z"], ["", "="], digits, ["", "@", "@b.co"])]
+    made += ["10.1.2.3", "900.1.2.3", "555-0123"] * 40
+    texts = [" ".join(rng.choice(made, 60)) for _ in range(2500)]
+    want = Counter()
+    for t in texts:
+        nodes = P.nodes_of(t)
+        want.update(zip(nodes.bits, P.labels_of(nodes, *P.base_spans(t))))
+    want = {k: n for k, n in want.items() if k[1] >= 0}
+    rows = P.training_counts(docs_of(list(enumerate(texts))))
+    assert len(want) > 5000 and {(r["a"], r["b"]): r["n"] for r in rows if r["what"] == "n"} == want
+    assert {r["what"] for r in rows} == {"n", "c", "t"} and len(rows) < P.MOST_ROWS
+
+
+def test_shapes_are_bounded():
+    rng = np.random.default_rng(7)
+    parts = list("@+()-.=\"19a ,:") + ["1.2.3.4", "123456789", "4111111111111111", "b.co"]
+    shapes = {P.shape("".join(rng.choice(parts, rng.integers(1, 9)))) for _ in range(30_000)}
+    assert len(shapes) < 300
+    assert len({tuple(s >> f & 1 for f in P.AROUND) for s in shapes}) <= 6
