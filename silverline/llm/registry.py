@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from silverline.llm.conversations import op11_conversations
 from silverline.llm.fingerprint import op7_fingerprint
 from silverline.llm.langid import op2_language
 from silverline.llm.licenses import op10_licenses
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_conversations": op11_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
