@@ -17,6 +17,7 @@ from silverline.llm.pii import op5_pii
 from silverline.llm.quality import op4_quality
 from silverline.llm.sharding import op8_sharding
 from silverline.llm.simhash import op3_simhash
+from silverline.llm.spelling import op12_spelling
 from silverline.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
     "op11_conversations": op11_conversations,
+    "op12_spelling": op12_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
