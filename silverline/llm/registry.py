@@ -11,6 +11,7 @@ from silverline.llm.conversations import op11_conversations
 from silverline.llm.fingerprint import op7_fingerprint
 from silverline.llm.langid import op2_language
 from silverline.llm.licenses import op10_licenses
+from silverline.llm.lmscore import op13_lm
 from silverline.llm.mixing import op9_mixing
 from silverline.llm.packing import op1_packing
 from silverline.llm.pii import op5_pii
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
     "op11_conversations": op11_conversations,
     "op12_spelling": op12_spelling,
+    "op13_lm": op13_lm,
     "pipeline": corpus_pipeline.run,
 }
 
