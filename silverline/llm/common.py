@@ -10,14 +10,15 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverline.session import scratch_dir
 
-#: Rows of an Arrow batch that are worked on together in a task.
-CHUNK_ROWS = 256
+#: Rows, and bytes of text, of an Arrow batch that are worked on together in a task.
+CHUNK_ROWS, CHUNK_BYTES = 256, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,12 +50,27 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def chunks(batch: pa.RecordBatch, column: str, rows: int = CHUNK_ROWS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``rows`` rows and ``CHUNK_BYTES`` of ``column`` (one row at least)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = int(np.searchsorted(ends, before + CHUNK_BYTES, side="right"))
+        end = min(max(end, at + 1), at + rows)
+        yield batch.slice(at, end - at)
+        at = min(end, batch.num_rows)
+
+
 def map_texts(df: DataFrame, factory: Callable[[], Callable[[list], dict]],
-              fields: Sequence[tuple[str, str]], keep: Sequence[str], text: str = "text") -> DataFrame:
+              fields: Sequence[tuple[str, str]], keep: Sequence[str], text: str = "text",
+              rows: int = CHUNK_ROWS, as_arrow: bool = False) -> DataFrame:
     """Columns ``keep`` of each row plus ``fields`` computed from its text.
 
     ``factory`` runs once per task and returns a function from a list of
-    texts (null included) to a dict of equally long lists.
+    texts (null included; with ``as_arrow`` an Arrow array) to a dict of
+    equally long lists.
     """
     src = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     kept = [src.schema[c] for c in keep]
@@ -67,9 +83,9 @@ def map_texts(df: DataFrame, factory: Callable[[], Callable[[list], dict]],
         want, fn = None, factory()
         for whole in batches:
             want = want or to_arrow_schema(schema)
-            for at in range(0, whole.num_rows, CHUNK_ROWS):
-                part = whole.slice(at, CHUNK_ROWS)
-                out = fn(part.column(part.schema.get_field_index(text)).to_pylist())
+            for part in chunks(whole, text, rows):
+                texts = part.column(part.schema.get_field_index(text))
+                out = fn(texts if as_arrow else texts.to_pylist())
                 cols = [part.column(part.schema.get_field_index(f.name)) for f in kept]
                 cols += [pa.array(out[f.name], type=want.field(f.name).type) for f in added]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema])
@@ -78,32 +94,51 @@ def map_texts(df: DataFrame, factory: Callable[[], Callable[[list], dict]],
 
 
 class Memo:
-    """A bounded map in two generations: what is used again outlives a change of generation.
+    """A map of at most about ``most_bytes``, in two generations: what is used again outlives a change.
 
     Kept for the life of a Python worker, so later tasks start with the
-    frequent words of earlier ones.
+    frequent words of earlier ones.  Very long words are not kept.
     """
 
-    def __init__(self, most: int):
-        self.half, self.young, self.old = most // 2, {}, {}
+    ENTRY, LONG = 240, 256
+
+    def __init__(self, most_bytes: int):
+        self.half, self.held, self.young, self.old = most_bytes // 2, 0, {}, {}
+
+    def _keep(self, word, value) -> None:
+        if len(word) <= self.LONG:
+            self.young[word] = value
+            self.held += self.ENTRY + len(word) + len(value)
+            if self.held > self.half:
+                self.old, self.young, self.held = self.young, {}, 0
 
-    def ensure(self, words: set, compute) -> dict:
-        """A map that holds all of ``words``; ``compute`` gives the values of new ones."""
-        young, old = self.young, self.old
-        if len(young) + len(words) > self.half:
-            self.old, self.young = young, {}
-            young, old = self.young, self.old
+    def lookup(self, words: list, compute) -> list:
+        """The value (bytes or a tuple) of each word; ``compute`` gives those of a list of new ones."""
+        out = list(map(self.young.get, words))
         new = []
-        for w in words:
-            if w not in young:
-                value = old.get(w)
-                if value is None:
-                    new.append(w)
-                else:
-                    young[w] = value
+        for i in [i for i, v in enumerate(out) if v is None]:
+            value = self.old.get(words[i])
+            if value is None:
+                new.append(i)
+            else:
+                out[i] = value
+                self._keep(words[i], value)
         if new:
-            young.update(zip(new, compute(new)))
-        return young
+            for i, value in zip(new, compute([words[i] for i in new])):
+                out[i] = value
+                self._keep(words[i], value)
+        return out
+
+
+def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    r"""(distinct words, number of each word in turn, words before each text and in all).
+
+    Words are ``[^\x20\x09-\x0D]+``; the distinct ones may include ``""`` (no word, found at a text's ends).
+    """
+    cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat = cut.flatten().dictionary_encode()
+    offsets = cut.offsets.to_numpy()
+    return flat.dictionary.to_pylist(), flat.indices.to_numpy(), offsets - offsets[0]
 
 
 _KEPT: dict = {}

@@ -10,8 +10,8 @@ than ``SMALL`` tokens that has room nowhere opens a sequence; a smaller one is
 cut at the end, its parts fill the sequences with most room left.  So there
 is less padding than one sequence a group and opened sequence.
 
-Words are tokenised once a task (a bounded memo; the vocabulary never merges
-across white space).  A task sends one narrow row a piece; only small pieces,
+Distinct words are tokenised once (a memo bounded in bytes; the vocabulary never
+merges across white space) and the ids of a text gathered from them.  A task sends one narrow row a piece; only small pieces,
 which may be cut, carry their ids.
 
 Cases: null text is empty (its end token alone); repeated rows and repeated
@@ -25,10 +25,11 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm.common import Memo, kept, map_texts, stored, table
+from silverline.llm.common import Memo, distinct_words, kept, map_texts, stored, table
 
 CAPACITY = 4096
 END = 2
@@ -37,76 +38,102 @@ CROSSOVER = 24_576
 GROUP_PIECES = 16_384
 #: Pieces of at most this many tokens may be cut to fill sequences.
 SMALL = 384
-MEMO_WORDS = 500_000
-MEMO_PARTS = 400_000
+#: Estimated bytes of a worker's memo of words.
+MEMO_BYTES = 160 << 20
 CLOSING = ".,;:!?)]}\"*#%&$"
-#: Stands between words that are tokenised together; one token of its own.
-BETWEEN = "|"
+
+
+class LetterWords:
+    """Ids of lower-case words of letters alone, many at once, by a byte-pair engine over the same vocabulary.
+
+    The engine joins any neighbours whose union is a token, in order of rank;
+    the vocabulary's merges name the two halves.  These agree where a token's
+    own text comes out as that token, so only such tokens are given to it.
+    """
+
+    MARK = b"\x01"  # stands for the end of a word; no letter has this byte
+
+    def __init__(self, path: str):
+        import json
+
+        import tiktoken
+        from tokenizers import models
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        suffix, vocab = model["end_of_word_suffix"], model["vocab"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        inner = models.BPE(vocab=vocab, merges=merges)
+        final = models.BPE(vocab=vocab, merges=merges, end_of_word_suffix=suffix)
+        # byte-level symbols: printable bytes are themselves, the others come after 255
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in printable} | {
+            chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+        ranks, self.ends = {}, np.zeros(max(vocab.values()) + 1, bool)
+        for token, number in vocab.items():
+            body = token.removesuffix(suffix)
+            if all(c in byte for c in body):
+                own = (inner if body == token else final).tokenize(body)
+                if [t.id for t in own] == [number]:
+                    ranks[bytes(byte[c] for c in body) + (b"" if body == token else self.MARK)] = number
+                    self.ends[number] = body != token
+        self.encode = tiktoken.Encoding("letters", pat_str=r"[^\x01]+\x01", mergeable_ranks=ranks,
+                                        special_tokens={}).encode_ordinary
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        found = np.array(self.encode("\x01".join(words) + "\x01"), "<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
+        raw = found.tobytes()
+        return [raw[s:e] for s, e in zip([0, *cuts], cuts)]
 
 
 class Words:
-    """Token ids of texts as little-endian bytes, each word tokenised once."""
+    """Token ids of texts as little-endian bytes, each distinct word tokenised once."""
 
     def __init__(self, path: str | None = None, end: int = END):
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+        path = path or public_tokenizers.path("word_bpe_49k.json")
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.letters = LetterWords(path)
         self.end = np.array([end], "<u4").tobytes()
-        self.memo, self.parts = Memo(MEMO_WORDS), Memo(MEMO_PARTS)
-        mark = self._ids(BETWEEN)
-        self.mark = mark[0] if len(mark) == 1 else None
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        self.memo, self.parts = Memo(MEMO_BYTES), Memo(MEMO_BYTES // 8)
 
-    def _learn(self, words: list[bytes]) -> list[bytes]:
+    def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of each word: of its lower-case letters and its closing marks, if it is so made.
 
         The vocabulary splits a word there and folds its case, so the parts'
-        ids are the word's, and far fewer of them differ.
+        ids are the word's.
         """
-        made, other = [], set()
-        for w in words:
-            text = w.decode()
-            letters = text.rstrip(CLOSING)
-            if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters:
-                pair = (letters.lower(), text[len(letters):])
-                other.update(pair)
-            else:
-                pair = (text, "")
-                other.add(text)
-            made.append(pair)
-        other.discard("")
-        ids = self.parts.ensure(other, self._tokenise)
-        return [ids[a] + ids[b] if b else ids[a] for a, b in made]
+        letters, marks = [], []
+        for text in words:
+            body = text.rstrip(CLOSING)
+            plain = body.isalpha() and max(body) < "\u0250" and "\u0130" not in body
+            letters.append(body.lower() if plain else "")
+            marks.append(text[len(body):] if plain else text)
+        some = iter(self.letters.ids([w for w in letters if w]))
+        rest = self.parts.lookup(marks, self._tokenise)
+        return [next(some) + m if w else m for w, m in zip(letters, rest)]
 
     def _tokenise(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text without white space; plain ones go together, a mark between them."""
-        out: list = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if BETWEEN not in t] if self.mark is not None else []
-        for at in range(0, len(plain), 4096):
-            some = plain[at:at + 4096]
-            ids = np.array(self._ids(f" {BETWEEN} ".join([texts[i] for i in some])), "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(some) - 1:
-                continue  # a word gave the mark's token: one by one below
-            raw = ids.tobytes()
-            lo = [0, *(4 * (cuts + 1)).tolist()]
-            hi = [*(4 * cuts).tolist(), len(raw)]
-            for i, s, e in zip(some, lo, hi):
-                out[i] = raw[s:e]
-        rest = [i for i, o in enumerate(out) if o is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, "<u4").tobytes()
-        return out
-
-    def encode(self, texts: list) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, then the end token, four bytes each."""
-        words = [t.encode().split() if t else [] for t in texts]
-        get = self.memo.ensure(set().union(*words), self._learn).__getitem__
-        return [b"".join(map(get, w)) + self.end for w in words]
+        words, at, before = distinct_words(texts)
+        ids = self.memo.lookup(words, self._learn)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        count = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        all_ids = np.frombuffer(b"".join(ids), "<u4")[np.repeat(first[at] - ends[:-1], count) + np.arange(ends[-1])]
+        cuts = ends[before].tolist()
+        return [all_ids[s:e].tobytes() + self.end for s, e in zip(cuts, cuts[1:])]
 
 
 def cost(tokens: int) -> float:
@@ -207,17 +234,16 @@ def pieces(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer
 
         def run(texts):
             out = []
-            for at in range(0, len(texts), 64):
-                for ids in words.encode(texts[at:at + 64]):
-                    cut = [ids[s:s + 4 * capacity] for s in range(0, len(ids), 4 * capacity)]
-                    out.append([{"start": k * capacity, "length": len(c) // 4, "ids_crc32": zlib.crc32(c),
-                                 "doc_tokens": len(ids) // 4, "ids": c if len(c) <= 4 * SMALL else None}
-                                for k, c in enumerate(cut)])
+            for ids in words.encode(texts):
+                cut = [ids[s:s + 4 * capacity] for s in range(0, len(ids), 4 * capacity)]
+                out.append([{"start": k * capacity, "length": len(c) // 4, "ids_crc32": zlib.crc32(c),
+                             "doc_tokens": len(ids) // 4, "ids": c if len(c) <= 4 * SMALL else None}
+                            for k, c in enumerate(cut)])
             return {"pieces": out}
         return run
 
     kind = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint,ids:binary>>"
-    return map_texts(docs, factory, [("pieces", kind)], keep).select(
+    return map_texts(docs, factory, [("pieces", kind)], keep, rows=1024, as_arrow=True).select(
         *[F.col(c) for c in keep], F.explode("pieces").alias("p")).select(*keep, "p.*")
 
 

@@ -14,8 +14,8 @@ A short text's measures scatter more: a deviation counts times the square
 root of the text's number of tokens, as that of a mean does.
 
 Words are tokenised one by one, each after a space, as the vocabularies never
-merge across white space; equal words are tokenised once a task (a bounded
-memo).  A band for each language and script holds the median and the scaled
+merge across white space; equal words are tokenised once (a memo bounded in
+bytes).  A band for each language and script holds the median and the scaled
 median absolute deviation over *all* documents that pass the base rules, where
 copies and near copies (texts of equal ``sketch``) count once; a text is
 rejected if a measure lies outside its band.  The bands are wide (``Bands``):
@@ -39,11 +39,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm.common import map_texts, shingle_hashes, stored, table
+from silverline.llm.common import Memo, distinct_words, kept, map_texts, shingle_hashes, stored, table
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-MEMO_WORDS = 200_000
+#: Estimated bytes of a worker's memo of words.
+MEMO_BYTES = 160 << 20
 
 BASE_FIELDS = [("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"),
                ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint")]
@@ -81,6 +82,9 @@ def repeated_words(ids: np.ndarray, window: int = WINDOW) -> int:
     n = len(ids) - window + 1
     if n < 2:
         return 0
+    ids = np.unique(ids, return_inverse=True)[1]
+    if int(ids.max()) + 1 == len(ids):
+        return 0  # no word comes twice
     rank, size = ids[:n].astype(np.int64), int(ids.max()) + 1
     for k in range(1, window):
         rank = rank * size + ids[k:k + n]
@@ -96,8 +100,9 @@ def repeated_words(ids: np.ndarray, window: int = WINDOW) -> int:
     return int((np.cumsum(marks)[:-1] > 0).sum())
 
 
-def base_counts(text: str | None, words: list[bytes]) -> tuple[int, int, int, int, int]:
-    if not words:
+def base_counts(text: str | None, words: np.ndarray) -> tuple[int, int, int, int, int]:
+    """The base counts of a text; ``words`` are numbers, equal for equal words."""
+    if not len(words):
         return 0, 0, sum(map((text or "").count, SYMBOLS)), 0, 0
     spaces = sum(map(text.count, " \t\n\x0b\x0c\r"))
     lines, dup = set(), 0
@@ -107,9 +112,7 @@ def base_counts(text: str | None, words: list[bytes]) -> tuple[int, int, int, in
                 dup += 1
             elif line.strip(" \t\n\x0b\x0c\r"):
                 lines.add(line)
-    seen: dict[bytes, int] = {}
-    ids = np.fromiter([seen.setdefault(w, len(seen)) for w in words], np.int64, len(words))
-    return len(words), len(text) - spaces, sum(map(text.count, SYMBOLS)), dup, repeated_words(ids)
+    return len(words), len(text) - spaces, sum(map(text.count, SYMBOLS)), dup, repeated_words(words)
 
 
 # ---- fertility --------------------------------------------------------------
@@ -131,7 +134,7 @@ def script_of(text: str | None) -> str:
 
 
 class Fertility:
-    """Token counts of words under the public vocabularies, with a bounded memo."""
+    """Token ids of words under the public vocabularies, with a memo bounded in bytes."""
 
     def __init__(self, piece_model: str, byte_ranks: str):
         import base64
@@ -146,30 +149,31 @@ class Fertility:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={})
-        self.memo: dict[bytes, tuple[bytes, int]] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo = {}
-            new = list(words)
-        texts = [w.decode() for w in new]
-        pieces = self.pieces.encode(texts, num_threads=1)
+        self.memo = Memo(MEMO_BYTES)
+
+    def _learn(self, words: list[str]) -> list[tuple[bytes, int]]:
+        pieces = self.pieces.encode(words, num_threads=1)
         own = self.bytes.encode_ordinary
-        for w, t, ids in zip(new, texts, pieces):
-            self.memo[w] = (np.array(ids, np.uint16).tobytes(), len(own(" " + t)))
+        return [(np.array(ids, np.uint16).tobytes(), len(own(" " + w)) if w else 0) for w, ids in zip(words, pieces)]
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all pieces in turn, where each word's begin and end, each word's byte tokens)."""
+        found = self.memo.lookup(words, self._learn)
+        cuts = np.cumsum([0, *[len(f[0]) // 2 for f in found]])
+        return np.frombuffer(b"".join([f[0] for f in found]), np.uint16), cuts, np.array([f[1] for f in found])
 
-    def measure(self, words: list[bytes], chars: int) -> tuple[int, float, float, float, float]:
-        """Pieces; characters per piece, per byte token, fallback share, relative entropy."""
-        if not words:
+    def measure(self, words: np.ndarray, chars: int, of) -> tuple[int, float, float, float, float]:
+        """Pieces; characters per piece, per byte token, fallback share, relative entropy of word numbers."""
+        if not len(words):
             return 0, 0.0, 0.0, 0.0, 0.0
-        found = [self.memo[w] for w in words]
-        ids = np.frombuffer(b"".join([f[0] for f in found]), np.uint16)
+        pieces, cuts, byte_tokens = of
+        first, many = cuts[words], cuts[words + 1] - cuts[words]
+        n = int(many.sum())
+        ids = pieces[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(n)]
         counts = np.bincount(ids, minlength=len(self.fallback))
         seen = counts[counts > 0]
-        n = len(ids)
         bits = float(np.log2(n) - (seen * np.log2(seen)).sum() / n)
-        return (n, chars / n, chars / max(1, sum([f[1] for f in found])), float(counts[self.fallback].sum()) / n,
+        return (n, chars / n, chars / max(1, int(byte_tokens[words].sum())), float(counts[self.fallback].sum()) / n,
                 bits / np.log2(n) if n > 1 else 1.0)
 
 
@@ -181,19 +185,21 @@ def measure_factory(piece_model: str | None, byte_ranks: str | None) -> Callable
     def factory():
         import public_tokenizers
 
-        fertility = Fertility(piece_model or public_tokenizers.path("piece_bpe_32k.model"),
-                              byte_ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        paths = (piece_model or public_tokenizers.path("piece_bpe_32k.model"),
+                 byte_ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        fertility = kept(("quality", *paths), lambda: Fertility(*paths))
         names = [n for n, _ in [*BASE_FIELDS, *FERTILITY_FIELDS, SKETCH_FIELD]]
 
         def run(texts):
+            distinct, numbers, before = distinct_words(texts)
+            of, blank = fertility.of(distinct), distinct.index("") if "" in distinct else -1
             rows = []
-            for at in range(0, len(texts), 32):
-                some = texts[at:at + 32]
-                words = [t.encode().split() if t else [] for t in some]
-                fertility.learn(set().union(*words))
-                for t, w in zip(some, words):
-                    base = base_counts(t, w)
-                    rows.append((*base, script_of(t), *fertility.measure(w, base[1]), sketch(w)))
+            for k, t in enumerate(texts.to_pylist()):
+                own = numbers[before[k]:before[k + 1]]
+                own = own[own != blank]
+                base = base_counts(t, own)
+                rows.append((*base, script_of(t), *fertility.measure(own, base[1], of),
+                             sketch(t.encode().split() if t else [])))
             return dict(zip(names, map(list, zip(*rows))))
         return run
 
@@ -209,7 +215,7 @@ def band_key(lang: str, script: str) -> Column:
 def measured(docs: DataFrame, keep: list[str], piece_model: str | None = None,
              byte_ranks: str | None = None) -> DataFrame:
     return map_texts(docs, measure_factory(piece_model, byte_ranks),
-                     [*BASE_FIELDS, *FERTILITY_FIELDS, SKETCH_FIELD], keep)
+                     [*BASE_FIELDS, *FERTILITY_FIELDS, SKETCH_FIELD], keep, rows=1024, as_arrow=True)
 
 
 def base_failed() -> Column:

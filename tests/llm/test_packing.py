@@ -3,10 +3,12 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from silverline.llm import packing as P
+from silverline.llm.common import Memo
 from silverline.llm.registry import QUERIES
 
 
@@ -48,11 +50,37 @@ def test_round_trip_of_the_whole_table(spark, tokenizer):
 def test_words_alone_give_the_ids_of_whole_texts(tokenizer):
     texts = ["It's  a\ttest's\r\nline\x1cwith\x85odd spaces\xa0", "naïve ΣΑΣ İx 中文 é ́x 12.5!?--",
              "<|endoftext|> <|startoftext|>x", " lead", "", None, "don't we'll I'M 'S"]
-    for t, ids in zip(texts, P.Words().encode(texts)):
+    for t, ids in zip(texts, P.Words().encode(pa.array(texts))):
         want = tokenizer.encode(t or "", add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == [*want, 2]
 
 
+def test_letter_words_by_the_other_engine(tokenizer):
+    """Random joins of tokens and letters: ids are those of the vocabulary's own merges."""
+    rng = np.random.default_rng(2)
+    tokens = [t.removesuffix("</w>") for t in tokenizer.get_vocab()]
+    tokens = sorted({t for t in tokens if t.isascii() and t.isalpha() and t.islower()}) + list("abcdefgéßñöüøłž")
+    words = ["".join(rng.choice(tokens, rng.integers(1, 6))) for _ in range(20_000)] + ["a" * 3000, "é" * 500]
+    letters = P.LetterWords(public_tokenizers.path("word_bpe_49k.json"))
+    assert letters.ends.sum() == sum(t.endswith("</w>") for t in tokenizer.get_vocab())  # every token is in use
+    for word, ids, want in zip(words, letters.ids(words), tokenizer.encode_batch(words, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, word
+
+
+def test_memo_is_bounded_in_bytes():
+    memo = Memo(100_000)
+    for k in range(300):
+        words = [f"w{k}-{i}" for i in range(100)] + ["often", "x" * 10_000 + str(k)]
+        assert memo.lookup(words, lambda new: [w.encode() for w in new]) == [w.encode() for w in words]
+        held = sum(Memo.ENTRY + 2 * len(w) for m in (memo.young, memo.old) for w in m)
+        assert held <= 101_000 and "often" in memo.young | memo.old
+
+
+def test_very_long_words_stay_out_of_memory(spark, docs_of, tokenizer):
+    texts = {i: f"{chr(97 + i) * 50_000} {'Zq9' * 4000}{i}" for i in range(8)}
+    check(P.packed(docs_of(list(texts.items()))).collect(), texts, tokenizer)
+
+
 def test_lowest_cost_with_room():
     """Each whole piece went to the cheapest sequence that had room for it then."""
     rng = np.random.default_rng(4)
