@@ -50,14 +50,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def chunks(batch: pa.RecordBatch, column: str, rows: int = CHUNK_ROWS) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of at most ``rows`` rows and ``CHUNK_BYTES`` of ``column`` (one row at least)."""
+def chunks(batch: pa.RecordBatch, column: str, rows: int = CHUNK_ROWS,
+           most_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``rows`` rows and ``most_bytes`` of ``column`` (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy()
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        end = int(np.searchsorted(ends, before + CHUNK_BYTES, side="right"))
+        end = int(np.searchsorted(ends, before + most_bytes, side="right"))
         end = min(max(end, at + 1), at + rows)
         yield batch.slice(at, end - at)
         at = min(end, batch.num_rows)

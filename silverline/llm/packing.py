@@ -39,67 +39,78 @@ GROUP_PIECES = 16_384
 #: Pieces of at most this many tokens may be cut to fill sequences.
 SMALL = 384
 #: Estimated bytes of a worker's memo of words.
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 64 << 20
 CLOSING = ".,;:!?)]}\"*#%&$"
 
 
-class LetterWords:
-    """Ids of lower-case words of letters alone, many at once, by a byte-pair engine over the same vocabulary.
+#: Stands for the end of a word; no letter has this byte.
+MARK = "\x01"
+
+
+def letter_ranks(path: str) -> dict[bytes, int]:
+    """Byte strings of the vocabulary's tokens (``MARK``: a word's end) that come out of their own text.
 
-    The engine joins any neighbours whose union is a token, in order of rank;
-    the vocabulary's merges name the two halves.  These agree where a token's
-    own text comes out as that token, so only such tokens are given to it.
+    A byte-pair engine over them joins any neighbours whose union is a token,
+    in order of rank; the vocabulary's merges name the two halves.  Where a
+    token's own text comes out as that token, these agree.
     """
+    import json
+
+    from tokenizers import models
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    suffix, vocab = model["end_of_word_suffix"], model["vocab"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    inner = models.BPE(vocab=vocab, merges=merges)
+    final = models.BPE(vocab=vocab, merges=merges, end_of_word_suffix=suffix)
+    # byte-level symbols: printable bytes are themselves, the others come after 255
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in printable} | {
+        chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+    ranks = {}
+    for token, number in vocab.items():
+        body = token.removesuffix(suffix)
+        if all(c in byte for c in body) and [t.id for t in (inner if body == token else final).tokenize(body)] == [number]:
+            ranks[bytes(byte[c] for c in body) + (b"" if body == token else MARK.encode())] = number
+    return ranks
 
-    MARK = b"\x01"  # stands for the end of a word; no letter has this byte
 
-    def __init__(self, path: str):
-        import json
+class LetterWords:
+    """Ids of lower-case words of letters alone, many at once."""
 
+    def __init__(self, ranks: dict[bytes, int]):
         import tiktoken
-        from tokenizers import models
-
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        suffix, vocab = model["end_of_word_suffix"], model["vocab"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        inner = models.BPE(vocab=vocab, merges=merges)
-        final = models.BPE(vocab=vocab, merges=merges, end_of_word_suffix=suffix)
-        # byte-level symbols: printable bytes are themselves, the others come after 255
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte = {chr(b): b for b in printable} | {
-            chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
-        ranks, self.ends = {}, np.zeros(max(vocab.values()) + 1, bool)
-        for token, number in vocab.items():
-            body = token.removesuffix(suffix)
-            if all(c in byte for c in body):
-                own = (inner if body == token else final).tokenize(body)
-                if [t.id for t in own] == [number]:
-                    ranks[bytes(byte[c] for c in body) + (b"" if body == token else self.MARK)] = number
-                    self.ends[number] = body != token
-        self.encode = tiktoken.Encoding("letters", pat_str=r"[^\x01]+\x01", mergeable_ranks=ranks,
+
+        self.ends = np.zeros(max(ranks.values()) + 1, bool)
+        self.ends[[n for b, n in ranks.items() if b.endswith(MARK.encode()) and len(b) > 1]] = True
+        self.encode = tiktoken.Encoding("letters", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
 
     def ids(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
-        found = np.array(self.encode("\x01".join(words) + "\x01"), "<u4")
+        found = np.array(self.encode(MARK.join(words) + MARK), "<u4")
         cuts = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
         raw = found.tobytes()
         return [raw[s:e] for s, e in zip([0, *cuts], cuts)]
 
 
+def vocabulary(path: str | None) -> str:
+    import public_tokenizers
+
+    return path or public_tokenizers.path("word_bpe_49k.json")
+
+
 class Words:
     """Token ids of texts as little-endian bytes, each distinct word tokenised once."""
 
-    def __init__(self, path: str | None = None, end: int = END):
-        import public_tokenizers
+    def __init__(self, path: str | None = None, end: int = END, ranks: dict[bytes, int] | None = None):
         from tokenizers import Tokenizer
 
-        path = path or public_tokenizers.path("word_bpe_49k.json")
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(vocabulary(path))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.letters = LetterWords(path)
+        self.letters = LetterWords(ranks or letter_ranks(vocabulary(path)))
         self.end = np.array([end], "<u4").tobytes()
         self.memo, self.parts = Memo(MEMO_BYTES), Memo(MEMO_BYTES // 8)
 
@@ -229,8 +240,10 @@ def pieces(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer
 
     ``ids`` (four bytes each) is null for pieces of more than ``SMALL`` tokens.
     """
+    ranks = docs.sparkSession.sparkContext.broadcast(letter_ranks(vocabulary(tokenizer)))  # as large as the vocabulary
+
     def factory():
-        words = kept(("packing", tokenizer), lambda: Words(tokenizer))
+        words = kept(("packing", tokenizer), lambda: Words(tokenizer, ranks=ranks.value))
 
         def run(texts):
             out = []

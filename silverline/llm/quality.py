@@ -44,7 +44,7 @@ from silverline.llm.common import Memo, distinct_words, kept, map_texts, shingle
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 #: Estimated bytes of a worker's memo of words.
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 96 << 20
 
 BASE_FIELDS = [("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"),
                ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint")]

@@ -61,7 +61,7 @@ def test_letter_words_by_the_other_engine(tokenizer):
     tokens = [t.removesuffix("</w>") for t in tokenizer.get_vocab()]
     tokens = sorted({t for t in tokens if t.isascii() and t.isalpha() and t.islower()}) + list("abcdefgéßñöüøłž")
     words = ["".join(rng.choice(tokens, rng.integers(1, 6))) for _ in range(20_000)] + ["a" * 3000, "é" * 500]
-    letters = P.LetterWords(public_tokenizers.path("word_bpe_49k.json"))
+    letters = P.LetterWords(P.letter_ranks(public_tokenizers.path("word_bpe_49k.json")))
     assert letters.ends.sum() == sum(t.endswith("</w>") for t in tokenizer.get_vocab())  # every token is in use
     for word, ids, want in zip(words, letters.ids(words), tokenizer.encode_batch(words, add_special_tokens=False)):
         assert np.frombuffer(ids, "<u4").tolist() == want.ids, word
