@@ -6,9 +6,9 @@ whole-stage codegen; there is no Python UDF anywhere in the library.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -40,8 +40,20 @@ NOT_DIAGNOSED = "Belum Ada Diagnosis Formal"
 NUMERIC_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 # A JSON number; a parsed document spells 120.0 as 120.
 JSON_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\z"
-# A date-time text starts with a four-digit year; a time of day alone is none.
-STARTS_WITH_YEAR = r"^\s*[0-9]{4}([-T ]|\s*\z)"
+# Layouts that are tried in order; the first whose shape a text has decides.
+# (shape, format; None: Spark's own ISO 8601 cast.)  A time of day alone is no
+# date; nine or ten digits are unix seconds, as in the reference's parser.
+DATE_LAYOUTS = (
+    (r"^\s*[0-9]{4}([-T ]|\s*\z)", None),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}\z", "y/M/d"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}[T ]", "y/M/d['T'][' ']H:m[:s][.SSSSSS][.SSS][XXX][X]"),
+    (r"^[0-9]{8}\z", "yyyyMMdd"),
+    (r"^[0-9]{8}T[0-9]{6}(Z|[+-][0-9]{2}:?[0-9]{2})?\z", "yyyyMMdd'T'HHmmss[XXX][XX]"),
+    (r"^[0-9]{14}\z", "yyyyMMddHHmmss"),
+    (r"^[0-9]{9,10}(\.[0-9]+)?\z", "unix"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}\z", "d MMM y"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]", "d MMM y H:m[:s][ XXX][ XX][XXX]"),
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -91,14 +103,38 @@ def json_text(text: Column | str, path: str) -> Column:
     return json_value(parse_json_doc(text), path, _col(text))
 
 
-def json_fields(text: Column | str, paths: Mapping[str, str]) -> list[Column]:
-    """Several X1 extractions from one column; each becomes a named column.
+def with_json_fields(df: DataFrame, text: str, paths: Mapping[str, str],
+                     numbers: Collection[str] = ()) -> DataFrame:
+    """X1 for many paths of one text column: ``df`` with a column for each name of ``paths``.
 
-    The parse expression is shared, and subexpression elimination evaluates
-    it once per row for all paths of one projection.
+    One parse a row.  The steps are projections of their own, so that none is
+    too large to be compiled: parse; read every path; go back to the text only
+    for what the parsed document can't tell (the spelling of a number, or a
+    valid document that does not parse as a whole); drop objects and arrays.
+    ``numbers`` are columns to be read as numbers anyway: their spelling does
+    not matter (``120.0`` may come as ``120``).  Values equal ``json_text``'s.
     """
-    doc = parse_json_doc(text)
-    return [json_value(doc, path, _col(text)).alias(name) for name, path in paths.items()]
+    raw, doc = F.col(text), F.col("_json_doc")
+    whole = F.json_object_keys(raw).isNotNull() | F.json_array_length(raw).isNotNull()
+    read = {name: f"_json_read_{i}" for i, name in enumerate(paths)}
+    value = {name: f"_json_value_{i}" for i, name in enumerate(paths)}
+    out = (df.withColumn("_json_doc", parse_json_doc(raw))
+           .withColumns({read[n]: F.try_variant_get("_json_doc", p, "string") for n, p in paths.items()})
+           .withColumn("_json_search", doc.isNull() & whole))
+    values, fields = {}, {}
+    for name, path in paths.items():
+        found, own = F.col(read[name]), F.col(value[name])
+        search = F.col("_json_search")
+        if name not in numbers:
+            search = search | F.substring(found, 1, 1).between("-", "9") & found.rlike(JSON_NUMBER)
+        values[value[name]] = F.when(search, F.coalesce(F.get_json_object(raw, path), found)).otherwise(found)
+        is_container = F.when(doc.isNull(), F.json_object_keys(own).isNotNull() | F.json_array_length(own).isNotNull()) \
+            .otherwise(F.try_variant_get(doc, path, "array<variant>").isNotNull()
+                       | F.try_variant_get(doc, path, "map<string,variant>").isNotNull())
+        fields[name] = F.when(own.isNull() | F.substring(own, 1, 1).isin("{", "[") & is_container, F.lit("")) \
+            .otherwise(own)
+    out = out.withColumns(values)
+    return out.select(*[F.col(c) for c in df.columns], *[f.alias(n) for n, f in fields.items()])
 
 
 def to_date_of(ts: Column | str) -> Column:
@@ -107,13 +143,18 @@ def to_date_of(ts: Column | str) -> Column:
 
 
 def parse_ts_or_null(text: Column | str) -> Column:
-    """Lenient ISO-8601 parse (offset honoured) or NULL.
+    """Lenient parse (offset honoured, else UTC) or NULL.
 
-    Spark's own cast completes a time of day with the current date; a text
-    must start with a year.
+    ISO 8601 with separators comes first; the other layouts of
+    ``DATE_LAYOUTS`` are tried for texts of their shape.
     """
     c = _col(text)
-    return F.when(c.rlike(STARTS_WITH_YEAR), c.try_cast("timestamp"))
+    (iso, _), *others = DATE_LAYOUTS
+    parsed = F.when(c.rlike(iso), c.try_cast("timestamp"))
+    for shape, layout in others:
+        parsed = parsed.when(c.rlike(shape), F.timestamp_seconds(c.try_cast("decimal(20,6)")) if layout == "unix"
+                             else F.try_to_timestamp(c, F.lit(layout)))
+    return parsed
 
 
 def fhir_date(text: Column | str, report_tz: str = "UTC") -> Column:

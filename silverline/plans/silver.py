@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.functions.scalars import (fhir_date, json_fields, ptm_category,
-                                          to_date_of, to_double_or_null)
+from silverline.functions.scalars import (fhir_date, ptm_category, to_date_of,
+                                          to_double_or_null, with_json_fields)
 from silverline.operators.cdc import (LINK_KEYS, current_resources, drop_tombstones, final_links,
                                       final_metadata, is_deleted, live)
 from silverline.operators.links import ENCOUNTER_SUBJECT
@@ -61,51 +61,41 @@ def resource(b: Bronze, winners: DataFrame | None = None) -> DataFrame:
 
 def organizations(b: Bronze, current: DataFrame | None = None) -> DataFrame:
     """Live facilities and their names."""
-    c = _current(b, "Organization", current)
-    return c.select(F.col("res_id").alias("organization_id"),
-                    *json_fields("res_text_vc", {"nama_puskesmas": "$.name"}),
-                    "res_updated")
+    c = with_json_fields(_current(b, "Organization", current), "res_text_vc", {"nama_puskesmas": "$.name"})
+    return c.select(F.col("res_id").alias("organization_id"), "nama_puskesmas", "res_updated")
 
 
 def encounters(b: Bronze, current: DataFrame | None = None) -> DataFrame:
     """Live visits."""
-    c = _current(b, "Encounter", current)
+    c = with_json_fields(_current(b, "Encounter", current), "res_text_vc", {
+        "status": "$.status", "class_code": "$.class.code", "patient_ref": "$.subject.reference"})
     return c.select(
         F.col("res_id").alias("encounter_id"),
         to_date_of("res_published").alias("tanggal_kunjungan"),
-        "res_published", "res_updated",
-        *json_fields("res_text_vc", {"status": "$.status", "class_code": "$.class.code",
-                                     "patient_ref": "$.subject.reference"}))
+        "res_published", "res_updated", "status", "class_code", "patient_ref")
 
 
 def conditions(b: Bronze, current: DataFrame | None = None) -> DataFrame:
     """Live diagnoses with the priority-disease class of their ICD-10 code."""
-    c = _current(b, "Condition", current)
-    extracted = c.select(
+    c = with_json_fields(_current(b, "Condition", current), "res_text_vc", {
+        "patient_ref": "$.subject.reference", "icd10_code": "$.code.coding[0].code",
+        "diagnosis_name": "$.code.coding[0].display", "clinical_status": "$.clinicalStatus.coding[0].code"})
+    return c.select(
         F.col("res_id").alias("condition_id"),
         to_date_of("res_published").alias("tanggal_diagnosis"),
-        "res_published", "res_updated",
-        *json_fields("res_text_vc", {"patient_ref": "$.subject.reference",
-                                     "icd10_code": "$.code.coding[0].code",
-                                     "diagnosis_name": "$.code.coding[0].display",
-                                     "clinical_status": "$.clinicalStatus.coding[0].code"}))
-    return extracted.withColumn("kategori_ptm", ptm_category("icd10_code"))
+        "res_published", "res_updated", "patient_ref", "icd10_code", "diagnosis_name", "clinical_status",
+        ptm_category("icd10_code").alias("kategori_ptm"))
 
 
 def observations(b: Bronze, current: DataFrame | None = None) -> DataFrame:
     """Live measurements; bad dates become 1970-01-01, bad numbers NULL."""
-    c = _current(b, "Observation", current)
-    extracted = c.select(
+    c = with_json_fields(_current(b, "Observation", current), "res_text_vc", {
+        "_effective": "$.effectiveDateTime", "patient_ref": "$.subject.reference",
+        "encounter_ref": "$.encounter.reference", "loinc_code": "$.code.coding[0].code",
+        "nama_pengukuran": "$.code.coding[0].display", "_value": "$.valueQuantity.value",
+        "satuan": "$.valueQuantity.unit"}, numbers=("_value",))
+    return c.select(
         F.col("res_id").alias("observation_id"), "res_updated",
-        *json_fields("res_text_vc", {"_effective": "$.effectiveDateTime",
-                                     "patient_ref": "$.subject.reference",
-                                     "encounter_ref": "$.encounter.reference",
-                                     "loinc_code": "$.code.coding[0].code",
-                                     "nama_pengukuran": "$.code.coding[0].display",
-                                     "_value": "$.valueQuantity.value",
-                                     "satuan": "$.valueQuantity.unit"}))
-    return extracted.select(
-        "observation_id", "res_updated",
         fhir_date("_effective").alias("tanggal_periksa"),
         "patient_ref", "encounter_ref", "loinc_code", "nama_pengukuran",
         to_double_or_null("_value").alias("nilai"), "satuan")
@@ -113,16 +103,13 @@ def observations(b: Bronze, current: DataFrame | None = None) -> DataFrame:
 
 def careplans(b: Bronze, current: DataFrame | None = None) -> DataFrame:
     """Live care plans."""
-    c = _current(b, "CarePlan", current)
+    c = with_json_fields(_current(b, "CarePlan", current), "res_text_vc", {
+        "status": "$.status", "patient_ref": "$.subject.reference", "encounter_ref": "$.encounter.reference",
+        "kategori_careplan": "$.category[0].coding[0].display", "deskripsi": "$.description"})
     return c.select(
         F.col("res_id").alias("careplan_id"),
         to_date_of("res_published").alias("tanggal"),
-        "res_published", "res_updated",
-        *json_fields("res_text_vc", {"status": "$.status",
-                                     "patient_ref": "$.subject.reference",
-                                     "encounter_ref": "$.encounter.reference",
-                                     "kategori_careplan": "$.category[0].coding[0].display",
-                                     "deskripsi": "$.description"}))
+        "res_published", "res_updated", "status", "patient_ref", "encounter_ref", "kategori_careplan", "deskripsi")
 
 
 def _link_winners(b: Bronze, link_winners: DataFrame | None) -> DataFrame:

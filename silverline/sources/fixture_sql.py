@@ -58,6 +58,11 @@ base AS (
            || CASE WHEN event_id % 47 = 0 THEN ',"note":"a","note":"b"' ELSE '' END
            || CASE WHEN event_type = 'signup' THEN ''
                    WHEN event_id % 59 = 0 THEN ',"effectiveDateTime":"10:00:00"'
+                   WHEN event_id % 61 = 0 THEN ',"effectiveDateTime":"'
+                        || CASE (event_id // 61) % 5
+                             WHEN 0 THEN strftime(ts, '%Y/%m/%d') WHEN 1 THEN strftime(ts, '%Y%m%d')
+                             WHEN 2 THEN strftime(ts, '%Y%m%dT%H%M%SZ') WHEN 3 THEN strftime(ts, '%d %b %Y')
+                             ELSE CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) END || '"'
                    ELSE ',"effectiveDateTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+07:00"' END
            || ',"code":{"coding":[{"code":"'
            || CASE WHEN event_type = 'purchase' THEN '29463-7' ELSE '8480-6' END

@@ -48,6 +48,17 @@ def load_test_tables(spark: SparkSession, sf_dir: str, names=("customer", "suppl
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
+def _other_layout(which: Column) -> Column:
+    """The time ``ts`` in one of five layouts without dashes (no offset: UTC)."""
+    layouts = [F.date_format("ts", "yyyy/MM/dd"), F.date_format("ts", "yyyyMMdd"),
+               F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"), F.date_format("ts", "dd MMM yyyy"),
+               _s(F.unix_seconds(F.col("ts").cast("timestamp")))]
+    out = layouts[0]
+    for k, layout in enumerate(layouts[1:], 1):
+        out = F.when(which % 5 == k, layout).otherwise(out)
+    return out
+
+
 def base_resources(t: dict) -> DataFrame:
     """One row per resource: res_id, res_type, published, body."""
     customer, supplier, orders, events = t["customer"], t["supplier"], t["orders"], t["events"]
@@ -105,6 +116,7 @@ def base_resources(t: dict) -> DataFrame:
             F.when(eid % 47 == 0, _lit(',"note":"a","note":"b"')).otherwise(_lit("")),
             F.when(etype == "signup", _lit(""))
              .when(eid % 59 == 0, _lit(',"effectiveDateTime":"10:00:00"'))
+             .when(eid % 61 == 0, F.concat(_lit(',"effectiveDateTime":"'), _other_layout(F.floor(eid / 61)), _lit('"')))
              .otherwise(F.concat(
                 _lit(',"effectiveDateTime":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
                 _lit('+07:00"'))),

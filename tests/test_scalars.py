@@ -26,11 +26,54 @@ def test_json_text_string_that_looks_like_json_is_kept(spark):
     assert got == ["{not an object", "[x]"]
 
 
-def test_json_fields_one_parse_many_paths(spark):
-    df = spark.createDataFrame([('{"code":{"coding":[{"code":"I10","display":"HT"}]}}',)], "t string")
-    row = df.select(*X.json_fields("t", {"c": "$.code.coding[0].code", "d": "$.code.coding[0].display",
-                                         "m": "$.code.coding[1].code"})).first()
-    assert (row.c, row.d, row.m) == ("I10", "HT", "")
+PATHS = {"c": "$.code.coding[0].code", "m": "$.code.coding[1].code", "v": "$.v", "o": "$.code", "s": "$.s"}
+
+
+def test_with_json_fields_equals_one_path_at_a_time(spark):
+    docs = ['{"code":{"coding":[{"code":"I10"}]}}', '{"code":{"coding":{"code":"x"}},"v":120.0}', '{"v":1.50}',
+            '{"v":"120.0","s":"{not an object"}', '{"v":"[1]","s":"[x]","a":1,"a":2}', '{"v":{"x":1},"s":[1]}',
+            '{"v":[1],"s":{"b":2},"a":1,"a":2}', '{"v":null,"s":true}', '{"v":1,', "not json", "", "[1,2]", "7", None,
+            '{"s":"{\\"really\\":1}"}', '{"s":"-5","v":-1e3}', '{"code":"plain"}']
+    df = spark.createDataFrame([(i, d, "kept") for i, d in enumerate(docs)], "id int, t string, _json_doc_ string")
+    got = {r["id"]: r for r in X.with_json_fields(df, "t", PATHS).collect()}
+    one = {r["id"]: r for r in df.select("id", *[X.json_text("t", p).alias(n) for n, p in PATHS.items()]).collect()}
+    for i in got:
+        assert {n: got[i][n] for n in PATHS} == {n: one[i][n] for n in PATHS}, docs[i]
+    assert got[1]["v"] == "120.0" and got[2]["v"] == "1.5" and got[3]["s"] == "{not an object"
+    assert (got[5]["v"], got[5]["s"], got[6]["v"], got[6]["s"], got[0]["o"]) == ("", "", "", "", "")
+    assert set(X.with_json_fields(df, "t", {"c": "$.v"}).columns) == {"id", "t", "_json_doc_", "c"}
+
+
+def test_with_json_fields_of_very_large_and_repeated_keys(spark):
+    df = spark.range(3).select(F.when(F.col("id") == 0, F.concat(
+        F.lit('{"text":"'), F.repeat(F.lit("x"), 30_000_000), F.lit('","s":"ok","v":{"a":1}}')))
+        .when(F.col("id") == 1, F.lit('{"s":"first","s":"second","v":3}'))
+        .otherwise(F.lit('{"v":1,"x":2,"x":3,"s":"ok"}')).alias("t"))
+    got = X.with_json_fields(df, "t", {"s": "$.s", "v": "$.v"}).select("s", "v").collect()
+    assert [(r.s, r.v) for r in got] == [("ok", ""), ("first", "3"), ("ok", "1")]
+
+
+def test_number_columns_may_change_their_spelling_only(spark):
+    df = spark.createDataFrame([('{"v":120.0}',), ('{"v":"1.50"}',), ('{"v":7}',), ('{"v":{"a":1}}',)], "t string")
+    got = X.with_json_fields(df, "t", {"v": "$.v"}, numbers=("v",)).select(X.to_double_or_null("v").alias("n")).collect()
+    assert [r.n for r in got] == [120.0, 1.5, 7.0, None]
+
+
+def test_body_is_parsed_once(spark):
+    df = spark.createDataFrame([("{}",)], "t string")
+    plan = X.with_json_fields(df, "t", PATHS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_date_layouts(spark):
+    july = dt.date(2026, 7, 3)
+    rows = [("2026/07/03",), ("2026/7/3 23:30",), ("20260703",), ("20260703T090900Z",), ("20260703T003000+0700",),
+            ("20260703101500",), ("03 Jul 2026",), ("3 Jul 2026 10:00:05",), ("1783040000",), ("999999999",),
+            ("20261399",), ("2026/13/01",), ("12345678901234567890",), ("99 Foo 2026",), ("1 2 3",)]
+    got = _one(spark, X.fhir_date("t"), rows, "t string")
+    epoch = dt.date(1970, 1, 1)
+    assert got == [july, july, july, july, dt.date(2026, 7, 2), july, july, july, july, dt.date(2001, 9, 9),
+                   epoch, epoch, epoch, epoch, epoch]
 
 
 def test_fhir_date_takes_utc_day_and_epoch_fallback(spark):
