@@ -33,7 +33,7 @@ from silverline.session import scratch_dir
 from silverline.sinks.tables import (append_table, current_version, list_names,
                                      partition_values, touch, write_table)
 from silverline.sources.bronze import Bronze
-from silverline.sources.fixtures import batch_view
+from silverline.sources.fixtures import batch_view, source_state
 
 DELETED = "_deleted"
 # Every write job lands in its own ``_write_id=<uuid>`` folder of the table
@@ -372,9 +372,9 @@ def two_batch_refresh(spark: SparkSession, bronze: Bronze, source: str, name: st
                       propagate_deletes: bool = False) -> DataFrame:
     """Model ``name`` after two scheduled runs over every type and link (``refresh_all``).
 
-    One pair of runs a session and source serves all models.
+    One pair of runs serves all models, for a session and the files of ``source`` as they are.
     """
-    key = (spark.sparkContext.applicationId, source, propagate_deletes)
+    key = (spark.sparkContext.applicationId, source_state(spark, source), propagate_deletes)
     if key not in _REFRESHED:
         root = scratch_dir(spark, "two-batch-refresh")
         refresh_all(spark, batch_view(bronze, 1), root, batch_id=1, propagate_deletes=propagate_deletes)

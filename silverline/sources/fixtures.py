@@ -59,6 +59,17 @@ def _other_layout(which: Column) -> Column:
     return out
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the test tables' files: what was derived from them holds while this is the same."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for name in ("customer", "supplier", "orders", "lineitem", "events"):
+        root = path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+        out += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(out))
+
+
 def base_resources(t: dict) -> DataFrame:
     """One row per resource: res_id, res_type, published, body."""
     customer, supplier, orders, events = t["customer"], t["supplier"], t["orders"], t["events"]
