@@ -124,6 +124,16 @@ def partition_values(spark: SparkSession, folder: str, column: str) -> list[str]
                   if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file (its name carries the information)."""
     fs, p = _fs(spark, path)
