@@ -6,11 +6,13 @@ decoding adds up each bit's logistic loss against every codeword, weighted by
 how well the bit does on that language in training, and the nearest codeword
 wins.  A text whose two nearest codewords are close is flagged ``ambiguous``.
 
-Training: at most ``PER_LANGUAGE`` labelled rows of each of at most
-``LANGUAGES`` languages, ``SAMPLE`` in all (those of least id hash: the
-bounded, documented sample), of which each gives at most ``TRAIN_BYTES`` bytes from its middle.
+Training: at most ``PER_LANGUAGE`` labelled ids of each language, ``SAMPLE`` in
+all (those of least id hash: the bounded, documented sample; every language has
+one at least), of which each gives one row (an id's rows: the least text) and at
+most ``TRAIN_BYTES`` bytes from its middle.  A language's ids are cut by a
+threshold of the hash before they are ranked, so no task ranks a whole language.
 Their trigram counts are taken in tasks; the driver fits the classifiers on
-the sample's sparse counts.  Prediction reads whole texts, in one pass without
+the sample's sparse counts, a block of rows at a time.  Prediction reads whole texts, in one pass without
 a shuffle; only the text is an input.
 
 Cases: null text, or one without a letter: ``und`` with score 0; no labelled
@@ -28,12 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from silverline.llm.common import crc_mod, map_texts, table
+from silverline.llm.common import crc_mod, map_texts, stored, table
 
 PER_LANGUAGE = 400
-LANGUAGES = 200
 SAMPLE = 3200
 TRAIN_BYTES = 4000
+#: Rows of the sample that are held as dense vectors at once.
+BLOCK_ROWS = 1024
 BUCKET_BITS = 14
 UNKNOWN = "und"
 #: Least relative gap of the two smallest decoding losses of a clear text.
@@ -82,8 +85,8 @@ class Model:
 
     def losses(self, margins: np.ndarray) -> np.ndarray:
         """Weighted logistic loss of every codeword for each row of margins."""
-        loss = np.logaddexp(0.0, -margins[:, None, :] * self.code[None, :, :])
-        return (loss * self.trust[None, :, :]).sum(axis=2)
+        plus, minus = self.trust * (self.code > 0), self.trust * (self.code < 0)
+        return np.logaddexp(0.0, -margins) @ plus.T + np.logaddexp(0.0, margins) @ minus.T
 
 
 def vector(counts: np.ndarray) -> np.ndarray:
@@ -99,21 +102,32 @@ def fit(sample: list[tuple[str, np.ndarray, np.ndarray]], steps: int = 150, l2:
         return None
     code = codewords(len(languages))
     label = np.array([languages.index(s[0]) for s in sample])
-    x = np.zeros((len(sample), 1 << BUCKET_BITS), np.float32)
-    for i, (_, ids, values) in enumerate(sample):
-        x[i, ids] = values
     y = code[label].astype(np.float32)
-    w = np.zeros((x.shape[1], code.shape[1]), np.float32)
+    w = np.zeros((1 << BUCKET_BITS, code.shape[1]), np.float32)
     b = np.zeros(code.shape[1], np.float32)
-    share = 1.0 / np.bincount(label)[label] / len(languages)  # languages count alike
+    share = (1.0 / np.bincount(label)[label] / len(languages)).astype(np.float32)  # languages count alike
+
+    def blocks():
+        for at in range(0, len(sample), BLOCK_ROWS):
+            rows = sample[at:at + BLOCK_ROWS]
+            x = np.zeros((len(rows), 1 << BUCKET_BITS), np.float32)
+            for i, (_, ids, values) in enumerate(rows):
+                x[i, ids] = values
+            yield x, slice(at, at + BLOCK_ROWS)
+
+    kept = list(blocks()) if len(sample) <= 4 * BLOCK_ROWS else None
     vw, vb, rate = np.zeros_like(w), np.zeros_like(b), 20.0
     for _ in range(steps):  # accelerated gradient descent
-        m = np.clip(y * (x @ w + b), -30, 30)
-        g = (-y / (1 + np.exp(m))) * share[:, None].astype(np.float32)
-        vw = 0.9 * vw - rate * 0.1 * (x.T @ g + l2 * w)
-        vb = 0.9 * vb - rate * 0.1 * g.sum(axis=0)
+        gw, gb = l2 * w, np.zeros_like(b)
+        for x, at in kept or blocks():
+            m = np.clip(y[at] * (x @ w + b), -30, 30)
+            g = (-y[at] / (1 + np.exp(m))) * share[at, None]
+            gw += x.T @ g
+            gb += g.sum(axis=0)
+        vw = 0.9 * vw - rate * 0.1 * gw
+        vb = 0.9 * vb - rate * 0.1 * gb
         w, b = w + vw, b + vb
-    right = (y * (x @ w + b) > 0).astype(float)
+    right = np.concatenate([(y[at] * (x @ w + b) > 0).astype(float) for x, at in kept or blocks()])
     trust = np.stack([right[label == k].mean(axis=0) for k in range(len(languages))]) + 1e-3
     return Model(languages, code, w, b, trust / trust.sum(axis=1, keepdims=True))
 
@@ -143,20 +157,28 @@ def predict(model: Model | None, texts: list) -> list[tuple[str, float, bool]]:
     return out
 
 
-def train(labelled: DataFrame) -> Model | None:
+def drawn_ids(rows: DataFrame, per_language: int, sample: int) -> DataFrame:
+    """``label, id`` of the ids of least hash of each language (rows ``label, id``)."""
+    ids = rows.select("label", "id").distinct()
+    counts = stored(ids.groupBy("label").agg(F.count(F.lit(1)).alias("ids")), "langid-counts")
+    share = max(1, min(per_language, sample // max(1, counts.count())))
+    # about twice the share is below the cut: far fewer than the share never are
+    cut = F.when(F.col("ids") <= 2 * share + 50, F.lit(2 ** 63 - 1)).otherwise(
+        (F.lit(2.0 ** 64) * ((2 * share + 50) / F.col("ids")) - F.lit(2.0 ** 63)).cast("long"))
+    few = (ids.join(counts.select("label", cut.alias("cut")), "label").withColumn("draw", F.xxhash64("id"))
+           .where("draw <= cut"))
+    per = W.partitionBy("label").orderBy("draw", "id")
+    return few.withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= share).select("label", "id")
+
+
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> Model | None:
     """Fit on rows ``doc_id, text, lang`` (null text or lang: left out)."""
-    rows = labelled.where("text is not null and lang is not null").select(
-        "text", F.col("lang").cast("string").alias("label"),
-        F.xxhash64(F.col("doc_id").cast("string")).alias("draw"), F.col("doc_id").cast("string").alias("id"))
-    names = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
-    share = max(1, min(PER_LANGUAGE, SAMPLE // max(1, names.count())))
-    narrow = rows.select("label", "draw", "id").join(F.broadcast(names.select("label")), "label", "left_semi")
-    per = W.partitionBy("label").orderBy("draw", "id")  # a rank limit: map-side first
-    drawn = narrow.withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= share)
-    last = drawn.groupBy("label").agg(F.max("draw").alias("last"), F.max("rank").alias("n"))
     start = F.greatest(F.lit(1), F.floor((F.length("text") - TRAIN_BYTES) / 2).cast("int"))
-    sample = rows.join(F.broadcast(last), "label").where("draw <= last").select(
-        "label", F.substring("text", start, F.lit(TRAIN_BYTES)).alias("text"))
+    rows = labelled.where("text is not null and lang is not null").select(
+        F.col("lang").cast("string").alias("label"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.substring("text", start, F.lit(TRAIN_BYTES)).alias("text"))
+    chosen = stored(drawn_ids(rows, per_language, sample), "langid-drawn")  # a bounded number of ids
+    sample = rows.join(F.broadcast(chosen), ["label", "id"]).groupBy("label", "id").agg(F.min("text").alias("text"))
 
     def factory():
         def run(texts):

@@ -7,8 +7,10 @@ noisy-or, 1 - prod(1 - p).  Training sees document labels only and fits the
 sentence weights by the likelihood of the noisy-or; the fitted weights then
 locate the offending sentences.
 
-Training: at most ``PER_CLASS`` labelled documents of each label, those of
-least id hash (the bounded, documented sample), whole texts.  Tasks hash the
+Training: at most ``PER_CLASS`` labelled ids of each label, those of least id
+hash, one row each (an id's rows: the least text), whole texts; of a text with
+more than ``TRAIN_SENTENCES`` sentences so many, evenly spaced (the bounded,
+documented sample).  Tasks hash the
 words; the driver runs gradient ascent on the sample's sparse bags.  Features
 without clear evidence in the document labels (``EVIDENCE``) have no weight.  Scoring
 reads whole texts in one pass without a shuffle; only the text is an input.
@@ -32,6 +34,9 @@ from pyspark.sql import functions as F
 from silverline.llm.common import crc_mod, map_texts, table
 
 PER_CLASS = 1500
+TRAIN_SENTENCES = 400
+#: Words of the memo, and bytes of a word that is kept in it.
+MEMO_WORDS, LONG_WORD = 200_000, 128
 BUCKET_BITS = 18
 PREFIXES = (5, 6, 7, 8)
 #: Least excess of a feature among toxic training documents, in standard deviations.
@@ -77,21 +82,25 @@ class Hasher:
         for w in words:
             b = memo.get(w)
             if b is None:
-                if len(memo) > 200_000:
-                    memo.clear()
                 b = features(w)
                 if self.weights is not None:
                     b = tuple(f for f in b if self.weights[f])
-                memo[w] = b
+                if len(w) <= LONG_WORD:
+                    if len(memo) > MEMO_WORDS:
+                        memo.clear()
+                    memo[w] = b
             if b:
                 out.update(b)
         return sorted(out)
 
 
-def bag(text: str | None, hasher: Hasher) -> tuple[list[int], list[int]]:
-    """Feature buckets of all sentences in turn, and the number in each sentence."""
+def bag(text: str | None, hasher: Hasher, most: int | None = None) -> tuple[list[int], list[int]]:
+    """Feature buckets of all sentences (or ``most``, evenly spaced) in turn, and the number in each sentence."""
     ids, sizes = [], []
-    for s, e in sentences(text):
+    spans = sentences(text)
+    if most is not None and len(spans) > most:
+        spans = [spans[k * len(spans) // most] for k in range(most)]
+    for s, e in spans:
         found = hasher(_NOT_WORD.sub(b" ", (text or "")[s:e].lower().encode()).split())
         ids += found
         sizes.append(len(found))
@@ -126,6 +135,25 @@ def evidence(doc: np.ndarray, feature: np.ndarray, labels: np.ndarray) -> np.nda
     return toxic - seen * rate > EVIDENCE * np.sqrt(np.maximum(seen, 1) * rate * (1 - rate))
 
 
+def slope(w: np.ndarray, ids: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.ndarray,
+          share: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
+    """Weighted noisy-or log-likelihood (less the penalty) of weights, the bias last, and its gradient.
+
+    ``ids`` are the features in turn, of the ``sentence`` each is in; ``doc`` is each sentence's bag.
+    """
+    z = np.bincount(sentence, w[ids], len(doc)) + w[-1]
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    clean = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(labels))  # log P(no toxic sentence)
+    clean = np.minimum(clean, -1e-9)
+    value = (share * np.where(labels == 1, np.log(-np.expm1(clean)), clean)).sum() - l2 / 2 * (w[:-1] ** 2).sum()
+    odds = np.exp(clean) / -np.expm1(clean)
+    pull = np.where(labels == 1, odds, -1.0) * share  # d value / d(-clean)
+    gz = pull[doc] * p
+    grad = np.append(np.bincount(ids, gz[sentence], len(w) - 1), gz.sum())
+    grad[:-1] -= l2 * w[:-1]
+    return value, grad
+
+
 def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], steps: int = 200, l2: float = 2e-5,
         rate: float = 0.15) -> Model:
     """Maximise the bags' noisy-or likelihood (label, ids, sizes); Adam steps."""
@@ -145,14 +173,7 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], steps: int = 200, l2: fl
     share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        z = np.bincount(sentence, w[ids], len(sizes)) + w[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(bags))  # log P(no toxic sentence)
-        odds = np.exp(np.minimum(clean, -1e-9)) / -np.expm1(np.minimum(clean, -1e-9))
-        pull = np.where(labels == 1, odds, -1.0) * share  # d log-likelihood / d(-clean)
-        gz = pull[doc] * p
-        grad = np.append(np.bincount(ids, gz[sentence], len(names)), gz.sum())
-        grad[:-1] -= l2 * w[:-1]
+        _, grad = slope(w, ids, sentence, doc, labels, share, l2)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-6)
     weights = np.zeros(1 << BUCKET_BITS)
@@ -166,13 +187,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         (F.max("toxic") > 0).cast("int").alias("toxic"))
     order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]  # each task keeps its least PER_CLASS
     drawn = [known.where(F.col("toxic") == y).orderBy(*order).limit(PER_CLASS) for y in (0, 1)]
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+    rows = (docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
 
     def factory():
         hasher = Hasher()
 
         def run(texts):
-            out = [bag(t, hasher) for t in texts]
+            out = [bag(t, hasher, TRAIN_SENTENCES) for t in texts]
             return {"ids": [o[0] for o in out], "sizes": [o[1] for o in out]}
         return run
 

@@ -53,3 +53,35 @@ def test_nulls_letters_long_texts_and_empty(spark, docs_of):
     assert L.classify(docs.limit(0), model, ["doc_id"]).count() == 0
     one = L.train(docs.where("lang = 'en'"))
     assert L.predict(one, [de])[0][0] == "en"
+
+
+def test_repeated_rows_and_a_hot_language_stay_in_the_sample(spark, docs_of, monkeypatch):
+    rows = [(i, f"word{i} alpha beta", "en") for i in range(3000)] + [(9000 + i, "das ist gut", "de") for i in range(5)]
+    docs = docs_of(rows).unionByName(docs_of([(7, "word7 alpha beta", "en"), (9001, "das ist", "de")]).crossJoin(
+        spark.range(25_000)).drop("id"))
+    seen = []
+    monkeypatch.setattr(L, "fit", lambda sample: seen.extend(sample))
+    L.train(docs, per_language=40, sample=100)
+    assert sum(s[0] == "en" for s in seen) == 40 and sum(s[0] == "de" for s in seen) == 5
+    narrow = docs.selectExpr("lang AS label", "CAST(doc_id AS STRING) AS id")
+    drawn = {r["id"] for r in L.drawn_ids(narrow, 40, 100).collect() if r["label"] == "en"}
+    order = spark.createDataFrame([(str(i),) for i in range(3000)], "id string").selectExpr("id", "xxhash64(id) AS h")
+    assert drawn == {r["id"] for r in order.orderBy("h", "id").limit(40).collect()}
+
+
+def test_every_language_can_be_predicted(spark, docs_of):
+    """More languages than any cap: each is learned and told."""
+    texts = {f"l{i}": " ".join(chr(0x4E00 + 7 * i + j % 5) * 3 for j in range(12)) for i in range(230)}
+    docs = docs_of([(k, t, lang) for k, (lang, t) in enumerate(sorted(texts.items()) * 2)])
+    model = L.train(docs, sample=300)
+    assert sorted(model.languages) == sorted(texts)
+    got = L.predict(model, list(texts.values()))
+    assert np.mean([g[0] == lang for g, lang in zip(got, texts)]) > 0.95
+
+
+def test_losses_bit_by_bit():
+    rng = np.random.default_rng(3)
+    code, trust, margins = L.codewords(9), rng.random((9, L.codewords(9).shape[1])), rng.normal(0, 2, (5, L.codewords(9).shape[1]))
+    m = L.Model(list("abcdefghi"), code, np.zeros((1, 1)), np.zeros(1), trust)
+    want = [[sum(t * np.log1p(np.exp(-x * c)) for t, x, c in zip(trust[k], row, code[k])) for k in range(9)] for row in margins]
+    assert np.allclose(m.losses(margins), want)
