@@ -1,0 +1,115 @@
+"""Kept winners: exact under late, equal, replayed and null-keyed rows; untouched buckets stay; lost drivers."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from silverline.operators.cdc import final_links, final_metadata
+from silverline.plans import charts, kept, silver
+from silverline.session import scratch_dir
+from silverline.sinks.tables import touch
+from silverline.sources.bronze import SCHEMAS, Bronze
+
+T0, EPOCH = dt.datetime(2024, 1, 1), dt.datetime(1970, 1, 1)
+
+
+def meta(rid, cdc, tomb=0, kind="Encounter", days=0, deleted=False):
+    at = T0 + dt.timedelta(days=days)
+    return (rid, f"f{rid}", kind, cdc, at, at, at if deleted else EPOCH, cdc, int(tomb))
+
+
+def link(src, target, cdc, tomb=0):
+    return ("Encounter.subject", "Encounter", src, "Patient", target, T0, cdc, tomb)
+
+
+def land(spark, root, table, rows):
+    spark.createDataFrame(rows, SCHEMAS[table]).coalesce(1).write.mode("append").parquet(f"{root}/{table}")
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.drop(kept.BUCKET).collect()), key=str)
+
+
+def files(folder):
+    return {os.path.join(d, p): os.stat(os.path.join(d, p)).st_mtime_ns for d, _, names in os.walk(folder) for p in names
+            if p.endswith(".parquet")}
+
+
+def test_winners_equal_final_after_each_batch(spark):
+    rng, root = random.Random(3), scratch_dir(spark, "kept-test")
+    k, l = kept.Kept(f"{root}/r", "hfj_resource", 4), kept.Kept(f"{root}/l", "hfj_res_link", 4)
+    total = f"{root}/counts"
+    for batch in range(3):
+        land(spark, f"{root}/b", "hfj_resource", [
+            meta(rng.randrange(30), rng.randrange(1, 6), rng.randrange(4) == 0, rng.choice(["Encounter", "Patient"]),
+                 rng.randrange(3), rng.randrange(5) == 0) for _ in range(40)] + [meta(99, 1)] * 3)
+        land(spark, f"{root}/b", "hfj_res_link", [
+            link(rng.randrange(8), rng.choice([None, 1, 2]), rng.randrange(1, 4), rng.randrange(2)) for _ in range(30)])
+        folders, anew = k.fold_new(spark, f"{root}/b")
+        l.fold_new(spark, f"{root}/b")
+        assert anew == (batch == 0) and len(folders) == 1
+        whole = spark.read.schema(SCHEMAS["hfj_resource"]).parquet(f"{root}/b/hfj_resource")
+        want = final_metadata(whole)
+        keyed = ["res_id", "_peerdb_version", "_peerdb_is_deleted"]
+        assert rows_of(k.winners(spark).select(*keyed)) == rows_of(want.select(*keyed))
+        links = final_links(spark.read.schema(SCHEMAS["hfj_res_link"]).parquet(f"{root}/b/hfj_res_link"))
+        assert rows_of(l.winners(spark)) == rows_of(links)
+        counts = kept.maintained_counts(spark, "resource_type_summary", k.changes(spark, folders[0]), total, anew)
+        rebuilt = charts.resource_type_summary(silver.resource(Bronze(whole, None, None, None), k.winners(spark)))
+        assert rows_of(counts.select(*sorted(counts.columns))) == rows_of(rebuilt.select(*sorted(rebuilt.columns)))
+    assert k.fold_new(spark, f"{root}/b") == ([], False)  # nothing new
+
+
+def test_only_touched_buckets_are_read_and_replaced(spark):
+    root = scratch_dir(spark, "kept-buckets")
+    k = kept.Kept(f"{root}/r", "hfj_resource", 16)
+    land(spark, f"{root}/b", "hfj_resource", [meta(i, 1) for i in range(400)])
+    k.fold_new(spark, f"{root}/b")
+    state = f"{root}/r/gen-0/state".replace("file:", "")
+    before = files(state)
+    land(spark, f"{root}/b", "hfj_resource", [meta(7, 2)])
+    (folder,), _ = k.fold_new(spark, f"{root}/b")
+    after = files(state)
+    bucket = k.changes(spark, folder).first()[kept.BUCKET]
+    assert len(after.keys() & before.keys()) == len(before) - 1 and len(after) == len(before)
+    assert {n for n in os.listdir(state) if n.startswith(kept.BUCKET)} == {f"{kept.BUCKET}={i}" for i in range(16)}
+    # the lookup of the changed keys scans the touched bucket's files alone
+    delta = spark.createDataFrame([meta(7, 3)], SCHEMAS["hfj_resource"])
+    plan = k._find_changes(delta, f"{root}/r/gen-0")._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({kept.BUCKET}" in plan and f"= {bucket})" in plan
+
+
+def test_replayed_batch_and_lost_driver(spark):
+    root = scratch_dir(spark, "kept-replay")
+    k = kept.Kept(f"{root}/r", "hfj_resource", 4)
+    land(spark, f"{root}/b", "hfj_resource", [meta(i, 1) for i in range(20)])
+    k.fold_new(spark, f"{root}/b")
+    land(spark, f"{root}/b", "hfj_resource", [meta(3, 2), meta(4, 2, tomb=1)])
+    (first,), _ = k.fold_new(spark, f"{root}/b")
+    want, changed = rows_of(k.winners(spark)), rows_of(k.changes(spark, first).select("after.*"))
+    # the last batch was stored but not committed: it is run once more
+    commits = f"{root}/r/gen-0/_checkpoint/commits".replace("file:", "")
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.rename(f"{commits}/{name}", f"{root}/moved{name}".replace("file:", ""))
+    (again,), _ = k.fold_new(spark, f"{root}/b")
+    assert again == first and rows_of(k.winners(spark)) == want
+    assert rows_of(k.changes(spark, again).select("after.*")) == changed
+    # the driver was lost while buckets were replaced: a new generation from bronze
+    touch(spark, f"{root}/r/gen-0/_open")
+    folders, anew = k.fold_new(spark, f"{root}/b")
+    assert anew and rows_of(k.winners(spark)) == want and folders[0].startswith(f"{root}/r/gen-1")
+
+
+@pytest.mark.parametrize("table", ["hfj_resource", "hfj_res_link"])
+def test_empty_bronze(spark, table):
+    root = scratch_dir(spark, "kept-empty")
+    land(spark, f"{root}/b", table, [])
+    k = kept.Kept(f"{root}/r", table)
+    k.fold_new(spark, f"{root}/b")
+    assert k.winners(spark).count() == 0
+    assert set(k.winners(spark).columns) == {*SCHEMAS[table].fieldNames(), kept.BUCKET}
+    assert k.winners(spark).where(F.lit(True)).count() == 0
