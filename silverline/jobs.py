@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--full-refresh", action="store_true")
     r.add_argument("--propagate-deletes", action="store_true")
     r.add_argument("--compact-after", type=int, default=8)
+    r.add_argument("--keep-winners", action="store_true",
+                   help="keep FINAL of metadata and links, fed by new files (bronze must be a folder)")
     s = sub.add_parser("stream", help="micro-batch ingest of resource models")
     s.add_argument("--bronze", required=True, help="bronze root folder (file stream source)")
     s.add_argument("--silver", required=True)
@@ -60,7 +62,8 @@ def main(argv: list[str] | None = None) -> None:
                             args.batch_id if args.batch_id is not None else int(time.time()),
                             full_refresh=args.full_refresh,
                             propagate_deletes=args.propagate_deletes,
-                            compact_after=args.compact_after, timings=timings)
+                            compact_after=args.compact_after, timings=timings,
+                            bronze_root=args.bronze.rstrip("/") if args.keep_winners else None)
         print(json.dumps({"tables": paths, "seconds": timings}))
     else:
         root = args.silver.rstrip("/")

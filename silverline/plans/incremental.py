@@ -445,9 +445,14 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
                 full_refresh: bool = False, propagate_deletes: bool = False,
                 compact_after: int | None = 8, names: dict[str, str] | None = None,
                 parallel_jobs: int = 4,
-                timings: dict[str, float] | None = None) -> dict[str, str]:
+                timings: dict[str, float] | None = None,
+                bronze_root: str | None = None) -> dict[str, str]:
     """One scheduled run: incremental silver models, then full rebuild of the rest.
 
+    With ``bronze_root`` (the folder that ``bronze`` was read from) the winners
+    of metadata and links are kept (``plans.kept``): the run folds in the new
+    files instead of computing FINAL of the whole copies.
+
     Returns model name -> stored table path.  ``names`` overrides the stored
     name of a model (K6).  An incremental table that has collected
     ``compact_after`` write jobs is compacted (C7) after its append, so chart
@@ -470,11 +475,20 @@ def refresh_all(spark: SparkSession, bronze: Bronze, silver_root: str, batch_id:
     def winners_of(frame: DataFrame, folder: str) -> DataFrame:
         return read_version(spark, write_table(frame, f"{silver_root}/{folder}"), frame.schema)
 
-    shared = _run_all({"final_metadata": lambda: winners_of(final_metadata(bronze.hfj_resource),
-                                                            "_final_metadata"),
-                       "final_links": lambda: winners_of(final_links(bronze.hfj_res_link),
-                                                         "_final_links")},
-                      parallel_jobs, clock)
+    def kept_winners(table: str) -> DataFrame:
+        from silverline.plans.kept import BUCKET, Kept
+
+        state = Kept(f"{silver_root}/_kept/{table}", table)
+        state.fold_new(spark, bronze_root)
+        return state.winners(spark).drop(BUCKET)
+
+    if bronze_root is not None:
+        finals = {"final_metadata": lambda: kept_winners("hfj_resource"),
+                  "final_links": lambda: kept_winners("hfj_res_link")}
+    else:
+        finals = {"final_metadata": lambda: winners_of(final_metadata(bronze.hfj_resource), "_final_metadata"),
+                  "final_links": lambda: winners_of(final_links(bronze.hfj_res_link), "_final_links")}
+    shared = _run_all(finals, parallel_jobs, clock)
     winners, link_winners = shared["final_metadata"], shared["final_links"]
     with clock("current_resources"):
         current = shared_current(spark, bronze, winners, marks, f"{silver_root}/_current")

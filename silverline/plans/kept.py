@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 
 from silverline.functions.scalars import to_date_of
 from silverline.operators.cdc import BRONZE_ORDER, LINK_KEYS, RESOURCE_KEYS, TOMBSTONE, is_deleted, latest
+from silverline.operators.links import ENCOUNTER_SUBJECT
+from silverline.plans import silver
 from silverline.plans.incremental import BROADCAST_DELTA_ROWS
 from silverline.session import scratch_dir
 from silverline.sinks.tables import list_names, path_exists, read_table, remove, touch, write_table
@@ -77,12 +79,13 @@ class Kept:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(state)
 
-    def changes(self, spark: SparkSession, batch: str) -> DataFrame:
-        """``before, after`` (structs of the table's columns; no row before: null) of a folder that :meth:`fold_new` names."""
+    def changes(self, spark: SparkSession, batch: str | list[str]) -> DataFrame:
+        """``before, after`` (structs of the table's columns; no row before: null) of folders that :meth:`fold_new` names."""
         row = T.StructType(SCHEMAS[self.table].fields)
         schema = T.StructType([T.StructField("before", row), T.StructField("after", row),
                                T.StructField(BUCKET, T.IntegerType())])
-        return spark.read.schema(schema).parquet(batch)
+        folders = [batch] if isinstance(batch, str) else batch
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
     def _find_changes(self, batch: DataFrame, generation: str) -> DataFrame:
         columns = SCHEMAS[self.table].fieldNames()
@@ -164,6 +167,57 @@ def maintained_counts(spark: SparkSession, chart: str, changes: DataFrame, targe
     return read_table(spark, target)
 
 
+# ---- M08 carried on from the changes ----------------------------------------------
+
+def affected_patients(changes: DataFrame, link_changes: DataFrame, links: DataFrame) -> DataFrame:
+    """``patient_res_id`` of the patients whose rows may differ: changed themselves, by a changed link
+    (before or after), or by a changed visit that links to them."""
+    def either(df: DataFrame) -> DataFrame:
+        return df.select(F.inline(F.array(F.struct(F.col("before").alias("row")), F.struct(F.col("after").alias("row"))))) \
+            .where("row IS NOT NULL").select("row.*")
+
+    changed, subject = either(changes), F.col("src_path") == ENCOUNTER_SUBJECT
+    own = changed.where("res_type = 'Patient'").select(F.col("res_id").alias("patient_res_id"))
+    linked = either(link_changes).where(subject).select(F.col("target_resource_id").alias("patient_res_id"))
+    visits = changed.where("res_type = 'Encounter'").select(F.col("res_id").alias("src_resource_id")).distinct()
+    visited = links.where(subject).join(visits, "src_resource_id", "left_semi").select(
+        F.col("target_resource_id").alias("patient_res_id"))
+    return own.unionByName(linked).unionByName(visited).where("patient_res_id IS NOT NULL").distinct()
+
+
+def carry_patients(spark: SparkSession, resources: Kept, links: Kept, changes: DataFrame, link_changes: DataFrame,
+                   target: str) -> DataFrame:
+    """Rows of the affected patients are made again from the kept winners and take the place of their old rows.
+
+    The stored table is bucketed by patient; only the buckets of affected patients are read and replaced.
+    """
+    winners, link_winners = resources.winners(spark).drop(BUCKET), links.winners(spark).drop(BUCKET)
+    bucket = F.pmod(F.xxhash64("patient_res_id"), F.lit(resources.buckets)).cast("int")
+    affected = affected_patients(changes, link_changes, link_winners).withColumn(BUCKET, bucket).persist()
+    small = affected.count() <= BROADCAST_DELTA_ROWS
+    ids = F.broadcast(affected) if small else affected
+    own_links = link_winners.where(F.col("src_path") == ENCOUNTER_SUBJECT).join(
+        ids.select(F.col("patient_res_id").alias("target_resource_id")), "target_resource_id", "left_semi")
+    people = winners.where("res_type = 'Patient'").join(
+        ids.select(F.col("patient_res_id").alias("res_id")), "res_id", "left_semi")
+    visits = winners.where("res_type = 'Encounter'").join(
+        own_links.select(F.col("src_resource_id").alias("res_id")).distinct(), "res_id", "left_semi")
+    made = silver.patients(None, people.unionByName(visits), own_links).withColumn(BUCKET, bucket)
+    rows = made
+    if path_exists(spark, target):
+        touched = [r[0] for r in affected.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+        old = spark.read.schema(made.schema).parquet(target).where(F.col(BUCKET).isin(touched))
+        rows = old.join(ids, ["patient_res_id", BUCKET], "left_anti").select(*made.columns).unionByName(made)
+        # a bucket that loses its last row must go too: overwriting replaces only buckets that have rows
+        kept_buckets = {r[0] for r in rows.select(BUCKET).distinct().collect()}
+        for gone in sorted(set(touched) - kept_buckets):
+            remove(spark, f"{target}/{BUCKET}={gone}")
+    (rows.repartition(BUCKET).sortWithinPartitions(BUCKET, "patient_res_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target))
+    affected.unpersist()
+    return spark.read.schema(made.schema).parquet(target).drop(BUCKET)
+
+
 # ---- the two-batch fixture ------------------------------------------------------
 
 def two_batch_kept(spark: SparkSession, bronze: Bronze) -> dict[str, DataFrame]:
@@ -176,11 +230,14 @@ def two_batch_kept(spark: SparkSession, bronze: Bronze) -> dict[str, DataFrame]:
         for name, df in landed.items():
             df.where(F.col("arrival") == arrival).select(*SCHEMAS[name].fieldNames()) \
                 .write.mode("append").parquet(f"{root}/bronze/{name}")
-        links.fold_new(spark, f"{root}/bronze")
+        link_folders, _ = links.fold_new(spark, f"{root}/bronze")
         folders, anew = resources.fold_new(spark, f"{root}/bronze")
+        patients = carry_patients(spark, resources, links, resources.changes(spark, folders),
+                                  links.changes(spark, link_folders), f"{root}/patients")
         for k, folder in enumerate(folders):
             for chart in resource_counts():
                 charts[chart] = maintained_counts(spark, chart, resources.changes(spark, folder),
                                                   f"{root}/charts/{chart}", anew and k == 0)
     return {"kept_resource": resources.winners(spark).drop(BUCKET), "kept_links": links.winners(spark).drop(BUCKET),
+            "patients_carried_on": patients,
             **{f"maintained_{c}": df for c, df in charts.items()}}
