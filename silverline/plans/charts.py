@@ -159,6 +159,69 @@ def deteksi_dini_hipertensi(observations: DataFrame, conditions: DataFrame) -> D
     return flagged.groupBy("kategori_tensi", "status_diagnosis").agg(_count_star("jumlah_pasien"))
 
 
+# A reference whose number is a bit: canonical, so that equal numbers are equal texts.
+NUMBERED_PATIENT = r"^Patient/(0|[1-9][0-9]{0,17})\z"
+
+
+def daily_bp_patients(observations: DataFrame) -> DataFrame:
+    """A5, mergeable: the patients of each day and BP class as bitmaps of their numbers.
+
+    ``tanggal_periksa, kategori_tensi, part, patients, other``: a bitmap for
+    each run of 32,768 numbers (``part``), or, where the reference is no
+    number, the reference itself in ``other``.  A day's rows depend on that day's readings only, so
+    they can be stored by day and merged.
+    """
+    classified = bp_readings(observations).select(
+        "tanggal_periksa", "patient_ref", bp_category("sistol", "diastol").alias("kategori_tensi")) \
+        .where(F.col("kategori_tensi").isNotNull())
+    return _bitmaps(classified, "patient_ref", ["tanggal_periksa", "kategori_tensi"])
+
+
+def _bitmaps(df: DataFrame, ref: str, by: list[str]) -> DataFrame:
+    number = F.regexp_extract(F.col(ref), NUMBERED_PATIENT, 1)
+    numbered = df.where(number != "").select(*by, number.cast("long").alias("_id")) \
+        .groupBy(*by, F.bitmap_bucket_number("_id").alias("part")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("patients")) \
+        .withColumn("other", F.lit(None).cast("string"))
+    others = df.where((number == "") & F.col(ref).isNotNull()).select(
+        *by, F.lit(None).cast("long").alias("part"), F.lit(None).cast("binary").alias("patients"),
+        F.col(ref).alias("other")).distinct()
+    return numbered.unionByName(others)
+
+
+def deteksi_dini_from_days(days: DataFrame, conditions: DataFrame) -> DataFrame:
+    """M16 from stored days: bitmaps merged by OR, no reading is touched again; equals ``countDistinct``.
+
+    Patients of a class with a diagnosis: |class| + |diagnosed| - |class or diagnosed|.
+    """
+    sick = _bitmaps(diagnosed_hypertensive(conditions), "patient_ref", [])
+    merged = days.where("part IS NOT NULL").groupBy("kategori_tensi", "part") \
+        .agg(F.bitmap_or_agg("patients").alias("patients"))
+    known = sick.where("part IS NOT NULL").select(F.col("part").alias("_part"), F.col("patients").alias("_sick"))
+    # one bitmap a part on either side: OR of the two is their count together
+    both = merged.join(known, merged["part"] == known["_part"], "left").select(
+        "kategori_tensi", "part", F.array("patients", F.coalesce("_sick", "patients")).alias("two"),
+        F.bitmap_count("patients").alias("_all"), F.coalesce(F.bitmap_count("_sick"), F.lit(0)).alias("_ill"),
+        F.col("_sick").isNotNull().alias("_any"))
+    counted = both.select("kategori_tensi", "part", "_all", "_ill", "_any", F.explode("two").alias("one")) \
+        .groupBy("kategori_tensi", "part", "_all", "_ill", "_any") \
+        .agg(F.bitmap_count(F.bitmap_or_agg("one")).alias("_union")) \
+        .select("kategori_tensi", "_all", F.when(F.col("_any"), F.col("_all") + F.col("_ill") - F.col("_union"))
+                .otherwise(0).alias("_diagnosed"))
+    others = days.where("other IS NOT NULL").select("kategori_tensi", "other").distinct()
+    ill = sick.where("other IS NOT NULL").select(F.col("other").alias("_other")).distinct()
+    others = others.join(ill, others["other"] == ill["_other"], "left").select(
+        "kategori_tensi", F.lit(1).cast("long").alias("_all"),
+        F.col("_other").isNotNull().cast("long").alias("_diagnosed"))
+    total = counted.unionByName(others).groupBy("kategori_tensi").agg(
+        F.sum("_all").alias("_all"), F.sum("_diagnosed").alias("_diagnosed"))
+    return total.select("kategori_tensi", F.inline(F.array(
+        F.struct(F.lit(DIAGNOSED).alias("status_diagnosis"), F.col("_diagnosed").cast("bigint").alias("jumlah_pasien")),
+        F.struct(F.lit(NOT_DIAGNOSED).alias("status_diagnosis"),
+                 (F.col("_all") - F.col("_diagnosed")).cast("bigint").alias("jumlah_pasien"))))) \
+        .where("jumlah_pasien > 0")
+
+
 def tren_tensi_harian(observations: DataFrame) -> DataFrame:
     """Daily mean systolic / diastolic over positive readings (NULL when none)."""
     positive = F.col("nilai") > 0

@@ -59,11 +59,24 @@ def table_exists(spark: SparkSession, table_path: str) -> bool:
 
 
 def publish(df: DataFrame, name: str, default_db: str, custom_db: str | None = None,
-            sort_cols: Sequence[str] | None = None) -> str:
-    """K7: store a model as ``database.name`` in Spark's own catalog; returns the table name."""
+            sort_cols: Sequence[str] | None = None, location: str | None = None) -> str:
+    """K7: store a model as ``database.name`` in Spark's own catalog; returns the table name.
+
+    The rows go to a new version folder below ``location`` (default: below the
+    database's own); then the table is pointed at it, so readers see the old
+    rows until all new ones are there, and those who read on keep their files.
+    """
+    spark = df.sparkSession
     db = target_db(default_db, custom_db)
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    _clustered(df, sort_cols, range_partition=True).write.mode("overwrite").saveAsTable(f"`{db}`.`{name}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    home = location or f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/_{name}"
+    version = write_table(df, home, sort_cols, range_partition=True)
+    table = f"`{db}`.`{name}`"
+    if spark.catalog.tableExists(f"{db}.{name}"):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(f"{db}.{name}", path=version, source="parquet", schema=df.schema)
     return f"{db}.{name}"
 
 

@@ -113,3 +113,50 @@ def test_empty_bronze(spark, table):
     assert k.winners(spark).count() == 0
     assert set(k.winners(spark).columns) == {*SCHEMAS[table].fieldNames(), kept.BUCKET}
     assert k.winners(spark).where(F.lit(True)).count() == 0
+
+
+def test_patients_carried_on_equal_the_rebuild(spark):
+    """Visit-only, patient-only and link-only changes, deletes among them."""
+    root = scratch_dir(spark, "kept-patients")
+    r, l = kept.Kept(f"{root}/r", "hfj_resource", 4), kept.Kept(f"{root}/l", "hfj_res_link", 4)
+    visits = [meta(100 + i, 1) for i in range(12)]
+    people = [meta(i, 1, kind="Patient") for i in range(1, 7)]
+    links = [link(100 + i, 1 + i % 5, 1) for i in range(12)]
+    steps = [
+        (people + visits, links),
+        ([meta(100, 2, tomb=1), meta(101, 2, deleted=True), meta(120, 1)], []),             # visits only
+        ([meta(2, 2, kind="Patient", deleted=True), meta(7, 1, kind="Patient")], []),        # patients only
+        ([], [link(103, 4, 2, tomb=1), link(120, 6, 1), link(104, 5, 2)]),                   # links only
+        ([meta(2, 3, kind="Patient"), meta(100, 3)], [link(103, 4, 3)]),                     # all come back
+        ([meta(i, 9, tomb=1, kind="Patient") for i in range(1, 8)], []),                     # nobody is left
+    ]
+    for metas, linked in steps:
+        land(spark, f"{root}/b", "hfj_resource", metas)
+        land(spark, f"{root}/b", "hfj_res_link", linked)
+        changed, _ = r.fold_new(spark, f"{root}/b")
+        link_changed, _ = l.fold_new(spark, f"{root}/b")
+        got = kept.carry_patients(spark, r, l, r.changes(spark, changed), l.changes(spark, link_changed), f"{root}/p")
+        want = silver.patients(None, r.winners(spark).drop(kept.BUCKET), l.winners(spark).drop(kept.BUCKET))
+        assert rows_of(got.select(*want.columns)) == rows_of(want)
+
+
+def test_bitmaps_count_patients_exactly(spark):
+    """Numbers, numbers that are no canonical text, other texts and the empty one; over days and parts."""
+    rng = random.Random(8)
+    refs = ["", "Patient/007", "Patient/7", "Patient/0", "Group/7", "Patient/32768", "Patient/32767", "Patient/-1",
+            "Patient/99999999999999999"] + [f"Patient/{rng.randrange(100_000)}" for _ in range(40)]
+    schema = ("observation_id long, res_updated timestamp_ntz, tanggal_periksa date, patient_ref string, "
+              "encounter_ref string, loinc_code string, nama_pengukuran string, nilai double, satuan string")
+    names = ["Systolic blood pressure", "Diastolic blood pressure"]
+    obs = spark.createDataFrame([
+        (i, T0, dt.date(2024, 1, rng.randrange(1, 9)), rng.choice(refs), "", "8480-6", rng.choice(names),
+         float(rng.randrange(60, 170)), "mmHg") for i in range(900)], schema)
+    conditions = spark.createDataFrame([(r, rng.choice(["Hipertensi", "Lainnya"])) for r in refs[::2] + ["Patient/123456"]],
+                                       "patient_ref string, kategori_ptm string")
+    want = charts.deteksi_dini_hipertensi(obs, conditions)
+    days = charts.daily_bp_patients(obs)
+    got = charts.deteksi_dini_from_days(days, conditions)
+    assert rows_of(got.select(*want.columns)) == rows_of(want)
+    assert charts.deteksi_dini_from_days(days.limit(0), conditions).count() == 0
+    none = charts.deteksi_dini_from_days(days, conditions.limit(0))
+    assert rows_of(none.select(*want.columns)) == rows_of(charts.deteksi_dini_hipertensi(obs, conditions.limit(0)))
