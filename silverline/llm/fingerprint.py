@@ -8,7 +8,9 @@ estimate resemblance (Jaccard), containment and, each alone, the number of
 distinct shingles.  Standard error of a resemblance J: sqrt(J (1 - J) / k).
 
 Cases: null text is empty; two empty sketches are alike (1.0), an empty and
-another are not (0.0); equal texts have equal fingerprints.
+another are not (0.0); equal texts have equal fingerprints; ids of whole
+numbers are ordered as such, all others as text (by code point); null ids come
+last; rows of one id are ordered by text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverline.llm.common import map_texts, shingle_hashes, table
 
@@ -115,11 +118,16 @@ def with_next(docs: DataFrame) -> DataFrame:
     document of all of its own.  Repeated ids are ordered by text; null ids
     come last.
     """
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = src.select("doc_id")
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    kind = "long" if whole else "string"
+    src = docs.select(F.col("doc_id").cast(kind).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # a number that grows with the id: the id, or the first seven bytes of its text
+    place = F.col("doc_id") if whole else F.conv(F.rpad(F.hex(F.substring(F.encode("doc_id", "utf-8"), 1, 7)), 14, "0"),
+                                                 16, 10).cast("long")
+    ids = src.select("doc_id", place.alias("place"))
     n = ids.count()
     count = max(1, min(MAX_RANGES, n // RANGE_ROWS))
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 10 * max(count, 1000))
+    cuts = ids.agg(F.percentile_approx("place", [i / count for i in range(1, count)], 10 * max(count, 1000))
                    if count > 1 else F.array().cast("array<bigint>")).first()[0]
     bounds = np.unique(np.array(cuts or [], np.int64))
 
@@ -127,12 +135,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     def range_of(doc_id: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, doc_id.to_numpy(), side="right").astype(np.int32))
 
-    at = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(range_of(F.coalesce("doc_id", F.lit(0))))
+    at = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(range_of(F.coalesce(place, F.lit(0))))
     tops = ids.select("doc_id", at.alias("range")).groupBy("range").agg(F.max("doc_id").alias("top")) \
         .orderBy(F.desc("range")).collect()  # one row a range
     above = {r["range"]: tops[i - 1]["range"] for i, r in enumerate(tops)}
     edges = docs.sparkSession.createDataFrame(
-        [(r["range"], r["top"], above[r["range"]]) for r in tops], "range int, top long, above int")
+        [(r["range"], r["top"], above[r["range"]]) for r in tops], f"range int, top {kind}, above int")
     ranged = src.withColumn("range", at)
     own = F.struct("range", F.lit(False).alias("tail"))
     tail = F.struct(F.col("above").alias("range"), F.lit(True).alias("tail"))
@@ -166,7 +174,7 @@ def compare_edits(docs: DataFrame, k: int = K) -> DataFrame:
 
         def batch():
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string(),
+                [pa.array(c, t) for c, t in zip(zip(*out), (id_type, pa.int64(), pa.string(), pa.string(),
                                                             pa.string(), pa.float64(), pa.float64()))],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                        "near_edited", "near_next"])
@@ -187,7 +195,9 @@ def compare_edits(docs: DataFrame, k: int = K) -> DataFrame:
         if out:
             yield batch()
 
-    return rows.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    id_type = pa.string() if kind == "string" else pa.int64()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
                                 "edited_fingerprint string, near_edited double, near_next double")
 
 

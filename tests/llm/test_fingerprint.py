@@ -86,3 +86,14 @@ def test_ranges_nulls_ties_single_and_empty(spark, docs_of, monkeypatch):
     assert K.compare_edits(docs_of([(1, "a")]).limit(0)).count() == 0
     odd = K.compare_edits(docs_of([(None, "n"), (None, "n"), (5, "five"), (5, "five"), (1, None)])).collect()
     assert len(odd) == 5 and len({r["fingerprint"] for r in odd if r["doc_id"] == 5}) == 1
+
+
+def test_text_ids_are_ordered_by_code_point(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(K, "RANGE_ROWS", 4)
+    ids = ["", "a", "A", "doc-1", "doc-10", "doc-2", "é", "\U0001F600", "same-prefix-1", "same-prefix-2", "zz"]
+    ids += [f"id-{i:04d}" for i in range(40)]
+    docs = {k: f"text of {k} " * (1 + i % 5) for i, k in enumerate(ids)}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id string, text string")
+    check(K.compare_edits(frame).collect(), docs)
+    odd = spark.createDataFrame([("x", "1"), (None, "2"), ("x", "1")], "doc_id string, text string")
+    assert K.compare_edits(odd).count() == 3

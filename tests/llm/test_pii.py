@@ -171,3 +171,9 @@ def test_shapes_are_bounded():
     shapes = {P.shape("".join(rng.choice(parts, rng.integers(1, 9)))) for _ in range(30_000)}
     assert len(shapes) < 300
     assert len({tuple(s >> f & 1 for f in P.AROUND) for s in shapes}) <= 6
+
+
+def test_addresses_are_tied_whatever_their_digits():
+    assert P.tie_of("10.0.0.1") == P.tie_of("(10.0.00.01),") == "10.0.0.1"
+    assert P.tie_of("192.168.1.10") != P.tie_of("192.16.81.10")
+    assert P.tie_of("12.5") is None and P.tie_of("1.2.3.4.5") is None
