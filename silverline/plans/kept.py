@@ -203,17 +203,16 @@ def carry_patients(spark: SparkSession, resources: Kept, links: Kept, changes: D
     visits = winners.where("res_type = 'Encounter'").join(
         own_links.select(F.col("src_resource_id").alias("res_id")).distinct(), "res_id", "left_semi")
     made = silver.patients(None, people.unionByName(visits), own_links).withColumn(BUCKET, bucket)
-    rows = made
+    rows, emptied = made, []
     if path_exists(spark, target):
         touched = [r[0] for r in affected.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
         old = spark.read.schema(made.schema).parquet(target).where(F.col(BUCKET).isin(touched))
         rows = old.join(ids, ["patient_res_id", BUCKET], "left_anti").select(*made.columns).unionByName(made)
-        # a bucket that loses its last row must go too: overwriting replaces only buckets that have rows
-        kept_buckets = {r[0] for r in rows.select(BUCKET).distinct().collect()}
-        for gone in sorted(set(touched) - kept_buckets):
-            remove(spark, f"{target}/{BUCKET}={gone}")
+        emptied = sorted(set(touched) - {r[0] for r in rows.select(BUCKET).distinct().collect()})
     (rows.repartition(BUCKET).sortWithinPartitions(BUCKET, "patient_res_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target))
+    for bucket_number in emptied:  # overwriting replaces only buckets that have rows
+        remove(spark, f"{target}/{BUCKET}={bucket_number}")
     affected.unpersist()
     return spark.read.schema(made.schema).parquet(target).drop(BUCKET)
 
