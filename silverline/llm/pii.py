@@ -155,16 +155,13 @@ AROUND = (2, 4, 5, 6, 8)
 N_FEATURES = N_SHAPE + 2 * len(AROUND) + 2
 
 
-_QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
-
-
 def tie_of(word: str) -> str | None:
     """What makes two words the same: their address (mail or dotted quad), or their digits if there are seven or more."""
     core = _CORE.match(word).group(1)
     if "@" in core:
         return core.lower()
-    if _QUAD.fullmatch(core):
-        return ".".join(part.lstrip("0") or "0" for part in core.split("."))
+    if _DOTTED.fullmatch(core.strip("()")):
+        return ".".join(part.lstrip("0") or "0" for part in core.strip("()").split("."))
     d = digits_of(core)
     return d if len(d) >= 7 else None
 
