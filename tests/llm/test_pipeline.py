@@ -57,7 +57,7 @@ def test_run_is_the_registered_query(spark):
     got = entry.queries()["pipeline"](spark, path)
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(got.columns) and got.count() > 0
     names = [n for n in entry.queries() if re.fullmatch(r"op\d+_\w+", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_one_of_each_keeps_the_least_id_and_all_columns(spark, docs_of):
